@@ -1,0 +1,8 @@
+"""Streaming.
+
+Nothing lives here on purpose: the pipelines being matched are bounded batch
+jobs with no watermark, window, state or late data, and their "real-time"
+dashboards are batch queries re-run on a timer. Every function in ``tabflow``
+is DataFrame -> DataFrame, so a caller who wants a micro-batch variant can
+apply the same functions inside ``foreachBatch``.
+"""

@@ -1,0 +1,100 @@
+"""Compare registered Spark queries with their DuckDB oracle SQL.
+
+Usage: ``python -m tests.oracle [sf_dir] [name ...]`` from the repo root.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+import sys
+import time
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        return "nan" if math.isnan(v) else v
+    if isinstance(v, decimal.Decimal):
+        return float(v)
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None)
+    if isinstance(v, (list, tuple)):
+        return tuple(_norm(x) for x in v)
+    return v
+
+
+def _rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    out = [tuple(_norm(r[i]) for i in order) for r in rows]
+    return sorted(out, key=repr)
+
+
+def compare(spark, con, name, fn, sql, sf_dir):
+    t0 = time.time()
+    sdf = fn(spark, sf_dir)
+    s_cols = sdf.columns
+    s_rows = [tuple(r) for r in sdf.collect()]
+    t1 = time.time()
+    res = con.execute(sql)
+    d_cols = [d[0] for d in res.description]
+    d_rows = res.fetchall()
+    problems = []
+    if sorted(s_cols) != sorted(d_cols):
+        problems.append(f"columns spark={s_cols} duck={d_cols}")
+    if len(s_rows) != len(d_rows):
+        problems.append(f"rows spark={len(s_rows)} duck={len(d_rows)}")
+    if not problems:
+        a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
+        if a != b:
+            diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
+            problems.append(f"values differ, e.g. {diff}")
+    return problems, len(s_rows), t1 - t0
+
+
+def main(argv):
+    sys.path.insert(0, ".")
+    import __spark_entry__ as E
+    from tabflow.session import local_session
+
+    sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
+    names = argv[1:]
+    spark = local_session(8)
+    con = duck(sf_dir)
+    qs, sqls = E.queries(), E.oracle_sql()
+    bad = 0
+    for name, fn in qs.items():
+        if names and name not in names:
+            continue
+        if name not in sqls:
+            df = fn(spark, sf_dir)
+            print(f"{name:32s} rows-only {df.count()}")
+            continue
+        try:
+            problems, n, secs = compare(spark, con, name, fn, sqls[name], sf_dir)
+        except Exception as exc:  # report and go on
+            problems, n, secs = [f"error {type(exc).__name__}: {str(exc)[:300]}"], -1, 0
+        bad += bool(problems)
+        print(f"{name:32s} {'OK ' if not problems else 'BAD'} rows={n} {secs:.2f}s {'; '.join(problems)}")
+    print("mismatches:", bad)
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main(sys.argv[1:]) else 0)
