@@ -4,9 +4,10 @@ Spark's ``percentile`` / ``median`` are exact, but a global aggregate merges
 every distinct value into the buffer of a single task. Here the work is
 spread out instead:
 
-1. count each distinct value (partial aggregation folds hot values early);
-2. put values into ``buckets`` ordered ranges cut at approximate quantiles,
-   so every range holds about ``1/buckets`` of the rows;
+1. count each distinct value (partial aggregation folds hot values early)
+   and checkpoint that table to the shared ``spark.checkpoint.dir``;
+2. put values into ``buckets`` ordered ranges cut at approximate quantiles
+   of the distinct values, so every range holds about ``1/buckets`` of them;
 3. running counts inside each range (a window partitioned by range), plus
    per-range offsets from a table of ``buckets`` rows;
 4. read the values at the two ranks around ``q * (n - 1)`` and interpolate
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabflow.functions import nan_to_null
+from tabflow.session import shared_dir
 
 
 def _bucket_count(df: DataFrame) -> int:
@@ -53,10 +55,17 @@ def exact_quantiles(
 
     v = nan_to_null(F.col(column)).alias("v")
     values = df.select(v).where(F.col("v").isNotNull())
-    counted = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    # Distinct values with their multiplicity, written once to the shared
+    # checkpoint folder: every later branch (cut points, running counts,
+    # bucket offsets) reads these files instead of recomputing the upstream,
+    # and all of them see the same rows.
+    shared_dir(df.sparkSession)
+    counted = values.groupBy("v").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
 
     if nb > 1:
-        cuts = values.select(
+        # cut points over distinct values: the window below works per
+        # distinct value, so that is what the buckets should balance
+        cuts = counted.select(
             F.percentile_approx("v", [i / nb for i in range(1, nb)], 10000).alias("cuts")
         ).scalar()
         # 1 + number of distinct cut points below v: monotone in v, no lambda
