@@ -5,8 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ColumnOrName = Column | str
 
@@ -62,6 +63,15 @@ def strict_double(c: ColumnOrName) -> Column:
     ).otherwise(casted)
 
 
+def as_double(df: DataFrame, column: str) -> Column:
+    """``column`` of ``df`` as a double: untouched when it already is one,
+    ``strict_double`` otherwise (so the plan carries no no-op guard)."""
+    c = F.col(f"`{column}`")
+    if isinstance(df.schema[column].dataType, T.DoubleType):
+        return c
+    return strict_double(c)
+
+
 def bucket_label(c: ColumnOrName, edges: Sequence[float], labels: Sequence[str]) -> Column:
     """Label of the right-closed interval ``(edges[i], edges[i+1]]`` holding the
     value; null for NaN, null, and values outside ``(edges[0], edges[-1]]``."""

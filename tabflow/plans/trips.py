@@ -30,13 +30,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.functions import (
+    as_double,
     bucket_label,
     clean_avg,
     fmt_count,
     fmt_decimal,
     nan_to_null,
     round_half,
-    strict_double,
 )
 from tabflow.operators.checks import Check, is_floating
 from tabflow.operators.relational import (
@@ -92,7 +92,7 @@ def trips_and_zones(
     selected = scan(trips, cols, time_window(time_column, start, end))
     fact = selected.select(
         *[F.col(f"`{c}`") for c in cols if c != miles],
-        strict_double(F.col(miles)).alias(miles),
+        as_double(selected, miles).alias(miles),
     )
     return enrich(fact, zones, trip_key, zone_key)
 
@@ -141,10 +141,10 @@ def pickup_location_stats(
 ) -> DataFrame:
     """``top_pickup_locations(trips_and_zones(trips, zones, start, end))``
     with the aggregation pushed below the join (same rows, same values)."""
-    x = nan_to_null(strict_double(F.col(miles)))
+    selected = scan(trips, [trip_key, time_column, miles], time_window(time_column, start, end))
+    x = nan_to_null(as_double(selected, miles))
     per_location = (
-        scan(trips, [trip_key, time_column, miles], time_window(time_column, start, end))
-        .where(F.col(trip_key).isNotNull())
+        selected.where(F.col(trip_key).isNotNull())
         .groupBy(trip_key)
         .agg(
             F.count(time_column).alias("_trips"),

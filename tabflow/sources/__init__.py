@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,8 +84,8 @@ def read_parquet_glob(
         df = spark.read.option("mergeSchema", True).parquet(uri)
         df.schema  # forces footer merge
         return override_types(df, overrides) if overrides else df
-    except AnalysisException as exc:
-        if "CANNOT_MERGE" not in str(exc) and "merge" not in str(exc).lower():
+    except Exception as exc:  # surfaces as AnalysisException or a wrapped SparkException
+        if "CANNOT_MERGE" not in str(exc):
             raise
     files = spark.read.parquet(uri).inputFiles()
     groups: dict[str, list[str]] = {}

@@ -1,0 +1,31 @@
+"""Engagement segments (D16) against a pandas brute force."""
+
+import numpy as np
+import pandas as pd
+
+from tabflow.plans import engagement as E
+
+
+def test_segments_match_pandas(spark):
+    rng = np.random.default_rng(11)
+    scores = [float(x) for x in rng.integers(0, 30, size=300)] + [float("nan"), None]
+    minutes = [float(x) for x in rng.normal(60, 10, size=302)]
+    pdf = pd.DataFrame({"user_id": range(302), "user_engagement_score": scores, "daily_active_minutes_instagram": minutes})
+    users = spark.createDataFrame(
+        [(i, sc, m) for i, (sc, m) in enumerate(zip(scores, minutes))],
+        "user_id long, user_engagement_score double, daily_active_minutes_instagram double",
+    )
+    seg = E.user_segments(users).toPandas().sort_values("user_id")
+
+    clean = pdf["user_engagement_score"].dropna()
+    lo, hi = clean.quantile(1 / 3), clean.quantile(2 / 3)
+    s = pdf["user_engagement_score"]
+    want = np.where(s <= lo, "low", np.where(s <= hi, "medium", np.where(s.notna(), "high", None)))
+    assert list(seg["engagement_segment"]) == list(want)
+
+    summary = E.segment_summary(E.user_segments(users)).collect()
+    assert [r["engagement_segment"] for r in summary] == ["low", "medium", "high"]
+    by = pd.DataFrame({"seg": want, "score": s}).dropna(subset=["seg"]).groupby("seg")
+    for r in summary:
+        assert r["users"] == len(by.get_group(r["engagement_segment"]))
+        assert abs(r["avg_user_engagement_score"] - by.get_group(r["engagement_segment"])["score"].mean()) < 1e-9

@@ -1,0 +1,33 @@
+"""Every registered query against its DuckDB oracle on the sf0.01 test tables
+(the same check the driver runs)."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as E
+from tests.oracle import compare, duck
+
+SF = "/root/testdata/sf0.01"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF)
+
+
+def test_every_query_has_oracle_sql():
+    assert set(E.oracle_sql()) == set(E.queries())
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_matches_oracle(spark, con, name):
+    problems, _, _ = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF)
+    assert not problems, problems
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.columns == ["customer_segment", "total_sessions", "converting_sessions", "conversion_rate"]
+    assert df.count() >= 0

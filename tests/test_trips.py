@@ -1,0 +1,196 @@
+"""Taxi pipeline and dashboard reports on hand-made rows."""
+
+import datetime as dt
+import math
+
+import pytest
+
+from tabflow.operators.relational import filter_in, filter_min, top_n
+from tabflow.plans import trips as P
+
+TRIPS = "pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, PULocationID long, DOLocationID long, trip_miles double"
+ZONES = "LocationID long, Borough string, Zone string"
+LOCS = "PULocationID long, Borough string, Zone string, number_of_trips long, avg_trip_distance double"
+
+D = dt.datetime
+
+
+def trips_df(spark, rows, miles_type="double"):
+    schema = TRIPS.replace("trip_miles double", f"trip_miles {miles_type}")
+    return spark.createDataFrame(rows, schema)
+
+
+def zones_df(spark, rows=None):
+    return spark.createDataFrame(rows or [(1, "Manhattan", "Midtown"), (2, "Queens", "JFK"), (3, None, "Nowhere")], ZONES)
+
+
+def test_range_edges_and_columns(spark):
+    t = trips_df(
+        spark,
+        [
+            (D(2021, 2, 1), D(2021, 2, 1, 0, 10), 1, 2, 1.0),  # start edge: kept
+            (D(2021, 2, 15), D(2021, 2, 15, 0, 5), 1, 2, 2.0),  # end edge: dropped
+            (D(2021, 1, 31, 23, 59), None, 1, 2, 3.0),
+            (None, None, 1, 2, 4.0),
+            (D(2021, 2, 3), None, 9, 2, 5.0),  # no zone: dropped
+        ],
+    )
+    out = P.trips_and_zones(t, zones_df(spark))
+    assert out.columns == [
+        "pickup_datetime", "dropoff_datetime", "PULocationID", "DOLocationID", "trip_miles", "Borough", "Zone"
+    ]
+    got = out.collect()
+    assert len(got) == 1 and got[0]["trip_miles"] == 1.0 and got[0]["Zone"] == "Midtown"
+
+
+def test_string_miles_cast_and_bad_cast(spark):
+    good = trips_df(spark, [(D(2021, 2, 2), None, 1, 2, "5.2")], "string")
+    out = P.trips_and_zones(good, zones_df(spark))
+    assert out.schema["trip_miles"].dataType.simpleString() == "double"
+    assert out.collect()[0]["trip_miles"] == 5.2
+    for bad in ("abc", ""):
+        t = trips_df(spark, [(D(2021, 2, 2), None, 1, 2, bad)], "string")
+        with pytest.raises(Exception, match="cannot cast"):
+            P.trips_and_zones(t, zones_df(spark)).collect()
+
+
+def test_top_pickup_locations_nan_null_and_null_keys(spark):
+    t = trips_df(
+        spark,
+        [
+            (D(2021, 2, 2), None, 1, 2, 1.0),
+            (D(2021, 2, 3), None, 1, 2, float("nan")),
+            (D(2021, 2, 4), None, 1, 2, None),
+            (D(2021, 2, 4), None, 3, 2, 8.0),  # zone with a null borough: group dropped (T3)
+            (D(2021, 2, 5), None, 2, 2, 3.0),
+        ],
+    )
+    joined = P.trips_and_zones(t, zones_df(spark))
+    got = [tuple(r) for r in P.top_pickup_locations(joined).collect()]
+    assert got == [(1, "Manhattan", "Midtown", 3, 1.0), (2, "Queens", "JFK", 1, 3.0)]  # T4, T12
+
+
+def test_pushed_down_aggregation_equals_reference_route(spark):
+    rows = []
+    for i in range(60):
+        miles = float("nan") if i % 7 == 0 else (None if i % 11 == 0 else i / 6.0)
+        rows.append((D(2021, 2, 1 + i % 20), None, 1 + i % 4, 2, miles))
+    t = trips_df(spark, rows)
+    # zone 2 appears twice: the join multiplies its trips in both routes
+    z = zones_df(spark, [(1, "A", "a"), (2, "B", "b"), (2, "B", "b"), (3, "C", None), (4, None, "d")])
+    ref = P.top_pickup_locations(P.trips_and_zones(t, z), digits=9).collect()
+    fused = P.pickup_location_stats(t, z, digits=9).collect()
+    assert [tuple(r) for r in ref] == [tuple(r) for r in fused]
+
+
+def locations(spark, rows):
+    return spark.createDataFrame(rows, LOCS)
+
+
+LOC_ROWS = [
+    (1, "Manhattan", "Midtown", 500, 1.5),
+    (2, "Manhattan", "Harlem", 300, 2.5),
+    (3, "Queens", "JFK", 300, 9.0),
+    (4, "Brooklyn", "Park", 100, 5.0),
+    (5, "Queens", "Astoria", 50, float("nan")),
+    (6, None, "Unknown", 20, 0.0),
+]
+
+
+def test_top_n_plan_and_ties(spark):
+    df = locations(spark, LOC_ROWS)
+    top = P.displayed(df, 2)
+    assert [r["PULocationID"] for r in top.collect()] == [1, 2]  # tie 2/3 goes to lower id
+    assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
+    assert [r["PULocationID"] for r in top_n(df, "number_of_trips", None, ["PULocationID"]).collect()][:3] == [1, 2, 3]
+
+
+def test_location_kpis(spark):
+    k = P.location_kpis(locations(spark, LOC_ROWS), 3).collect()[0]
+    assert k["total_trips"] == 1100
+    assert k["avg_distance"] == pytest.approx((1.5 + 2.5 + 9.0) / 3)
+    assert (k["top_location"], k["top_location_trips"]) == ("Midtown", 500)
+    empty = P.location_kpis(locations(spark, []), 3).collect()[0]
+    assert empty["total_trips"] == 0 and empty["top_location"] is None
+
+
+def test_borough_mix_and_report(spark):
+    df = locations(spark, LOC_ROWS)
+    mix = [tuple(r) for r in P.borough_mix(df, 5).collect()]
+    assert mix == [("Manhattan", 2), ("Queens", 2), ("Brooklyn", 1)]
+    rep = [tuple(r) for r in P.borough_report(df, None).collect()]
+    assert rep[0] == ("Manhattan", 800, 2.0, 2)
+    assert rep[1][:2] == ("Queens", 350) and rep[1][2] == 9.0  # NaN skipped, mean of means (T5)
+    assert all(r[0] is not None for r in rep)  # null borough dropped (T3)
+
+
+def test_trip_statistics(spark):
+    import numpy as np
+
+    df = locations(spark, LOC_ROWS)
+    s = P.trip_statistics(df, None).collect()[0]
+    vals = np.array([r[3] for r in LOC_ROWS], dtype=float)
+    assert s["median"] == float(np.median(vals))
+    assert s["std"] == pytest.approx(float(np.std(vals, ddof=1)))
+    assert (s["min"], s["max"], s["count"]) == (20.0, 500.0, 6)
+    single = P.trip_statistics(locations(spark, LOC_ROWS[:1]), None).collect()[0]
+    assert single["std"] is None  # T14
+
+
+def test_distance_categories_zero_fill(spark):
+    short_only = locations(spark, [(1, "A", "a", 10, 1.0), (2, "A", "b", 5, 1.5)])
+    got = [tuple(r) for r in P.distance_categories(short_only, None).collect()]
+    assert got == [
+        ("Short (0-2mi)", 15, 2),
+        ("Medium (2-4mi)", 0, 0),
+        ("Long (4-6mi)", 0, 0),
+        ("Very Long (6+mi)", 0, 0),
+    ]
+    full = [tuple(r) for r in P.distance_categories(locations(spark, LOC_ROWS), None).collect()]
+    assert full == [
+        ("Short (0-2mi)", 500, 1),
+        ("Medium (2-4mi)", 300, 1),
+        ("Long (4-6mi)", 100, 1),
+        ("Very Long (6+mi)", 300, 1),
+    ]
+
+
+def test_histogram(spark):
+    df = locations(spark, LOC_ROWS)
+    h = P.distance_histogram(df, None, bins=4).collect()
+    # values 0, 1.5, 2.5, 5, 9 over [0, 9], width 2.25; the maximum is in the last bin
+    assert [(r["bin"], r["count"]) for r in h] == [(1, 2), (2, 1), (3, 1), (4, 1)]
+    assert h[0]["bin_start"] == 0.0 and h[-1]["bin_end"] == 9.0
+    same = locations(spark, [(1, "A", "a", 1, 3.0), (2, "A", "b", 2, 3.0)])
+    assert [(r["bin"], r["count"]) for r in P.distance_histogram(same, None).collect()] == [(1, 2)]  # T7
+
+
+def test_filters_and_options(spark):
+    df = locations(spark, LOC_ROWS)
+    assert filter_in(df, "Borough", []).count() == 6  # empty selection: no filter
+    assert filter_min(df, "number_of_trips", 0).count() == 6
+    out = P.filtered_locations(df, ["Queens", "Brooklyn"], 100, None).collect()
+    assert [r["PULocationID"] for r in out] == [3, 4]
+    assert out[0]["number_of_trips_text"] == "300" and out[0]["avg_trip_distance_text"] == "9.00"
+    opts = P.filter_options(df, None).collect()
+    assert [r["Borough"] for r in opts] == ["Brooklyn", "Manhattan", "Queens"]
+    assert {r["max_trips"] for r in opts} == {500}
+
+
+def test_distance_points(spark):
+    pts = P.distance_points(locations(spark, LOC_ROWS), 2).collect()
+    assert [(r["Zone"], r["number_of_trips"]) for r in pts] == [("Midtown", 500), ("Harlem", 300)]
+
+
+def test_filter_reaches_parquet_scan(spark, tmp_path, capsys):
+    path = str(tmp_path / "trips")
+    trips_df(spark, [(D(2021, 2, 2), None, 1, 2, 1.0)]).write.parquet(path)
+    out = P.pickup_location_stats(spark.read.parquet(path), zones_df(spark))
+    out.explain("formatted")
+    plan = capsys.readouterr().out
+    pushed = [line for line in plan.splitlines() if line.startswith("PushedFilters")]
+    assert any("GreaterThanOrEqual(pickup_datetime" in p and "LessThan(pickup_datetime" in p for p in pushed)
+    schema = [line for line in plan.splitlines() if line.startswith("ReadSchema")]
+    assert schema and all("dropoff_datetime" not in line and "DOLocationID" not in line for line in schema)
+    assert out.collect()[0]["number_of_trips"] == 1
+    assert not math.isnan(out.collect()[0]["avg_trip_distance"])
