@@ -143,9 +143,13 @@ def complete_categories(
     measures in ``fill`` defaulted for categories that have no rows (pandas
     ``observed=False``). Both sides hold at most one row per category, so
     the planner broadcasts them from their measured size."""
-    spark = agg.sparkSession
-    dim = spark.createDataFrame(
-        [(c, i) for i, c in enumerate(categories)], f"`{column}` string, _order int"
+    # built in the JVM (no Python rows), so its size is known to the planner
+    dim = agg.sparkSession.range(1).select(
+        F.inline(
+            F.array(
+                *[F.struct(F.lit(c).alias(column), F.lit(i).alias("_order")) for i, c in enumerate(categories)]
+            )
+        )
     )
     joined = dim.join(agg, column, "left")
     cols = [F.col(f"`{column}`")] + [

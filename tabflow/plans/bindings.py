@@ -7,6 +7,8 @@ any later filter still reach the scan.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,14 @@ MILES_DIVISOR = 6.0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The Parquet table ``name`` under ``sf_dir``, registered once per session
+    as a temporary view so later queries reuse its file listing and schema
+    instead of listing and reading footers again."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    view = "tabflow_" + hashlib.sha1(path.encode()).hexdigest()[:12] + "_" + name
+    if not spark.catalog.tableExists(view):
+        spark.read.parquet(path).createOrReplaceTempView(view)
+    return spark.table(view)
 
 
 def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
