@@ -26,6 +26,9 @@ from tabflow.operators.relational import (  # noqa: F401
     filter_min,
     frequency,
     histogram,
+    is_empty,
+    preview,
+    row_count,
     top_n,
 )
 from tabflow.operators.staging import (  # noqa: F401
@@ -33,6 +36,7 @@ from tabflow.operators.staging import (  # noqa: F401
     export_csv,
     new_ref,
     publish,
+    read_staged,
     stage_table,
     staged_path,
     write_audit,

@@ -106,15 +106,17 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
 
     Returns the non-empty bins: ``bin`` (1-based), ``bin_start``, ``bin_end``,
     ``count``. The maximum falls in the last bin; when all values are equal
-    everything is in bin 1. Null and NaN are skipped. Bounds come from one
-    scalar aggregate, so the data is scanned once for them and once for bins.
+    everything is in bin 1. Null and NaN are skipped. Both bounds come from
+    one scalar aggregate, so the input is read once for them and once for
+    the bins.
     """
     if bins < 1:
         raise ValueError("bins must be positive")
     x = nan_to_null(F.col(column))
     values = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    lo = values.select(F.min("x")).scalar()
-    hi = values.select(F.max("x")).scalar()
+    # one scalar subquery for both bounds (reused wherever it appears)
+    bounds = values.select(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
     nb = F.lit(bins)
     bucket = F.when(lo == hi, F.lit(1).cast("long")).otherwise(
         F.least(F.width_bucket(F.col("x"), lo, hi, nb), nb.cast("long"))
@@ -167,3 +169,19 @@ def enforce_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     if missing or extra:
         raise ValueError(f"column contract broken: missing {missing}, unexpected {extra}")
     return df.select(*[F.col(f"`{c}`") for c in want])
+
+
+def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
+    """Number of rows as a one-row DataFrame (stays lazy, composes with
+    other reports)."""
+    return df.agg(F.count(F.lit(1)).alias(name))
+
+
+def is_empty(df: DataFrame) -> bool:
+    """True when ``df`` has no row; reads at most one row."""
+    return df.isEmpty()
+
+
+def preview(df: DataFrame, n: int = 10) -> DataFrame:
+    """An inspection sample of ``n`` rows (no order implied)."""
+    return df.limit(n)

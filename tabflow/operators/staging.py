@@ -38,6 +38,11 @@ def staged_path(spark: SparkSession, table: str, ref: str, root: str | None = No
     return f"{base}/staging/{ref}/{table.replace('.', '/')}"
 
 
+def read_staged(spark: SparkSession, table: str, ref: str, root: str | None = None) -> DataFrame:
+    """A table as it is in staging area ``ref`` (read at a ref)."""
+    return spark.read.parquet(staged_path(spark, table, ref, root))
+
+
 def _norm(p: str) -> str:
     p = p.rstrip("/")
     for scheme in ("file://", "file:"):

@@ -138,6 +138,8 @@ SELECT customer_segment, total_sessions, converting_sessions, conversion_rate,
        format('{:,}', converting_sessions) AS conversions_text,
        printf('%.2f%%', conversion_rate * 100.0) AS conversion_rate_text
 FROM cbs""",
+    "best_segment": _with(_SESSIONS)
+    + f"\nSELECT * FROM cbs ORDER BY conversion_rate DESC, {_SEGMENT_RANK}, customer_segment LIMIT 1",
     "checks_conversion": _with(_SESSIONS)
     + "\n"
     + "\nUNION ALL\n".join(
@@ -242,6 +244,8 @@ SELECT PULocationID, Borough, Zone, number_of_trips, avg_trip_distance,
        format('{:,}', number_of_trips) AS number_of_trips_text,
        printf('%.2f', avg_trip_distance) AS avg_trip_distance_text
 FROM loc WHERE Borough IN ('ASIA', 'EUROPE') AND number_of_trips >= 3""",
+    "filtered_location_count": _with(_ZONES)
+    + "\nSELECT COUNT(*) AS locations FROM loc WHERE Borough IN ('ASIA', 'EUROPE') AND number_of_trips >= 3",
     "checks_dimensions": _with(_ZONES, _SESSIONS.strip().rstrip(","))
     + """
 SELECT 'unique' AS "check", 'LocationID' AS "column", 'fail' AS severity,

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tabflow.functions import round_half
 from tabflow.operators.checks import field_is, is_floating, run_checks, unique
+from tabflow.operators.relational import row_count
 from tabflow.plans import bindings as B
 from tabflow.plans import conversion, engagement, trips
 from tabflow.plans.flows import import_table
@@ -57,6 +58,10 @@ def q_segment_report(spark: SparkSession, sf: str) -> DataFrame:
     return conversion.segment_report(q_conversion_by_segment(spark, sf))
 
 
+def q_best_segment(spark: SparkSession, sf: str) -> DataFrame:
+    return conversion.best_segment(q_conversion_by_segment(spark, sf))
+
+
 def q_checks_conversion(spark: SparkSession, sf: str) -> DataFrame:
     return run_checks(q_conversion_by_segment(spark, sf), conversion.conversion_checks())
 
@@ -127,6 +132,11 @@ def q_filtered_locations(spark: SparkSession, sf: str) -> DataFrame:
     return trips.filtered_locations(locations(spark, sf), FILTER_BOROUGHS, FILTER_MIN_TRIPS, None)
 
 
+def q_filtered_location_count(spark: SparkSession, sf: str) -> DataFrame:
+    filtered = trips.filtered_locations(locations(spark, sf), FILTER_BOROUGHS, FILTER_MIN_TRIPS, None)
+    return row_count(filtered, "locations")
+
+
 def q_checks_dimensions(spark: SparkSession, sf: str) -> DataFrame:
     """Key uniqueness of both dimensions (E9) and the type expectations of the
     joined trips (E6, E8), as one result table."""
@@ -181,6 +191,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conversion_by_segment": q_conversion_by_segment,
     "conversion_kpis": q_conversion_kpis,
     "segment_report": q_segment_report,
+    "best_segment": q_best_segment,
     "checks_conversion": q_checks_conversion,
     "trips_and_zones": q_trips_and_zones,
     "top_pickup_locations": q_top_pickup_locations,
@@ -196,6 +207,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distance_categories": q_distance_categories,
     "filter_options": q_filter_options,
     "filtered_locations": q_filtered_locations,
+    "filtered_location_count": q_filtered_location_count,
     "checks_dimensions": q_checks_dimensions,
     "override_types_roundtrip": q_override_types_roundtrip,
     "write_audit_roundtrip": q_write_audit_roundtrip,

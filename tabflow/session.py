@@ -33,8 +33,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None when the session has none (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    sc = _context(spark)
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    return master.startswith("local")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,9 +55,10 @@ def shared_dir(spark: SparkSession) -> str:
     missing we only invent one in local mode (tests); on a cluster we refuse,
     because a machine-local temporary folder would lose data with an executor.
     """
+    sc = _context(spark)
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    if not path and sc is not None:
+        path = sc.getCheckpointDir()
     if not path:
         if not _is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...) first")
@@ -56,6 +67,6 @@ def shared_dir(spark: SparkSession) -> str:
             spark.conf.set("spark.checkpoint.dir", path)
         except Exception:  # core config may be read-only at runtime
             pass
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path.rstrip("/")
