@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 
 from tabflow.operators.checks import Check, field_is, not_empty, run_checks
 from tabflow.operators.staging import AuditResult, new_ref, stage_table, write_audit
-from tabflow.plans import conversion, trips
-from tabflow.sources import detect_schema, override_types, read_parquet_glob, read_source
+from tabflow.plans import conversion, engagement, trips
+from tabflow.sources import override_types, read_parquet_glob, read_source
 
 
 def import_table(
@@ -30,17 +30,18 @@ def import_table(
     fmt: str = "parquet",
     root: str | None = None,
     raise_on_failure: bool = True,
+    schema: T.StructType | str | None = None,
 ) -> AuditResult:
     """Detect the source schema, apply type overrides, stage the table under
     ``ref`` and audit it (not empty, plus one ``field_is`` per override). The
-    staged table is kept whether the audit passes or fails."""
+    staged table is kept whether the audit passes or fails. CSV sources take
+    an explicit ``schema`` (else types are inferred in one extra pass)."""
     ref = ref or new_ref("import")
     overrides = dict(overrides or {})
-    if fmt == "parquet":
+    if fmt == "parquet" and schema is None:
         df = read_parquet_glob(spark, uri, overrides)
     else:
-        detect_schema(spark, uri, fmt)
-        df = override_types(read_source(spark, uri, fmt), overrides)
+        df = override_types(read_source(spark, uri, fmt, schema), overrides)
     gate = list(checks) if checks is not None else [not_empty()]
     for column, type_name in overrides.items():
         name = type_name if isinstance(type_name, str) else type_name.simpleString()
@@ -109,3 +110,25 @@ def run_conversion_flow(
         {"conversion_by_segment": audited.path},
         {"conversion_by_segment": audited.checks},
     )
+
+
+def run_engagement_flow(
+    spark: SparkSession,
+    uri: str,
+    ref: str | None = None,
+    fmt: str = "csv",
+    schema: T.StructType | str | None = None,
+    score: str = engagement.SCORE,
+    measures: Sequence[str] = (engagement.SCORE, engagement.MINUTES),
+    root: str | None = None,
+) -> FlowResult:
+    """Import the users file (CSV by default) into a fresh ref, then the two
+    nodes: ``user_segments`` (score cut at its exact terciles) and
+    ``segment_summary``, both staged in the same ref."""
+    ref = ref or new_ref("engagement")
+    imported = import_table(spark, uri, "engagement_users", ref, fmt=fmt, schema=schema, root=root)
+    segmented = engagement.user_segments(imported.staged(spark), score)
+    seg_path, _ = stage_table(segmented, "user_segments", ref, root)
+    summary = engagement.segment_summary(spark.read.parquet(seg_path), measures)
+    sum_path, _ = stage_table(summary, "segment_summary", ref, root)
+    return FlowResult(ref, imported, {"user_segments": seg_path, "segment_summary": sum_path})

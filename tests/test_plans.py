@@ -1,0 +1,50 @@
+"""Physical-plan properties of every registered query: it stays in the JVM
+(no Python UDF operators), never builds a cartesian product, and the trip
+window reaches the Parquet reader."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as E
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+
+PYTHON_OPERATORS = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+PAIR_OPERATORS = ("CartesianProduct", "BroadcastNestedLoopJoin")
+
+
+def plan_text(df) -> str:
+    qe = df._jdf.queryExecution()
+    return qe.executedPlan().toString() + "\n" + qe.optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plan_is_jvm_only_and_pair_free(spark, name):
+    text = plan_text(E.queries()[name](spark, SF))
+    for op in PYTHON_OPERATORS + PAIR_OPERATORS:
+        assert op not in text, f"{name}: {op} in plan"
+
+
+@pytest.mark.parametrize("name", ["trips_and_zones", "top_pickup_locations", "top_pickup_locations_joined"])
+def test_trip_window_pushed_to_scan(spark, name, capsys):
+    E.queries()[name](spark, SF).explain("formatted")
+    plan = capsys.readouterr().out
+    pushed = [line for line in plan.splitlines() if line.startswith("PushedFilters") and "l_shipdate" in line]
+    assert pushed and "GreaterThanOrEqual(l_shipdate" in pushed[0] and "LessThan(l_shipdate" in pushed[0]
+    lineitem = [line for line in plan.splitlines() if line.startswith("ReadSchema") and "l_shipdate" in line]
+    assert lineitem and all("l_extendedprice" not in line and "l_comment" not in line for line in lineitem)
+
+
+def test_top_ten_is_take_ordered(spark):
+    text = plan_text(E.queries()["top_locations_10"](spark, SF))
+    assert "TakeOrderedAndProject" in text
+
+
+def test_joins_aggregate_below_the_join(spark):
+    # the fact side reaches the join as one row per key (a final aggregate under the join)
+    for name in ("conversion_by_segment", "top_pickup_locations"):
+        text = E.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        join_at = text.find("Join Inner")
+        assert join_at >= 0 and "Aggregate" in text[join_at:], name

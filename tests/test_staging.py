@@ -161,3 +161,21 @@ def test_conversion_flow(spark, tmp_path, root):
     res = flows.run_conversion_flow(spark, src, users, root=root)
     out = sorted(tuple(r) for r in spark.read.parquet(res.outputs["conversion_by_segment"]).collect())
     assert out == [("high", 2, 1, 0.5), ("low", 1, 0, 0.0)]
+
+
+def test_engagement_flow_from_csv(spark, tmp_path, root):
+    path = str(tmp_path / "users.csv")
+    with open(path, "w") as fh:
+        fh.write("user_id,user_engagement_score,daily_active_minutes_instagram\n")
+        for i in range(30):
+            fh.write(f"{i},{i % 10},{60 + i}\n")
+    res = flows.run_engagement_flow(
+        spark,
+        path,
+        schema="user_id long, user_engagement_score double, daily_active_minutes_instagram double",
+        root=root,
+    )
+    summary = spark.read.parquet(res.outputs["segment_summary"]).orderBy("engagement_segment").collect()
+    counts = {r["engagement_segment"]: r["users"] for r in summary}
+    # scores 0..9 three times each; terciles at 3 and 6: low 0-3, medium 4-6, high 7-9
+    assert counts == {"low": 12, "medium": 9, "high": 9}
