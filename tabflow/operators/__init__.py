@@ -29,6 +29,7 @@ from tabflow.operators.relational import (  # noqa: F401
     is_empty,
     preview,
     row_count,
+    salted_enrich,
     top_n,
 )
 from tabflow.operators.staging import (  # noqa: F401

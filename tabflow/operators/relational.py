@@ -29,6 +29,67 @@ def enrich(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: st
     return joined.select(*[F.col(f"_fact.{c}") for c in fact.columns], *dim_cols)
 
 
+def salted_enrich(
+    fact: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    dim_key: str,
+    how: str = "inner",
+    hot_fraction: float = 0.01,
+    salt: int = 32,
+) -> DataFrame:
+    """``enrich`` for a fact whose join key may be hot (one key holding a large
+    share of all rows) and a dimension too large to broadcast.
+
+    Keys holding at least ``hot_fraction`` of the fact rows are found with one
+    partial aggregate; there are at most ``1 / hot_fraction`` of them, so that
+    key list is broadcast under a proven bound. Fact rows of a hot key get a
+    deterministic salt in ``[0, salt)`` (a hash of the row, stable on task
+    retry); the dimension rows of hot keys are repeated once per salt value.
+    The join on (key, salt) then spreads a hot key over ``salt`` tasks. Cold
+    keys keep salt 0 and join as usual. Same rows as ``enrich``.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("salted_enrich supports inner and left joins")
+    fk = F.col(f"`{fact_key}`")
+    total = fact.select(F.count(F.lit(1))).scalar()
+    hot = (
+        fact.where(fk.isNotNull())
+        .groupBy(fk.alias("_hot_key"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") >= total * F.lit(float(hot_fraction)))
+        .select("_hot_key", F.lit(True).alias("_is_hot"))
+    )
+    hot_b = F.broadcast(hot)  # at most 1 / hot_fraction rows
+    f = (
+        fact.alias("_fact")
+        .join(hot_b, F.col(f"_fact.{fact_key}") == F.col("_hot_key"), "left")
+        .select(
+            *[F.col(f"_fact.`{c}`") for c in fact.columns],
+            F.when(F.col("_is_hot"), F.pmod(F.xxhash64(*[F.col(f"_fact.`{c}`") for c in fact.columns]), F.lit(salt)))
+            .otherwise(F.lit(0))
+            .alias("_salt"),
+        )
+    )
+    d = (
+        dim.alias("_dim")
+        .join(hot_b, F.col(f"_dim.{dim_key}") == F.col("_hot_key"), "left")
+        .select(
+            *[F.col(f"_dim.`{c}`") for c in dim.columns],
+            F.explode(
+                F.when(F.col("_is_hot"), F.sequence(F.lit(0), F.lit(salt - 1))).otherwise(F.array(F.lit(0)))
+            ).alias("_salt"),
+        )
+    )
+    fa, da = f.alias("_f"), d.alias("_d")
+    cond = (F.col(f"_f.{fact_key}") == F.col(f"_d.{dim_key}")) & (F.col("_f._salt") == F.col("_d._salt"))
+    joined = fa.join(da, cond, how)
+    return joined.select(
+        *[F.col(f"_f.`{c}`") for c in fact.columns],
+        *[F.col(f"_d.`{c}`") for c in dim.columns if c != dim_key],
+    )
+
+
 def filter_in(df: DataFrame, column: str, values: Sequence | None) -> DataFrame:
     """Keep rows whose ``column`` is in ``values``; no filter when the
     selection is empty (an empty ``isin`` would keep nothing)."""

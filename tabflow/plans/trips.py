@@ -48,6 +48,7 @@ from tabflow.operators.relational import (
     filter_min,
     frequency,
     histogram,
+    salted_enrich,
     top_n,
 )
 from tabflow.sources import scan
@@ -81,12 +82,16 @@ def trips_and_zones(
     trip_key: str = "PULocationID",
     zone_key: str = "LocationID",
     miles: str = "trip_miles",
+    hot_fraction: float | None = None,
 ) -> DataFrame:
     """Trips in ``[start, end)`` with their pickup zone.
 
     Columns: the trip columns without ``miles``, then ``miles`` cast strictly
     to double (text that is not a number fails the job), then the zone
     columns without the zone key. Trips without a zone are dropped.
+    With ``hot_fraction`` the join salts pickup locations that hold at least
+    that share of the trips (for a zone table too large to broadcast);
+    otherwise the planner and AQE's skew-join handling choose.
     """
     cols = [c for c in (columns or trips.columns) if c in trips.columns]
     selected = scan(trips, cols, time_window(time_column, start, end))
@@ -94,6 +99,8 @@ def trips_and_zones(
         *[F.col(f"`{c}`") for c in cols if c != miles],
         as_double(selected, miles).alias(miles),
     )
+    if hot_fraction is not None:
+        return salted_enrich(fact, zones, trip_key, zone_key, hot_fraction=hot_fraction)
     return enrich(fact, zones, trip_key, zone_key)
 
 

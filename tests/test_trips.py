@@ -194,3 +194,17 @@ def test_filter_reaches_parquet_scan(spark, tmp_path, capsys):
     assert schema and all("dropoff_datetime" not in line and "DOLocationID" not in line for line in schema)
     assert out.collect()[0]["number_of_trips"] == 1
     assert not math.isnan(out.collect()[0]["avg_trip_distance"])
+
+
+def test_salted_join_equals_plain_join(spark):
+    rows = []
+    for i in range(300):
+        key = 1 if i % 3 else 2 + i % 5  # location 1 holds two thirds of the trips
+        rows.append((D(2021, 2, 1 + i % 13, i % 24), None, key, i, float(i % 17)))
+    t = trips_df(spark, rows)
+    z = zones_df(spark, [(k, f"B{k % 2}", f"z{k}") for k in range(1, 8)])
+    plain = sorted(tuple(r) for r in P.trips_and_zones(t, z).collect())
+    salted_df = P.trips_and_zones(t, z, hot_fraction=0.1)
+    assert sorted(tuple(r) for r in salted_df.collect()) == plain
+    assert salted_df.columns == P.trips_and_zones(t, z).columns
+    assert "CartesianProduct" not in salted_df._jdf.queryExecution().executedPlan().toString()
