@@ -73,15 +73,16 @@ def q_trips_and_zones(spark: SparkSession, sf: str) -> DataFrame:
     return trips.trips_and_zones(B.trips(spark, sf), B.zones(spark, sf), B.TRIP_START, B.TRIP_END)
 
 
-def locations(spark: SparkSession, sf: str) -> DataFrame:
-    """Per-location statistics (D4), aggregated below the join."""
+def locations(spark: SparkSession, sf: str, ordered: bool = False) -> DataFrame:
+    """Per-location statistics (D4), aggregated below the join. The reports
+    take it unordered: they sort or aggregate it themselves."""
     return trips.pickup_location_stats(
-        B.trips(spark, sf), B.zones(spark, sf), B.TRIP_START, B.TRIP_END, digits=DIGITS
+        B.trips(spark, sf), B.zones(spark, sf), B.TRIP_START, B.TRIP_END, digits=DIGITS, ordered=ordered
     )
 
 
 def q_top_pickup_locations(spark: SparkSession, sf: str) -> DataFrame:
-    return locations(spark, sf)
+    return locations(spark, sf, ordered=True)
 
 
 def q_top_pickup_locations_joined(spark: SparkSession, sf: str) -> DataFrame:

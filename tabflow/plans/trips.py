@@ -115,10 +115,12 @@ def top_pickup_locations(
     time_column: str = "pickup_datetime",
     miles: str = "trip_miles",
     digits: int | None = None,
+    ordered: bool = True,
 ) -> DataFrame:
     """Per (location, borough, zone): ``number_of_trips`` (non-null pickup
     times) and ``avg_trip_distance`` (mean skipping null and NaN), most trips
-    first. Groups with a null key are dropped (pandas ``groupby``)."""
+    first (``ordered=False`` skips the global sort, for consumers that
+    aggregate). Groups with a null key are dropped (pandas ``groupby``)."""
     present = F.lit(True)
     for k in keys:
         present = present & F.col(k).isNotNull()
@@ -130,7 +132,7 @@ def top_pickup_locations(
         .groupBy(*keys)
         .agg(F.count(time_column).alias("number_of_trips"), avg.alias("avg_trip_distance"))
     )
-    return top_n(out, "number_of_trips", None, keys)
+    return top_n(out, "number_of_trips", None, keys) if ordered else out
 
 
 def pickup_location_stats(
@@ -145,6 +147,7 @@ def pickup_location_stats(
     borough: str = "Borough",
     zone: str = "Zone",
     digits: int | None = None,
+    ordered: bool = True,
 ) -> DataFrame:
     """``top_pickup_locations(trips_and_zones(trips, zones, start, end))``
     with the aggregation pushed below the join (same rows, same values)."""
@@ -174,7 +177,7 @@ def pickup_location_stats(
         )
         .withColumnRenamed(trip_key, "PULocationID")
     )
-    return top_n(out, "number_of_trips", None, LOCATION_KEYS)
+    return top_n(out, "number_of_trips", None, LOCATION_KEYS) if ordered else out
 
 
 def displayed(locations: DataFrame, limit: int | None = DEFAULT_LIMIT) -> DataFrame:
@@ -183,10 +186,17 @@ def displayed(locations: DataFrame, limit: int | None = DEFAULT_LIMIT) -> DataFr
     return top_n(locations, "number_of_trips", limit, LOCATION_KEYS)
 
 
+def _shown(locations: DataFrame, limit: int | None) -> DataFrame:
+    """The displayed rows for a consumer that does not care about their order
+    (an aggregate): the top ``limit``, or the table itself for ``None`` so no
+    global sort is planned under the aggregate."""
+    return locations if limit is None else displayed(locations, limit)
+
+
 def location_kpis(locations: DataFrame, limit: int | None = DEFAULT_LIMIT) -> DataFrame:
     """One row over the displayed locations: total trips, unweighted mean of
     the per-location average distances, and the top location with its trips."""
-    shown = displayed(locations, limit)
+    shown = _shown(locations, limit)
     first_key = F.struct(-F.col("number_of_trips"), F.col("PULocationID"), F.col("Borough"), F.col("Zone"))
     return shown.agg(
         F.coalesce(F.sum("number_of_trips"), F.lit(0)).cast("long").alias("total_trips"),
@@ -204,14 +214,14 @@ def borough_mix(locations: DataFrame, n: int = TOP_BARS) -> DataFrame:
 def trip_statistics(locations: DataFrame, limit: int | None = DEFAULT_LIMIT, digits: int | None = None) -> DataFrame:
     """Mean, exact median, sample std, min and max of ``number_of_trips``
     over the displayed locations."""
-    return describe_column(displayed(locations, limit), "number_of_trips", digits)
+    return describe_column(_shown(locations, limit), "number_of_trips", digits)
 
 
 def borough_report(locations: DataFrame, limit: int | None = DEFAULT_LIMIT) -> DataFrame:
     """Per borough: total trips, unweighted mean of location averages, number
     of zones; most trips first. Null boroughs are dropped."""
     return (
-        displayed(locations, limit)
+        _shown(locations, limit)
         .where(F.col("Borough").isNotNull())
         .groupBy("Borough")
         .agg(
@@ -234,7 +244,7 @@ def distance_histogram(
     locations: DataFrame, limit: int | None = DEFAULT_LIMIT, bins: int = HISTOGRAM_BINS
 ) -> DataFrame:
     """Equal-width histogram of the per-location average distances."""
-    return histogram(displayed(locations, limit), "avg_trip_distance", bins)
+    return histogram(_shown(locations, limit), "avg_trip_distance", bins)
 
 
 def distance_categories(
@@ -248,7 +258,7 @@ def distance_categories(
     fall in none."""
     category = bucket_label("avg_trip_distance", edges, labels)
     agg = (
-        displayed(locations, limit)
+        _shown(locations, limit)
         .withColumn("Distance Category", category)
         .where(F.col("`Distance Category`").isNotNull())
         .groupBy("Distance Category")
@@ -263,7 +273,7 @@ def distance_categories(
 def filter_options(locations: DataFrame, limit: int | None = DEFAULT_LIMIT) -> DataFrame:
     """The choices of the table filters: sorted distinct boroughs, each row
     carrying the largest trip count (the upper bound of the minimum filter)."""
-    shown = displayed(locations, limit)
+    shown = _shown(locations, limit)
     max_trips = shown.select(F.max("number_of_trips")).scalar()
     return distinct_sorted(shown, "Borough").withColumn("max_trips", max_trips)
 
