@@ -170,6 +170,7 @@ FROM cbs""",
     "top_pickup_locations": _with(_ZONES) + f"\nSELECT * FROM loc {_ORDER}",
     "top_pickup_locations_joined": _with(_ZONES) + f"\nSELECT * FROM loc {_ORDER}",
     "top_locations_10": _with(_ZONES) + f"\nSELECT * FROM loc {_ORDER} LIMIT 10",
+    "top_locations_sql": _with(_ZONES) + f"\nSELECT * FROM loc {_ORDER} LIMIT 25",
     "location_kpis": _with(_ZONES, _top(50))
     + f"""
 SELECT CAST(COALESCE(SUM(number_of_trips), 0) AS BIGINT) AS total_trips,

@@ -26,6 +26,7 @@ DIGITS = 6
 FILTER_BOROUGHS = ["ASIA", "EUROPE"]
 FILTER_MIN_TRIPS = 3
 TOP_TEN = 10
+TOP_SQL = 25
 
 
 def _round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -93,6 +94,10 @@ def q_top_locations_10(spark: SparkSession, sf: str) -> DataFrame:
     return trips.displayed(locations(spark, sf), TOP_TEN)
 
 
+def q_top_locations_sql(spark: SparkSession, sf: str) -> DataFrame:
+    return trips.top_locations_sql(locations(spark, sf), TOP_SQL)
+
+
 def q_location_kpis(spark: SparkSession, sf: str) -> DataFrame:
     return _round_doubles(trips.location_kpis(locations(spark, sf), trips.DEFAULT_LIMIT))
 
@@ -198,6 +203,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_pickup_locations": q_top_pickup_locations,
     "top_pickup_locations_joined": q_top_pickup_locations_joined,
     "top_locations_10": q_top_locations_10,
+    "top_locations_sql": q_top_locations_sql,
     "location_kpis": q_location_kpis,
     "location_kpis_all": q_location_kpis_all,
     "borough_mix_top20": q_borough_mix_top20,

@@ -39,6 +39,7 @@ from tabflow.functions import (
     round_half,
 )
 from tabflow.operators.checks import Check, is_floating
+from tabflow.operators.staging import export_csv
 from tabflow.operators.relational import (
     complete_categories,
     describe_column,
@@ -294,3 +295,30 @@ def filtered_locations(
         fmt_count("number_of_trips").alias("number_of_trips_text"),
         fmt_decimal("avg_trip_distance", 2).alias("avg_trip_distance_text"),
     )
+
+
+def top_locations_sql(locations: DataFrame, limit: int | None = DEFAULT_LIMIT) -> DataFrame:
+    """The dashboard's query text over the location table, run through
+    ``spark.sql`` with the DataFrame bound as a parameter (no global view)."""
+    text = (
+        "SELECT PULocationID, Borough, Zone, number_of_trips, avg_trip_distance FROM {locs} "
+        "ORDER BY number_of_trips DESC, PULocationID, Borough, Zone"
+    )
+    if limit is not None:
+        text += f" LIMIT {int(limit)}"
+    return locations.sparkSession.sql(text, locs=locations)
+
+
+def export_filtered_locations(
+    locations: DataFrame,
+    path: str,
+    boroughs: Sequence[str] | None = None,
+    min_trips: int = 0,
+    limit: int | None = DEFAULT_LIMIT,
+) -> None:
+    """CSV download of the table as filtered on screen (one file: the table
+    is bounded by ``limit``; with ``limit=None`` every task writes a part)."""
+    out = filtered_locations(locations, boroughs, min_trips, limit).select(
+        *LOCATION_KEYS, "number_of_trips", "avg_trip_distance"
+    )
+    export_csv(out, path, single_file=limit is not None)

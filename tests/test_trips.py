@@ -208,3 +208,16 @@ def test_salted_join_equals_plain_join(spark):
     assert sorted(tuple(r) for r in salted_df.collect()) == plain
     assert salted_df.columns == P.trips_and_zones(t, z).columns
     assert "CartesianProduct" not in salted_df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sql_top_n_and_export(spark, tmp_path):
+    import glob
+
+    df = locations(spark, LOC_ROWS)
+    assert [r["PULocationID"] for r in P.top_locations_sql(df, 3).collect()] == [1, 2, 3]
+    path = str(tmp_path / "export")
+    P.export_filtered_locations(df, path, ["Queens"], 0, 50)  # T9: the filtered table is exported
+    files = glob.glob(f"{path}/*.csv")
+    lines = open(files[0]).read().splitlines()
+    assert len(files) == 1 and lines[0] == "PULocationID,Borough,Zone,number_of_trips,avg_trip_distance"
+    assert len(lines) == 3
