@@ -65,10 +65,12 @@ def conversion_by_segment(
     users: DataFrame,
     user: str = "user_id",
     segment: str = "customer_segment",
+    ordered: bool = True,
 ) -> DataFrame:
     """Sessions, converting sessions and the conversion rate (rounded to 4
-    decimals) per non-null segment, highest rate first. Sessions whose user
-    is unknown are not counted."""
+    decimals) per non-null segment, highest rate first (``ordered=False``
+    skips that sort for consumers that aggregate). Sessions whose user is
+    unknown are not counted."""
     per_user = (
         sessions.where(F.col(user).isNotNull())
         .groupBy(user)
@@ -83,8 +85,9 @@ def conversion_by_segment(
             F.sum("_converting").cast("long").alias("converting_sessions"),
         )
         .withColumn("conversion_rate", ratio("converting_sessions", "total_sessions", RATE_DIGITS))
-        .orderBy(F.col("conversion_rate").desc_nulls_last(), F.col(segment).asc_nulls_last())
     )
+    if ordered:
+        by_segment = by_segment.orderBy(F.col("conversion_rate").desc_nulls_last(), F.col(segment).asc_nulls_last())
     return enforce_columns(by_segment.withColumnRenamed(segment, "customer_segment"), OUTPUT_COLUMNS)
 
 

@@ -52,7 +52,8 @@ def q_conversion_by_segment(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_conversion_kpis(spark: SparkSession, sf: str) -> DataFrame:
-    return conversion.conversion_kpis(q_conversion_by_segment(spark, sf))
+    by_segment = conversion.conversion_by_segment(q_session_conversion(spark, sf), B.users(spark, sf), ordered=False)
+    return conversion.conversion_kpis(by_segment)
 
 
 def q_segment_report(spark: SparkSession, sf: str) -> DataFrame:
