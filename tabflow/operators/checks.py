@@ -119,7 +119,7 @@ def not_empty(severity: str = FAIL) -> Check:
 def field_is(column: str, type_name: str, severity: str = FAIL) -> Check:
     """The column's type is ``type_name`` (Spark simple string, e.g.
     ``string``, ``double``, ``bigint``)."""
-    want = T._parse_datatype_string(type_name).simpleString()
+    want = T.DataType.fromDDL(type_name).simpleString()
     return Check(
         "field_is",
         (column,),

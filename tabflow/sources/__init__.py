@@ -48,7 +48,7 @@ def field_type(df: DataFrame, name: str) -> str:
 
 
 def _cast(c: Column, source: T.DataType, target: str) -> Column:
-    t = T._parse_datatype_string(target) if isinstance(target, str) else target
+    t = T.DataType.fromDDL(target) if isinstance(target, str) else target
     if isinstance(t, T.DoubleType) and isinstance(source, T.StringType):
         return strict_double(c)
     return c.cast(t)
