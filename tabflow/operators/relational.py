@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tabflow.functions import nan_to_null, round_half
 from tabflow.operators.quantiles import exact_quantiles
+from tabflow.session import shared_dir
 
 
 def enrich(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "inner") -> DataFrame:
@@ -167,17 +168,25 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
 
     Returns the non-empty bins: ``bin`` (1-based), ``bin_start``, ``bin_end``,
     ``count``. The maximum falls in the last bin; when all values are equal
-    everything is in bin 1. Null and NaN are skipped. Both bounds come from
-    one scalar aggregate, so the input is read once for them and once for
-    the bins.
+    everything is in bin 1. Null and NaN are skipped.
     """
     if bins < 1:
         raise ValueError("bins must be positive")
     x = nan_to_null(F.col(column))
-    values = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    # one scalar subquery for both bounds (reused wherever it appears)
-    bounds = values.select(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
+    # Distinct values with their counts, checkpointed once to the shared
+    # folder; the two bounds are read from it as plain numbers (a one-row
+    # aggregate, not data) and the bins are computed from it, so the input
+    # plan runs once. Scalar subqueries would re-run it per reference.
+    shared_dir(df.sparkSession)
+    values = (
+        df.select(x.alias("x"))
+        .where(F.col("x").isNotNull())
+        .groupBy("x")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .checkpoint(eager=True)
+    )
+    lo_v, hi_v = values.agg(F.min("x"), F.max("x")).first()
+    lo, hi = F.lit(lo_v).cast("double"), F.lit(hi_v).cast("double")
     nb = F.lit(bins)
     bucket = F.when(lo == hi, F.lit(1).cast("long")).otherwise(
         F.least(F.width_bucket(F.col("x"), lo, hi, nb), nb.cast("long"))
@@ -185,7 +194,7 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     width = (hi - lo) / nb
     return (
         values.groupBy(bucket.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("count"))
+        .agg(F.sum("_n").alias("count"))
         .select(
             "bin",
             (lo + (F.col("bin") - 1) * width).alias("bin_start"),

@@ -10,8 +10,8 @@ quantiles, right-closed like ``pandas.qcut``:
     high    score > q(2/3)
 
 The cut points come from ``exact_quantiles`` (distributed, no single task
-holds the column) and reach every row as scalar subqueries, never through
-the driver.
+holds the column); only the two resulting numbers reach the driver and go
+back into the plan as literals.
 """
 
 from __future__ import annotations
@@ -37,9 +37,10 @@ def engagement_cuts(users: DataFrame, score: str = SCORE) -> DataFrame:
 
 def user_segments(users: DataFrame, score: str = SCORE, segment: str = "engagement_segment") -> DataFrame:
     """``users`` with an engagement segment column (null for a null/NaN score)."""
-    cuts = engagement_cuts(users, score)
-    lo = cuts.select("cut_low").scalar()
-    hi = cuts.select("cut_high").scalar()
+    # the two cut points are one small aggregate; fetched as numbers they
+    # enter the plan as literals (a scalar subquery would re-run per use)
+    lo_v, hi_v = engagement_cuts(users, score).first()
+    lo, hi = F.lit(lo_v).cast("double"), F.lit(hi_v).cast("double")
     x = nan_to_null(F.col(score))
     low, medium, high = ENGAGEMENT_LABELS
     label = F.when(x <= lo, F.lit(low)).when(x <= hi, F.lit(medium)).when(x.isNotNull(), F.lit(high))
