@@ -80,14 +80,17 @@ def read_parquet_glob(
     then name the conflicting columns) and the groups are unioned by name.
     """
     overrides = dict(overrides or {})
+    single = spark.read.parquet(uri)
+    if len(single.inputFiles()) <= 1:  # one file: nothing to merge
+        return override_types(single, overrides) if overrides else single
     try:
         df = spark.read.option("mergeSchema", True).parquet(uri)
-        df.schema  # forces footer merge
+        df.schema  # forces the (distributed) footer merge
         return override_types(df, overrides) if overrides else df
     except Exception as exc:  # surfaces as AnalysisException or a wrapped SparkException
         if "CANNOT_MERGE" not in str(exc):
             raise
-    files = spark.read.parquet(uri).inputFiles()
+    files = single.inputFiles()
     groups: dict[str, list[str]] = {}
     for f in files:
         groups.setdefault(spark.read.parquet(f).schema.json(), []).append(f)
