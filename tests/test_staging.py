@@ -179,3 +179,17 @@ def test_engagement_flow_from_csv(spark, tmp_path, root):
     counts = {r["engagement_segment"]: r["users"] for r in summary}
     # scores 0..9 three times each; terciles at 3 and 6: low 0-3, medium 4-6, high 7-9
     assert counts == {"low": 12, "medium": 9, "high": 9}
+
+
+def test_import_partitioned_prunes_directories(spark, tmp_path, root, capsys):
+    import datetime as dt
+
+    src = str(tmp_path / "events_src")
+    spark.createDataFrame(
+        [(1, dt.date(2021, 2, d)) for d in range(1, 11)], "id long, day date"
+    ).write.parquet(src)
+    res = flows.import_table(spark, src, "events", root=root, partition_by=["day"])
+    staged = res.staged(spark).where(F.col("day") >= dt.date(2021, 2, 9))
+    staged.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(day" in plan and staged.count() == 2
