@@ -25,9 +25,9 @@ def enrich(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: st
     """
     d = dim.alias("_dim")
     f = fact.alias("_fact")
-    joined = f.join(d, F.col(f"_fact.{fact_key}") == F.col(f"_dim.{dim_key}"), how)
-    dim_cols = [F.col(f"_dim.{c}") for c in dim.columns if c != dim_key]
-    return joined.select(*[F.col(f"_fact.{c}") for c in fact.columns], *dim_cols)
+    joined = f.join(d, F.col(f"_fact.`{fact_key}`") == F.col(f"_dim.`{dim_key}`"), how)
+    dim_cols = [F.col(f"_dim.`{c}`") for c in dim.columns if c != dim_key]
+    return joined.select(*[F.col(f"_fact.`{c}`") for c in fact.columns], *dim_cols)
 
 
 def salted_enrich(
@@ -64,7 +64,7 @@ def salted_enrich(
     hot_b = F.broadcast(hot)  # at most 1 / hot_fraction rows
     f = (
         fact.alias("_fact")
-        .join(hot_b, F.col(f"_fact.{fact_key}") == F.col("_hot_key"), "left")
+        .join(hot_b, F.col(f"_fact.`{fact_key}`") == F.col("_hot_key"), "left")
         .select(
             *[F.col(f"_fact.`{c}`") for c in fact.columns],
             F.when(F.col("_is_hot"), F.pmod(F.xxhash64(*[F.col(f"_fact.`{c}`") for c in fact.columns]), F.lit(salt)))
@@ -74,7 +74,7 @@ def salted_enrich(
     )
     d = (
         dim.alias("_dim")
-        .join(hot_b, F.col(f"_dim.{dim_key}") == F.col("_hot_key"), "left")
+        .join(hot_b, F.col(f"_dim.`{dim_key}`") == F.col("_hot_key"), "left")
         .select(
             *[F.col(f"_dim.`{c}`") for c in dim.columns],
             F.explode(
@@ -83,7 +83,7 @@ def salted_enrich(
         )
     )
     fa, da = f.alias("_f"), d.alias("_d")
-    cond = (F.col(f"_f.{fact_key}") == F.col(f"_d.{dim_key}")) & (F.col("_f._salt") == F.col("_d._salt"))
+    cond = (F.col(f"_f.`{fact_key}`") == F.col(f"_d.`{dim_key}`")) & (F.col("_f._salt") == F.col("_d._salt"))
     joined = fa.join(da, cond, how)
     return joined.select(
         *[F.col(f"_f.`{c}`") for c in fact.columns],

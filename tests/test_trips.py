@@ -221,3 +221,12 @@ def test_sql_top_n_and_export(spark, tmp_path):
     lines = open(files[0]).read().splitlines()
     assert len(files) == 1 and lines[0] == "PULocationID,Borough,Zone,number_of_trips,avg_trip_distance"
     assert len(lines) == 3
+
+
+def test_enrich_with_awkward_column_names(spark):
+    from tabflow.operators.relational import enrich
+
+    fact = spark.createDataFrame([(1, 2.0)], "`loc id` long, `miles.total` double")
+    dim = spark.createDataFrame([(1, "A")], "`zone key` long, `Zone Name` string")
+    out = enrich(fact, dim, "loc id", "zone key")
+    assert out.columns == ["loc id", "miles.total", "Zone Name"] and out.count() == 1
