@@ -167,6 +167,7 @@ FROM cbs""",
         ]
     ),
     "trips_and_zones": _with(_ZONES) + "\nSELECT * FROM tz",
+    "trips_and_zones_salted": _with(_ZONES) + "\nSELECT * FROM tz",
     "top_pickup_locations": _with(_ZONES) + f"\nSELECT * FROM loc {_ORDER}",
     "top_pickup_locations_joined": _with(_ZONES) + f"\nSELECT * FROM loc {_ORDER}",
     "top_locations_10": _with(_ZONES) + f"\nSELECT * FROM loc {_ORDER} LIMIT 10",

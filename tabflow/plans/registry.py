@@ -27,6 +27,7 @@ FILTER_BOROUGHS = ["ASIA", "EUROPE"]
 FILTER_MIN_TRIPS = 3
 TOP_TEN = 10
 TOP_SQL = 25
+HOT_FRACTION = 0.01
 
 
 def _round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -75,6 +76,14 @@ def q_trips_and_zones(spark: SparkSession, sf: str) -> DataFrame:
     return trips.trips_and_zones(B.trips(spark, sf), B.zones(spark, sf), B.TRIP_START, B.TRIP_END)
 
 
+def q_trips_and_zones_salted(spark: SparkSession, sf: str) -> DataFrame:
+    """The same join with hot pickup locations salted (here: any location with
+    at least 1% of the trips in the window)."""
+    return trips.trips_and_zones(
+        B.trips(spark, sf), B.zones(spark, sf), B.TRIP_START, B.TRIP_END, hot_fraction=HOT_FRACTION
+    )
+
+
 def locations(spark: SparkSession, sf: str, ordered: bool = False) -> DataFrame:
     """Per-location statistics (D4), aggregated below the join. The reports
     take it unordered: they sort or aggregate it themselves."""
@@ -201,6 +210,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "best_segment": q_best_segment,
     "checks_conversion": q_checks_conversion,
     "trips_and_zones": q_trips_and_zones,
+    "trips_and_zones_salted": q_trips_and_zones_salted,
     "top_pickup_locations": q_top_pickup_locations,
     "top_pickup_locations_joined": q_top_pickup_locations_joined,
     "top_locations_10": q_top_locations_10,
