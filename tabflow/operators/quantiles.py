@@ -86,11 +86,15 @@ def exact_quantiles(
     else:
         # cut points over distinct values: the window below works per
         # distinct value, so that is what the ranges should balance
-        cuts = counted.select(
-            F.percentile_approx("v", [i / nb for i in range(1, nb)], 10000).alias("cuts")
-        ).scalar()
-        # 1 + number of distinct cut points below v: monotone in v, no lambda
-        # (a scalar subquery may not sit inside a higher-order function)
+        # Fetched once as ``nb - 1`` numbers (like a range partitioner's
+        # bounds): both branches below must bucket with the very same cuts,
+        # and an approximate aggregate re-run as a subquery need not repeat
+        # its answer exactly.
+        cut_values = counted.select(
+            F.percentile_approx("v", [i / nb for i in range(1, nb)], 10000)
+        ).first()[0] or []
+        cuts = F.array(*[F.lit(float(c)) for c in cut_values]) if cut_values else F.array().cast("array<double>")
+        # 1 + number of distinct cut points below v: monotone in v
         bucket = F.array_position(F.sort_array(F.array_union(cuts, F.array(F.col("v")))), F.col("v"))
         counted = counted.withColumn("b", bucket)
 
