@@ -230,3 +230,17 @@ def test_enrich_with_awkward_column_names(spark):
     dim = spark.createDataFrame([(1, "A")], "`zone key` long, `Zone Name` string")
     out = enrich(fact, dim, "loc id", "zone key")
     assert out.columns == ["loc id", "miles.total", "Zone Name"] and out.count() == 1
+
+
+def test_salted_left_join_nulls_and_unmatched_hot_key(spark):
+    from tabflow.operators.relational import enrich, salted_enrich
+
+    fact = spark.createDataFrame(
+        [(1, i) for i in range(40)] + [(9, i) for i in range(30)] + [(None, 1), (2, 5)], "k long, v long"
+    )
+    dim = spark.createDataFrame([(1, "one"), (2, "two")], "key long, name string")
+    for how in ("inner", "left"):
+        plain = sorted(map(tuple, enrich(fact, dim, "k", "key", how).collect()), key=repr)
+        salted = sorted(map(tuple, salted_enrich(fact, dim, "k", "key", how, hot_fraction=0.2, salt=4).collect()), key=repr)
+        assert salted == plain  # key 9 is hot but has no zone; the null key never matches
+    assert salted_enrich(fact, dim, "k", "key", "left", 0.2, 4).where("k = 9 AND name IS NULL").count() == 30
