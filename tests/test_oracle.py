@@ -31,3 +31,15 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["customer_segment", "total_sessions", "converting_sessions", "conversion_rate"]
     assert df.count() >= 0
+
+
+def test_conversion_by_segment_golden_values(spark):
+    # expected values stated for sf0.01 in the build plan
+    got = {r[0]: tuple(r[1:]) for r in E.queries()["conversion_by_segment"](spark, SF).collect()}
+    assert got == {
+        "high": (1337, 509, 0.3807),
+        "medium": (1277, 549, 0.4299),
+        "low": (1392, 546, 0.3922),
+    }
+    order = [r[0] for r in E.queries()["conversion_by_segment"](spark, SF).collect()]
+    assert order == ["medium", "low", "high"]  # highest rate first
