@@ -6,18 +6,21 @@ spread out instead:
 
 1. count each distinct value (partial aggregation folds hot values early)
    and checkpoint that table to the shared ``spark.checkpoint.dir``;
-2. put values into ``buckets`` ordered ranges cut at approximate quantiles
-   of the distinct values, so every range holds about ``1/buckets`` of them;
-3. running counts inside each range (a window partitioned by range), plus
-   per-range offsets from a table of ``buckets`` rows;
-4. read the values at the two ranks around ``q * (n - 1)`` and interpolate
+2. cut the distinct values into ``buckets`` ordered ranges at approximate
+   quantiles (fetched once as numbers, like a range partitioner's bounds);
+   a balanced tree of comparisons assigns each value its range;
+3. count rows per range (an aggregate, no sort) and derive per-range offsets
+   from that table of ``buckets`` rows;
+4. only the ranges that hold a wanted rank (two per probability) get
+   running counts, with a window partitioned by range;
+5. read the values at the two ranks around ``q * (n - 1)`` and interpolate
    linearly, ``lo + (hi - lo) * frac`` (pandas / DuckDB ``quantile_cont``).
 
 The approximate cut points only balance the ranges; the answer is exact for
 any cut points because ranges are disjoint and ordered. When the checkpoint
 holds at most ``SINGLE_RANGE_MAX`` distinct values (a count over the
-checkpoint files), one ordered range is used and steps 2-3 collapse into a
-single window, which saves several jobs on small inputs.
+checkpoint files), one ordered range is used instead, which saves several
+jobs on small inputs.
 """
 
 from __future__ import annotations
@@ -36,9 +39,25 @@ from tabflow.session import shared_dir
 SINGLE_RANGE_MAX = 1_000_000
 
 
+# Upper bound on the number of ranges (the lookup below is a tree of
+# comparisons over the cut points, so its size follows this bound).
+MAX_RANGES = 1024
+
+
 def _bucket_count(df: DataFrame) -> int:
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, n)
+    return max(2, min(n, MAX_RANGES))
+
+
+def _range_of(v, cuts: Sequence[float], lo: int = 0, hi: int | None = None):
+    """Index of the range holding ``v``: the number of cut points below it,
+    found by a balanced tree of comparisons against the sorted literal cuts
+    (``log2(len(cuts))`` compiled comparisons per row, no array work)."""
+    hi = len(cuts) if hi is None else hi
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(v > F.lit(float(cuts[mid])), _range_of(v, cuts, mid + 1, hi)).otherwise(_range_of(v, cuts, lo, mid))
 
 
 def exact_quantiles(
@@ -84,32 +103,35 @@ def exact_quantiles(
             F.sum("n").over(Window.partitionBy()).alias("total"),
         )
     else:
-        # cut points over distinct values: the window below works per
-        # distinct value, so that is what the ranges should balance
-        # Fetched once as ``nb - 1`` numbers (like a range partitioner's
-        # bounds): both branches below must bucket with the very same cuts,
-        # and an approximate aggregate re-run as a subquery need not repeat
-        # its answer exactly.
+        # Cut points over the distinct values, fetched once as ``nb - 1``
+        # numbers (like a range partitioner's bounds): every later step must
+        # bucket with the very same cuts, and an approximate aggregate re-run
+        # as a subquery need not repeat its answer exactly.
         cut_values = counted.select(
             F.percentile_approx("v", [i / nb for i in range(1, nb)], 10000)
         ).first()[0] or []
-        cuts = F.array(*[F.lit(float(c)) for c in cut_values]) if cut_values else F.array().cast("array<double>")
-        # 1 + number of distinct cut points below v: monotone in v
-        bucket = F.array_position(F.sort_array(F.array_union(cuts, F.array(F.col("v")))), F.col("v"))
-        counted = counted.withColumn("b", bucket)
+        keyed = counted.withColumn("b", _range_of(F.col("v"), cut_values))
 
-        local = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranked = counted.withColumn("upto_local", F.sum("n").over(local))
-
-        # one row per range: bounded by ``nb`` whatever the data size
-        per_bucket = counted.groupBy("b").agg(F.sum("n").alias("bn"))
+        # rows per range, then offsets: a table of at most ``nb`` rows
+        per_bucket = keyed.groupBy("b").agg(F.sum("n").alias("bn"))
         before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
         offsets = per_bucket.select(
             "b",
+            "bn",
             F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("off"),
             F.sum("bn").over(Window.partitionBy()).alias("total"),
         )
-        ranked = ranked.join(F.broadcast(offsets), "b")
+        # only the ranges holding a wanted rank need running counts: at most
+        # two per probability, so the broadcast and the sort stay small
+        holds_rank = F.lit(False)
+        for p in probs:
+            position = F.lit(float(p)) * (F.col("total") - 1)
+            for rank in (F.floor(position), F.ceil(position)):
+                holds_rank = holds_rank | ((F.col("off") <= rank) & (rank < F.col("off") + F.col("bn")))
+        needed = offsets.where(holds_rank).select("b", "off", "total")
+
+        local = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = keyed.join(F.broadcast(needed), "b").withColumn("upto_local", F.sum("n").over(local))
 
     upto = F.col("off") + F.col("upto_local")  # rows with value <= v
     first = upto - F.col("n")  # 0-based rank of the first copy of v
@@ -120,11 +142,12 @@ def exact_quantiles(
         lo_rank, hi_rank = F.floor(pos[name]), F.ceil(pos[name])
         aggs.append(F.max(F.when((first <= lo_rank) & (lo_rank < upto), F.col("v"))).alias(f"_{name}_lo"))
         aggs.append(F.max(F.when((first <= hi_rank) & (hi_rank < upto), F.col("v"))).alias(f"_{name}_hi"))
+        # (names may hold dots, e.g. the default "q0.5": always quote below)
     picked = ranked.agg(*aggs)
 
     out = []
     for name, p in zip(names, probs):
-        lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
+        lo, hi = F.col(f"`_{name}_lo`"), F.col(f"`_{name}_hi`")
         position = F.lit(float(p)) * (F.col("_total") - 1)
         frac = position - F.floor(position)
         out.append(F.when(F.col("_total") > 0, lo + (hi - lo) * frac).alias(name))

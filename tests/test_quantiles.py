@@ -53,3 +53,9 @@ def test_rejects_bad_probability(spark):
     df = spark.createDataFrame([(1.0,)], "x double")
     with pytest.raises(ValueError):
         exact_quantiles(df, "x", [1.5])
+
+
+def test_default_names_with_dots(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(11)], "x double")
+    row = exact_quantiles(df, "x", [0.5, 0.9]).collect()[0]
+    assert row["q0.5"] == 5.0 and row["q0.9"] == 9.0
