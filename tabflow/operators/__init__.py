@@ -15,7 +15,12 @@ from tabflow.operators.checks import (  # noqa: F401
     run_checks,
     unique,
 )
-from tabflow.operators.quantiles import exact_median, exact_quantiles  # noqa: F401
+from tabflow.operators.quantiles import (  # noqa: F401
+    exact_median,
+    exact_quantiles,
+    quantiles_of_counts,
+    value_counts,
+)
 from tabflow.operators.relational import (  # noqa: F401
     complete_categories,
     describe_column,

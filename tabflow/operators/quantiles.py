@@ -60,6 +60,26 @@ def _range_of(v, cuts: Sequence[float], lo: int = 0, hi: int | None = None):
     return F.when(v > F.lit(float(cuts[mid])), _range_of(v, cuts, mid + 1, hi)).otherwise(_range_of(v, cuts, lo, mid))
 
 
+def value_counts(df: DataFrame, column: str) -> DataFrame:
+    """Distinct values ``v`` of ``column`` (null and NaN skipped) with their
+    multiplicity ``n``, written once to the shared checkpoint folder.
+
+    Every later step (cut points, range counts, running counts, moments)
+    reads these files instead of recomputing the upstream plan, and all of
+    them see the same rows. Partial aggregation folds hot values before the
+    shuffle.
+    """
+    v = nan_to_null(F.col(column)).alias("v")
+    shared_dir(df.sparkSession)
+    return (
+        df.select(v)
+        .where(F.col("v").isNotNull())
+        .groupBy("v")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .checkpoint(eager=True)
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     column: str,
@@ -72,26 +92,28 @@ def exact_quantiles(
 
     An empty input gives one row of nulls, like ``percentile`` would.
     """
+    return quantiles_of_counts(value_counts(df, column), probs, names, buckets)
+
+
+def quantiles_of_counts(
+    counted: DataFrame,
+    probs: Sequence[float],
+    names: Sequence[str] | None = None,
+    buckets: int | None = None,
+) -> DataFrame:
+    """``exact_quantiles`` over a ``value_counts`` table (columns ``v``, ``n``)."""
     names = list(names) if names is not None else [f"q{p}" for p in probs]
     if len(names) != len(probs):
         raise ValueError("one name per probability")
     for p in probs:
         if not 0.0 <= p <= 1.0:
             raise ValueError(f"probability out of range: {p}")
-    v = nan_to_null(F.col(column)).alias("v")
-    values = df.select(v).where(F.col("v").isNotNull())
-    # Distinct values with their multiplicity, written once to the shared
-    # checkpoint folder: every later branch (cut points, running counts,
-    # bucket offsets) reads these files instead of recomputing the upstream,
-    # and all of them see the same rows.
-    shared_dir(df.sparkSession)
-    counted = values.groupBy("v").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
 
     nb = buckets
     if nb is None:
         # a size check on the checkpoint files decides between one ordered
         # range (bounded by SINGLE_RANGE_MAX rows) and many
-        nb = 1 if counted.count() <= SINGLE_RANGE_MAX else _bucket_count(df)
+        nb = 1 if counted.count() <= SINGLE_RANGE_MAX else _bucket_count(counted)
 
     if nb <= 1:
         ordered = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.functions import nan_to_null, round_half
-from tabflow.operators.quantiles import exact_quantiles
+from tabflow.operators.quantiles import quantiles_of_counts, value_counts
 from tabflow.session import shared_dir
 
 
@@ -141,21 +141,26 @@ def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
 
 
 def describe_column(df: DataFrame, column: str, digits: int | None = None) -> DataFrame:
-    """One row: mean, exact median, sample std, min, max of ``column``.
+    """One row: count, mean, exact median, sample std, min, max of ``column``.
 
     Null and NaN are skipped (pandas). The sample std of one value is null.
-    The median is exact and distributed (see ``quantiles``).
+    Everything is computed from one checkpointed table of distinct values and
+    their counts, so the input plan runs once; the std takes two passes over
+    that table (mean first), which keeps it numerically stable.
     """
-    x = nan_to_null(F.col(column))
-    stats = df.agg(
-        F.avg(x).alias("mean"),
-        F.stddev_samp(x).alias("std"),
-        F.min(x).alias("min"),
-        F.max(x).alias("max"),
-        F.count(x).alias("count"),
+    counted = value_counts(df, column)
+    total, mean = counted.agg(F.sum("n"), F.sum(F.col("v") * F.col("n")) / F.sum("n")).first()
+    mean_c = F.lit(mean).cast("double")
+    spread = F.sum(F.col("n") * (F.col("v") - mean_c) * (F.col("v") - mean_c))
+    median = quantiles_of_counts(counted, [0.5], ["median"]).scalar()
+    out = counted.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("count"),
+        mean_c.alias("mean"),
+        median.alias("median"),
+        F.when(F.lit(total or 0) > 1, F.sqrt(spread / F.lit((total or 0) - 1))).alias("std"),
+        F.min("v").alias("min"),
+        F.max("v").alias("max"),
     )
-    median = exact_quantiles(df, column, [0.5], ["median"]).scalar()
-    out = stats.select("count", "mean", median.alias("median"), "std", "min", "max")
     if digits is not None:
         out = out.select(
             "count", *[round_half(c, digits).alias(c) for c in ("mean", "median", "std", "min", "max")]
