@@ -9,9 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.functions import nan_to_null, round_half
+from tabflow.functions import round_half
 from tabflow.operators.quantiles import quantiles_of_counts, value_counts
-from tabflow.session import shared_dir
 
 
 def enrich(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "inner") -> DataFrame:
@@ -177,29 +176,21 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """
     if bins < 1:
         raise ValueError("bins must be positive")
-    x = nan_to_null(F.col(column))
-    # Distinct values with their counts, checkpointed once to the shared
-    # folder; the two bounds are read from it as plain numbers (a one-row
-    # aggregate, not data) and the bins are computed from it, so the input
-    # plan runs once. Scalar subqueries would re-run it per reference.
-    shared_dir(df.sparkSession)
-    values = (
-        df.select(x.alias("x"))
-        .where(F.col("x").isNotNull())
-        .groupBy("x")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .checkpoint(eager=True)
-    )
-    lo_v, hi_v = values.agg(F.min("x"), F.max("x")).first()
+    # distinct values with their counts, checkpointed once; the two bounds
+    # are read from it as plain numbers (a one-row aggregate, not data) and
+    # the bins are computed from it, so the input plan runs once (scalar
+    # subqueries would re-run it per reference)
+    values = value_counts(df, column)
+    lo_v, hi_v = values.agg(F.min("v"), F.max("v")).first()
     lo, hi = F.lit(lo_v).cast("double"), F.lit(hi_v).cast("double")
     nb = F.lit(bins)
     bucket = F.when(lo == hi, F.lit(1).cast("long")).otherwise(
-        F.least(F.width_bucket(F.col("x"), lo, hi, nb), nb.cast("long"))
+        F.least(F.width_bucket(F.col("v"), lo, hi, nb), nb.cast("long"))
     )
     width = (hi - lo) / nb
     return (
         values.groupBy(bucket.alias("bin"))
-        .agg(F.sum("_n").alias("count"))
+        .agg(F.sum("n").alias("count"))
         .select(
             "bin",
             (lo + (F.col("bin") - 1) * width).alias("bin_start"),
