@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from pyspark.sql import types as T
 
 from tabflow.functions import strict_double
 
+FOOTER_THREADS = 16
+
 
 def read_source(
     spark: SparkSession,
@@ -90,10 +93,14 @@ def read_parquet_glob(
     except Exception as exc:  # surfaces as AnalysisException or a wrapped SparkException
         if "CANNOT_MERGE" not in str(exc):
             raise
+    # Only on a type conflict: group the files by their own schema. Reading a
+    # footer is a small metadata read, done concurrently from the driver.
     files = single.inputFiles()
+    with ThreadPoolExecutor(max_workers=FOOTER_THREADS) as pool:
+        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema.json(), files))
     groups: dict[str, list[str]] = {}
-    for f in files:
-        groups.setdefault(spark.read.parquet(f).schema.json(), []).append(f)
+    for f, schema in zip(files, schemas):
+        groups.setdefault(schema, []).append(f)
     frames = []
     for paths in groups.values():
         part = spark.read.parquet(*paths)
