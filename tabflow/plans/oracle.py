@@ -197,6 +197,15 @@ SELECT COUNT(number_of_trips) AS count,
        ROUND(CAST(MIN(number_of_trips) AS DOUBLE), 6) AS min,
        ROUND(CAST(MAX(number_of_trips) AS DOUBLE), 6) AS max
 FROM loc""",
+    "trip_statistics_top50": _with(_ZONES, _top(50))
+    + """
+SELECT COUNT(number_of_trips) AS count,
+       ROUND(AVG(number_of_trips), 6) AS mean,
+       ROUND(MEDIAN(number_of_trips), 6) AS median,
+       ROUND(STDDEV_SAMP(number_of_trips), 6) AS std,
+       ROUND(CAST(MIN(number_of_trips) AS DOUBLE), 6) AS min,
+       ROUND(CAST(MAX(number_of_trips) AS DOUBLE), 6) AS max
+FROM top""",
     "borough_report": _with(_ZONES)
     + """
 SELECT Borough,
@@ -232,6 +241,21 @@ agg AS (
     SELECT cat, SUM(number_of_trips) AS trips, COUNT(Zone) AS zones
     FROM binned WHERE cat IS NOT NULL GROUP BY cat
 )
+SELECT c.cat AS "Distance Category",
+       CAST(COALESCE(a.trips, 0) AS BIGINT) AS "Total Trips",
+       CAST(COALESCE(a.zones, 0) AS BIGINT) AS "Number of Zones"
+FROM cats c LEFT JOIN agg a ON c.cat = a.cat""",
+    "distance_categories_top50": _with(_ZONES, _top(50))
+    + f""",
+cats AS (
+    SELECT * FROM (VALUES ('Short (0-2mi)', 0), ('Medium (2-4mi)', 1),
+                          ('Long (4-6mi)', 2), ('Very Long (6+mi)', 3)) AS t(cat, ord)
+),
+binned AS (SELECT {_DISTANCE_CASE} AS cat, number_of_trips, Zone FROM top),
+agg AS (
+    SELECT cat, SUM(number_of_trips) AS trips, COUNT(Zone) AS zones
+    FROM binned WHERE cat IS NOT NULL GROUP BY cat
+)
 SELECT c.cat AS "Distance Category",
        CAST(COALESCE(a.trips, 0) AS BIGINT) AS "Total Trips",
        CAST(COALESCE(a.zones, 0) AS BIGINT) AS "Number of Zones"

@@ -124,6 +124,10 @@ def q_trip_statistics(spark: SparkSession, sf: str) -> DataFrame:
     return trips.trip_statistics(locations(spark, sf), None, DIGITS)
 
 
+def q_trip_statistics_top50(spark: SparkSession, sf: str) -> DataFrame:
+    return trips.trip_statistics(locations(spark, sf), trips.DEFAULT_LIMIT, DIGITS)
+
+
 def q_borough_report(spark: SparkSession, sf: str) -> DataFrame:
     return _round_doubles(trips.borough_report(locations(spark, sf), None))
 
@@ -140,6 +144,10 @@ def q_distance_categories(spark: SparkSession, sf: str) -> DataFrame:
     return trips.distance_categories(locations(spark, sf), None)
 
 
+def q_distance_categories_top50(spark: SparkSession, sf: str) -> DataFrame:
+    return trips.distance_categories(locations(spark, sf), trips.DEFAULT_LIMIT)
+
+
 def q_filter_options(spark: SparkSession, sf: str) -> DataFrame:
     return trips.filter_options(locations(spark, sf), None)
 
@@ -219,10 +227,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "location_kpis_all": q_location_kpis_all,
     "borough_mix_top20": q_borough_mix_top20,
     "trip_statistics": q_trip_statistics,
+    "trip_statistics_top50": q_trip_statistics_top50,
     "borough_report": q_borough_report,
     "distance_points": q_distance_points,
     "distance_histogram": q_distance_histogram,
     "distance_categories": q_distance_categories,
+    "distance_categories_top50": q_distance_categories_top50,
     "filter_options": q_filter_options,
     "filtered_locations": q_filtered_locations,
     "filtered_location_count": q_filtered_location_count,
