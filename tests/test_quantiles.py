@@ -59,3 +59,15 @@ def test_default_names_with_dots(spark):
     df = spark.createDataFrame([(float(i),) for i in range(11)], "x double")
     row = exact_quantiles(df, "x", [0.5, 0.9]).collect()[0]
     assert row["q0.5"] == 5.0 and row["q0.9"] == 9.0
+
+
+def test_default_multi_range_path(spark, monkeypatch):
+    import tabflow.operators.quantiles as Q
+
+    monkeypatch.setattr(Q, "SINGLE_RANGE_MAX", 10)  # force the size check to pick many ranges
+    rng = np.random.default_rng(17)
+    values = list(rng.normal(size=3000)) + [2.5] * 1500
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    got = Q.exact_quantiles(df, "x", PROBS, [f"p{i}" for i in range(len(PROBS))]).collect()[0]
+    for i, p in enumerate(PROBS):
+        assert got[i] == pytest.approx(float(np.quantile(values, p)), rel=1e-12, abs=1e-12)
