@@ -30,16 +30,30 @@ SCORE = "user_engagement_score"
 MINUTES = "daily_active_minutes_instagram"
 
 
-def engagement_cuts(users: DataFrame, score: str = SCORE) -> DataFrame:
-    """One row: the 1/3 and 2/3 quantiles of ``score``."""
-    return exact_quantiles(users, score, [1.0 / 3.0, 2.0 / 3.0], ["cut_low", "cut_high"])
+def engagement_cuts(users: DataFrame, score: str = SCORE, relative_error: float | None = None) -> DataFrame:
+    """One row: the 1/3 and 2/3 quantiles of ``score``, exact by default; with
+    ``relative_error`` one ``percentile_approx`` aggregate (rank error at most
+    that fraction of the rows) for inputs where even the exact path is too
+    costly."""
+    probs = [1.0 / 3.0, 2.0 / 3.0]
+    if relative_error is None:
+        return exact_quantiles(users, score, probs, ["cut_low", "cut_high"])
+    accuracy = max(1, int(round(1.0 / relative_error)))
+    q = F.percentile_approx(nan_to_null(F.col(score)), probs, accuracy)
+    return users.agg(q.alias("_q")).select(F.col("_q")[0].alias("cut_low"), F.col("_q")[1].alias("cut_high"))
 
 
-def user_segments(users: DataFrame, score: str = SCORE, segment: str = "engagement_segment") -> DataFrame:
-    """``users`` with an engagement segment column (null for a null/NaN score)."""
+def user_segments(
+    users: DataFrame,
+    score: str = SCORE,
+    segment: str = "engagement_segment",
+    relative_error: float | None = None,
+) -> DataFrame:
+    """``users`` with an engagement segment column (null for a null/NaN score).
+    Cut points are exact unless ``relative_error`` is given."""
     # the two cut points are one small aggregate; fetched as numbers they
     # enter the plan as literals (a scalar subquery would re-run per use)
-    lo_v, hi_v = engagement_cuts(users, score).first()
+    lo_v, hi_v = engagement_cuts(users, score, relative_error).first()
     lo, hi = F.lit(lo_v).cast("double"), F.lit(hi_v).cast("double")
     x = nan_to_null(F.col(score))
     low, medium, high = ENGAGEMENT_LABELS

@@ -29,3 +29,15 @@ def test_segments_match_pandas(spark):
     for r in summary:
         assert r["users"] == len(by.get_group(r["engagement_segment"]))
         assert abs(r["avg_user_engagement_score"] - by.get_group(r["engagement_segment"])["score"].mean()) < 1e-9
+
+
+def test_approximate_cuts_option(spark):
+    users = spark.createDataFrame(
+        [(i, float(i), 1.0) for i in range(3000)],
+        "user_id long, user_engagement_score double, daily_active_minutes_instagram double",
+    )
+    exact = {r[0]: r[1] for r in E.segment_summary(E.user_segments(users)).collect()}
+    approx = {r[0]: r[1] for r in E.segment_summary(E.user_segments(users, relative_error=0.001)).collect()}
+    assert sum(approx.values()) == sum(exact.values()) == 3000
+    for seg in exact:
+        assert abs(approx[seg] - exact[seg]) <= 3  # within 0.1% of 3000 rows
