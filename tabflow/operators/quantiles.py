@@ -90,7 +90,8 @@ def exact_quantiles(
     """One-row DataFrame with the exact linear-interpolated quantiles of
     ``column`` (nulls and NaN skipped), one output column per probability.
 
-    An empty input gives one row of nulls, like ``percentile`` would.
+    An empty input gives one row of nulls, like ``percentile`` would. Runs
+    the input once when called (the ``value_counts`` checkpoint).
     """
     return quantiles_of_counts(value_counts(df, column), probs, names, buckets)
 

@@ -145,7 +145,8 @@ def describe_column(df: DataFrame, column: str, digits: int | None = None) -> Da
     Null and NaN are skipped (pandas). The sample std of one value is null.
     Everything is computed from one checkpointed table of distinct values and
     their counts, so the input plan runs once; the std takes two passes over
-    that table (mean first), which keeps it numerically stable.
+    that table (mean first), which keeps it numerically stable. Runs that
+    checkpoint job when called; the returned frame reads only its files.
     """
     counted = value_counts(df, column)
     total, mean = counted.agg(F.sum("n"), F.sum(F.col("v") * F.col("n")) / F.sum("n")).first()
@@ -172,7 +173,9 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
 
     Returns the non-empty bins: ``bin`` (1-based), ``bin_start``, ``bin_end``,
     ``count``. The maximum falls in the last bin; when all values are equal
-    everything is in bin 1. Null and NaN are skipped.
+    everything is in bin 1. Null and NaN are skipped. Runs the input once
+    when called (a checkpoint of distinct values); the returned frame reads
+    only that checkpoint.
     """
     if bins < 1:
         raise ValueError("bins must be positive")

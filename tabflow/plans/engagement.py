@@ -50,7 +50,8 @@ def user_segments(
     relative_error: float | None = None,
 ) -> DataFrame:
     """``users`` with an engagement segment column (null for a null/NaN score).
-    Cut points are exact unless ``relative_error`` is given."""
+    Cut points are exact unless ``relative_error`` is given; they are computed
+    when this is called, the labelling stays lazy."""
     # the two cut points are one small aggregate; fetched as numbers they
     # enter the plan as literals (a scalar subquery would re-run per use)
     lo_v, hi_v = engagement_cuts(users, score, relative_error).first()
