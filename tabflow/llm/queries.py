@@ -5,10 +5,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabflow.llm.common import read_table
+from tabflow.llm.common import read_table, scratch_path
+from tabflow.llm.packing import pack_documents
 from tabflow.llm.quality_rules import quality_rules
+from tabflow.llm.token_counts import length_histogram, token_lengths
+from tabflow.llm.token_files import file_offsets, read_tokens, write_tokens
+
+# Fixed values of the query contracts.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+FILE_END_ID = 0
+PACK_END_ID = 2
+SEQUENCE_TOKENS = 1024
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +35,27 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_histogram(token_lengths(read_table(spark, sf_dir, "documents"), TOKENIZER))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    write_tokens(read_table(spark, sf_dir, "documents"), path, TOKENIZER, FILE_END_ID)
+    return (
+        read_tokens(spark, path)
+        .join(file_offsets(spark, path), "file")
+        .select("doc_id", (F.col("file_start") + F.col("start_in_file")).alias("start"), "n_tokens", "ids_crc32")
+    )
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents"), TOKENIZER, PACK_END_ID, SEQUENCE_TOKENS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
+    "op6_token_counts": op6_token_counts,
+    "op8_token_files": op8_token_files,
+    "op10_packing": op10_packing,
 }
