@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabflow.llm.common import read_table, scratch_path
+from tabflow.llm.line_dedup import build_index, dedup_lines
 from tabflow.llm.packing import pack_documents
 from tabflow.llm.quality_rules import quality_rules
 from tabflow.llm.token_counts import length_histogram, token_lengths
@@ -49,6 +50,16 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs, build_index(docs)).select(
+        "doc_id",
+        F.col("_n_lines").alias("n_lines"),
+        F.col("_n_dropped").alias("n_dropped"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), TOKENIZER, PACK_END_ID, SEQUENCE_TOKENS)
 
@@ -57,5 +68,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op6_token_counts": op6_token_counts,
     "op8_token_files": op8_token_files,
+    "op9_line_dedup": op9_line_dedup,
     "op10_packing": op10_packing,
 }
