@@ -13,16 +13,36 @@ from tabflow.llm.common import read_table, scratch_path
 from tabflow.llm.line_dedup import build_index, dedup_lines
 from tabflow.llm.packing import pack_documents
 from tabflow.llm.quality_rules import quality_rules
+from tabflow.llm.resharding import reshard, slots, write_layout
 from tabflow.llm.token_counts import length_histogram, token_lengths
 from tabflow.llm.token_files import file_offsets, read_tokens, write_tokens
 
 # Fixed values of the query contracts.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+SHARDS = 8
 FILE_END_ID = 0
 PACK_END_ID = 2
 SEQUENCE_TOKENS = 1024
 
 
+def op2_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The old layout deals whole sources to the shards, so a hot source makes
+    one of them heavy; the new one gives all shards the same bytes."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    old = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(SHARDS))
+    layout = write_layout(docs, old, scratch_path(spark, "layout-old"))
+    placed = slots(reshard(layout, SHARDS, SHARDS))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -65,6 +85,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_resharding": op2_resharding,
     "op3_quality_rules": op3_quality_rules,
     "op6_token_counts": op6_token_counts,
     "op8_token_files": op8_token_files,
