@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabflow.llm.common import read_table, scratch_path
+from tabflow.llm.decontamination import benchmark_matches
 from tabflow.llm.line_dedup import build_index, dedup_lines
 from tabflow.llm.packing import pack_documents
 from tabflow.llm.quality_rules import quality_rules
@@ -25,6 +26,10 @@ PACK_END_ID = 2
 SEQUENCE_TOKENS = 1024
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op2_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The old layout deals whole sources to the shards, so a hot source makes
     one of them heavy; the new one gives all shards the same bytes."""
@@ -85,6 +90,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_resharding": op2_resharding,
     "op3_quality_rules": op3_quality_rules,
     "op6_token_counts": op6_token_counts,
