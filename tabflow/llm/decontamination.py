@@ -3,8 +3,8 @@
 An item of m characters may differ from a passage by k = m * error_rate edits.
 It is split into k + 1 pieces; a passage within k edits holds at least one
 piece unchanged. One scan of every whole text finds all pieces of all items
-(Aho-Corasick), each hit gives a window that a count of the
-item's short disjoint grams may rule out, and Myers' bit-parallel distance decides.
+(Aho-Corasick), each hit gives a window that a count of the item's short
+disjoint grams may rule out, and Myers' bit-parallel distance decides.
 
 Texts and items are compared lower-cased with every white space as a space,
 character by character, so spans are positions of the text itself. The scan
