@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tabflow.llm.common import documents
 from tabflow.llm.tokens import encoder
 
-FILE_BYTES = 8 << 20
+FILE_BYTES = 4 << 20
 _FILES = 1 << 32  # room for the file numbers of one task
 
 # Fixed values of the zstandard seekable format; the doc_id table is our own skippable frame.
