@@ -9,18 +9,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import read_table, scratch_path
+from tabflow.llm.common import crc32_of_id, read_table, scratch_path
 from tabflow.llm.decontamination import benchmark_matches
 from tabflow.llm.line_dedup import build_index, dedup_lines
+from tabflow.llm.minhash import Similarity, near_duplicates
 from tabflow.llm.packing import pack_documents
+from tabflow.llm.pseudonyms import pseudonymize
+from tabflow.llm.quality_classifier import score, train, training_rows
 from tabflow.llm.quality_rules import quality_rules
 from tabflow.llm.resharding import reshard, slots, write_layout
 from tabflow.llm.token_counts import length_histogram, token_lengths
 from tabflow.llm.token_files import file_offsets, read_tokens, write_tokens
 
+# The key of the registered query; a real run passes a secret of its own.
+PSEUDONYM_KEY = "tabflow"
+
 # Fixed values of the query contracts.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 SHARDS = 8
+NEAR = Similarity(shingle_words=3, percent=85)
+FOLDS, HELD_OUT_FOLD = 5, 0
+QUALITY_THRESHOLD = 0.3
 FILE_END_ID = 0
 PACK_END_ID = 2
 SEQUENCE_TOKENS = 1024
@@ -61,10 +70,30 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymize(read_table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"), NEAR)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram(token_lengths(read_table(spark, sf_dir, "documents"), TOKENIZER))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = F.pmod(crc32_of_id(F.col("doc_id")), F.lit(FOLDS)) == HELD_OUT_FOLD
+    model = train(training_rows(docs, labels, "quality", ~held_out))
+    return score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     write_tokens(read_table(spark, sf_dir, "documents"), path, TOKENIZER, FILE_END_ID)
@@ -93,7 +122,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_resharding": op2_resharding,
     "op3_quality_rules": op3_quality_rules,
+    "op4_pseudonyms": op4_pseudonyms,
+    "op5_minhash": op5_minhash,
     "op6_token_counts": op6_token_counts,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_token_files": op8_token_files,
     "op9_line_dedup": op9_line_dedup,
     "op10_packing": op10_packing,
