@@ -334,3 +334,17 @@ def near_duplicates(docs: DataFrame, similarity: Similarity = Similarity()) -> D
         .select("doc_id", "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def keep_one(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
+    """The rows of ``docs`` less all of a component but its smallest doc_id. Of
+    rows that share a doc_id the least one (by its columns in order) stays;
+    rows with a null doc_id all stay."""
+    found = materialize(near_duplicates(docs, similarity), "near")
+    left = docs.join(found.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti")
+    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    repeated = materialize(repeated, "repeated")
+    once = left.join(repeated, "doc_id", "left_anti")
+    rows = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    least = left.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(rows).alias("row")).select("row.*")
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(least)
