@@ -1,3 +1,111 @@
-"""DuckDB SQL for the registered queries that SQL can express."""
+"""DuckDB SQL for the registered queries that SQL can express. The others
+(edit distance, Feistel rounds, tokenizers, trained models, packing) are held
+against brute force in tests/llm."""
 
-ORACLE_SQL: dict[str, str] = {}
+from tabflow.llm.line_dedup import MIN_CHARS, MIN_DOCS
+from tabflow.llm.quality_rules import (
+    BASE_MIN_WORDS,
+    BASE_REPEAT_PERCENT,
+    RULES,
+    STOP_WORD_MIN_WORDS,
+    STOP_WORDS,
+    SYMBOLS,
+    WINDOW,
+)
+
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x09-\x0D\x20]+'), lambda w: w <> '')"
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _quality() -> str:
+    stop = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
+    fails = [f"coalesce({r.metric} < {r.low}, false)" for r in RULES if r.low is not None]
+    fails += [f"coalesce({r.metric} > {r.high}, false)" for r in RULES if r.high is not None]
+    return rf"""
+with d as (
+    select doc_id, {_WORDS} as words, coalesce(text, '') as body,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x09-\x0D\x20]')) as lines
+    from documents
+), grams as (
+    select doc_id, i, array_to_string(words[i : i + {WINDOW - 1}], ' ') as gram
+    from (select doc_id, words, unnest(range(1, len(words) - {WINDOW - 2})) as i from d)
+), repeated as (
+    select doc_id, i from grams qualify count(*) over (partition by doc_id, gram) > 1
+), covered as (
+    select doc_id, count(distinct i + k) as n
+    from (select doc_id, i, unnest(range({WINDOW})) as k from repeated) group by doc_id
+), counts as (
+    select d.doc_id, len(words) as n_words,
+        length(regexp_replace(body, '[\x09-\x0D\x20]', '', 'g')) as word_chars,
+        length(body) - length(regexp_replace(body, '[{SYMBOLS}]', '', 'g')) as n_symbols,
+        len(lines) - len(list_distinct(lines)) as n_dup_lines,
+        coalesce(covered.n, 0) as n_repeat_words,
+        len(lines) as n_lines,
+        len(list_filter(words, lambda w: list_contains([{stop}], w))) as n_stop_words,
+        length(body) - length(replace(body, '!', '')) as n_exclamations
+    from d left join covered on d.doc_id = covered.doc_id
+), ratios as (
+    select *,
+        case when n_words > 0 then word_chars / n_words else 0 end as mean_word_chars,
+        case when n_words > 0 then n_symbols / n_words else 0 end as symbol_ratio,
+        case when n_words > 0 then n_exclamations / n_words else 0 end as exclamation_ratio,
+        case when n_words >= {STOP_WORD_MIN_WORDS} then n_stop_words / n_words end as stop_word_ratio,
+        case when n_lines > 0 then n_dup_lines / n_lines else 0 end as dup_line_ratio,
+        n_words < {BASE_MIN_WORDS} or 100 * n_repeat_words > {BASE_REPEAT_PERCENT} * n_words as base_failed
+    from counts
+)
+select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
+    n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words, base_failed,
+    not base_failed and not ({" or ".join(fails)}) as kept
+from ratios
+"""
+
+
+_NEAR = rf"""
+with recursive words as (
+    select doc_id, list_transform({_WORDS}, lambda w: translate(w, {_LOWER})) as words from documents
+), shingles as (
+    select distinct doc_id, array_to_string(words[i : i + 2], ' ') as shingle
+    from (select doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) as i from words where len(words) > 0)
+), sizes as (
+    select doc_id, count(*) as n from shingles group by doc_id
+), shared as (
+    select a.doc_id as a, b.doc_id as b, count(*) as n
+    from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id group by a.doc_id, b.doc_id
+), links as (
+    select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+    where 100 * shared.n >= 85 * (x.n + y.n - shared.n)
+), both_ways as (
+    select a, b from links union select b, a from links
+), reached(doc_id, other) as (
+    select a, b from both_ways union select r.doc_id, e.b from reached r join both_ways e on r.other = e.a
+)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, least(d.doc_id, coalesce(r.low, d.doc_id)) as component_id,
+    d.doc_id <= coalesce(r.low, d.doc_id) as kept
+from documents d left join sizes s on s.doc_id = d.doc_id
+left join (select doc_id, min(other) as low from reached group by doc_id) r on r.doc_id = d.doc_id
+"""
+
+_LINES = rf"""
+with lines as (
+    select doc_id, line, pos, translate(trim(line, {_SPACES}), {_LOWER}) as key
+    from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+        generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos from documents)
+), common as (
+    select key, max(doc_id) as last_doc from lines where length(key) >= {MIN_CHARS}
+    group by key having count(distinct doc_id) >= {MIN_DOCS}
+), marked as (
+    select lines.*, common.key is not null and lines.doc_id <> last_doc as gone
+    from lines left join common on lines.key = common.key
+)
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
+from marked group by doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_quality_rules": _quality(),
+    "op5_minhash": _NEAR,
+    "op9_line_dedup": _LINES,
+}
