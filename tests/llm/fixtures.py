@@ -1,0 +1,55 @@
+"""Small tables with every awkward case, and brute-force helpers."""
+
+from __future__ import annotations
+
+import random
+
+import public_tokenizers
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+# Columns whose names the operators use themselves.
+CLASHING = "row words lines hashes body kept shard size key_high n label id group found made file tokens".split()
+
+
+def awkward(spark, texts=None):
+    """doc_id, text and clashing extra columns: null, empty, blank, long and
+    repeated texts, a null id, and a repeated row."""
+    if texts is None:
+        rng = random.Random(3)
+        vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(300)]
+        line = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+        base = "\n".join(line(12) for _ in range(6))
+        long = "\n".join(line(14) for _ in range(900))
+        edited = base.split(" ")
+        edited[5] = "changed"
+        texts = [
+            (1, base),
+            (2, base),
+            (3, " ".join(edited)),
+            (4, None),
+            (5, ""),
+            (6, " \t\n "),
+            (7, long),
+            (8, "É wörd 日本 " + base.upper()),
+            (9, line(30)),
+            (9, None),
+            (None, base),
+            (10, base + "\n" + line(3)),
+            (10, base + "\n" + line(3)),
+            (11, "one two"),
+            (11, "one two"),
+            (12, "One\tTwo"),
+        ]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    from pyspark.sql import functions as F
+
+    return frame.withColumns({c: F.lit("x") for c in CLASHING})
+
+
+def empty(spark):
+    return awkward(spark).limit(0)
+
+
+def rows(frame):
+    return sorted((tuple(r) for r in frame.collect()), key=repr)
