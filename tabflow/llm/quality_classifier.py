@@ -39,7 +39,7 @@ PER_CLASS = 2000
 BUCKETS = 1 << 16
 DIMENSIONS = 10
 GRAMS = (3, 4)
-EPOCHS = 8
+STEPS = 800
 RATE = 20.0
 BATCH = 32
 _WORDS_CACHED = 400_000
@@ -116,13 +116,15 @@ def train(rows: list[tuple[int, float, np.ndarray, np.ndarray]], seed: int = 1)
     vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
     output, bias = np.zeros((DIMENSIONS, 2), dtype=np.float32), np.zeros(2, dtype=np.float32)
     total = sum(r[1] for r in rows)
-    share = sum(r[1] for r in rows if r[0] == 1) / total if total else 0.5
+    if not rows:
+        return Model(vectors, output, bias)
+    share = sum(r[1] for r in rows if r[0] == 1) / total
     if not 0 < share < 1:
         odds = np.log(np.clip([1 - share, share], 1e-6, None))
         return Model(vectors, output, odds.astype(np.float32))
     mean = total / len(rows)
-    steps, done = EPOCHS * -(-len(rows) // BATCH), 0
-    for _ in range(EPOCHS):
+    done = 0
+    while done < STEPS:  # as many for a small sample, which then has more rounds
         order = rng.permutation(len(rows))
         for i in range(0, len(rows), BATCH):
             batch = [rows[k] for k in order[i : i + BATCH]]
@@ -135,7 +137,7 @@ def train(rows: list[tuple[int, float, np.ndarray, np.ndarray]], seed: int = 1)
             )
             wanted = np.eye(2)[[r[0] for r in batch]]
             error = (_softmax(hidden @ output + bias) - wanted) * np.array([[r[1] / mean] for r in batch]) / len(batch)
-            rate = RATE * (1 - done / steps)
+            rate = RATE * max(0.0, 1 - done / STEPS)
             back = error @ output.T
             output -= (0.05 * rate * hidden.T @ error).astype(np.float32)
             bias -= (0.05 * rate * error.sum(axis=0)).astype(np.float32)

@@ -27,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tabflow.llm.common import scratch_path, utf8_size
 
@@ -104,12 +105,14 @@ class Layout:
 
     spark: SparkSession
     path: str
+    schema: StructType
     earlier: Layout | None = None
     keep: str | None = None
 
     def read(self) -> DataFrame:
-        """All rows with ``shard`` (int) and _file."""
-        own = _with_file(self.spark.read.parquet(self.path))
+        """All rows with ``shard`` (int) and _file. The schema is given, as a
+        folder may hold no file."""
+        own = self.spark.read.schema(self.schema).parquet(self.path).withColumn(FILE, F.col("_metadata.file_path"))
         if self.earlier is None:
             return own
         kept = self.spark.read.parquet(self.keep)
@@ -117,19 +120,13 @@ class Layout:
         return stay.unionByName(own, allowMissingColumns=True)
 
 
-def _with_file(df: DataFrame) -> DataFrame:
-    if "shard" not in df.columns:  # a folder without files
-        df = df.withColumn("shard", F.lit(0))
-    return df.withColumns({"shard": F.col("shard").cast("int"), FILE: F.col("_metadata.file_path")})
-
-
 def write_layout(docs: DataFrame, shard: Column, path: str, text_col: str = "text") -> Layout:
     """Write the rows of ``docs`` into shard folders, each task its own files,
     with ``size``; an input column of the name shard, size or _file gives way."""
     carried = [F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "size", FILE)]
     sized = docs.select(*carried, shard.cast("int").alias("shard"), document_size(F.col(f"`{text_col}`")).alias("size"))
     sized.write.partitionBy("shard").parquet(path)
-    return Layout(docs.sparkSession, path)
+    return Layout(docs.sparkSession, path, sized.schema)
 
 
 def _stretches(spark: SparkSession, flow: np.ndarray) -> DataFrame:
@@ -182,7 +179,7 @@ def reshard(layout: Layout, capacities: Sequence[int] | int, old_shards: int, id
         split.select(*carried, F.col("new_shard").alias("shard"))
     )
     out.write.partitionBy("shard").parquet(path)
-    return Layout(spark, path, layout, keep_path)
+    return Layout(spark, path, out.schema, layout, keep_path)
 
 
 def slots(layout: Layout, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
