@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import documents
+from tabflow.llm.common import documents, materialize
 from tabflow.llm.tokens import encoder
 
 BLOCK = 1024  # lengths summed by one window task
@@ -38,9 +38,9 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
 
     Suffix sums run in blocks of lengths and then over the blocks' totals, so
     no task sorts all lengths."""
+    # One row per length, written once: both levels of sums read it, and texts are encoded only once.
     counts = (
-        lengths.groupBy("n_tokens")
-        .agg(F.count(F.lit(1)).alias("n_docs"))
+        materialize(lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs")), "lengths")
         .withColumn("block", F.expr(f"n_tokens div {BLOCK}"))
         .withColumn("tokens", F.col("n_tokens") * F.col("n_docs"))
     )
