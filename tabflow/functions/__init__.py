@@ -49,14 +49,20 @@ def clean_avg(c: ColumnOrName) -> Column:
     return F.avg(nan_to_null(c))
 
 
+# Fixed value: what counts as a number in text. Spark's own cast would also take Java's type suffixes and hexadecimal.
+NUMBER = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
+
+
 def strict_double(c: ColumnOrName) -> Column:
-    """Cast to double and fail on text that is not a number ('abc', '').
+    """Cast to double and fail on text that is not a number ('abc', '', '5.2d',
+    '0x1p3', '1_0').
 
-    Independent of ``spark.sql.ansi.enabled``: the value is converted with
-    ``try_cast`` and a non-null input that yields null raises.
+    Independent of ``spark.sql.ansi.enabled``: text must match ``NUMBER``, the
+    value is converted with ``try_cast``, and a non-null input that yields
+    null raises.
     """
     src = _c(c)
-    casted = src.try_cast("double")
+    casted = F.when(src.cast("string").rlike(NUMBER), src.try_cast("double"))
     return F.when(
         src.isNotNull() & casted.isNull(),
         F.raise_error(F.concat(F.lit("cannot cast to double: '"), src.cast("string"), F.lit("'"))),
@@ -103,6 +109,12 @@ def fmt_decimal(c: ColumnOrName, digits: int = 2) -> Column:
     return F.regexp_replace(F.format_number(_c(c), digits), ",", "")
 
 
+def fmt_half_even(c: ColumnOrName, digits: int = 2) -> Column:
+    """Fixed decimals with separators, like Python's ``f"{x:,.0f}"``:
+    ``1,234``. ``format_number`` rounds the same way, half to even."""
+    return F.format_number(_c(c).cast("double"), digits)
+
+
 def fmt_pct(c: ColumnOrName, digits: int = 2) -> Column:
     """A ratio as percent text: 0.3807 -> ``38.07%``."""
     return F.concat(fmt_decimal(_c(c) * F.lit(100.0), digits), F.lit("%"))

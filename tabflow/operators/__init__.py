@@ -31,18 +31,19 @@ from tabflow.operators.relational import (  # noqa: F401
     filter_min,
     frequency,
     histogram,
-    is_empty,
-    preview,
     row_count,
     salted_enrich,
     top_n,
 )
 from tabflow.operators.staging import (  # noqa: F401
     AuditResult,
+    drop_ref,
     export_csv,
     new_ref,
     publish,
+    query,
     read_staged,
+    read_table,
     stage_table,
     staged_path,
     write_audit,

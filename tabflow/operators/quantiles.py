@@ -6,25 +6,23 @@ spread out instead:
 
 1. count each distinct value (partial aggregation folds hot values early)
    and checkpoint that table to the shared ``spark.checkpoint.dir``;
-2. cut the distinct values into ``buckets`` ordered ranges at approximate
-   quantiles (fetched once as numbers, like a range partitioner's bounds);
-   a balanced tree of comparisons assigns each value its range;
+2. deal the distinct values to ordered ranges of about ``RANGE_VALUES`` with
+   Spark's range partitioner and checkpoint them with their range number, so
+   that every later step sees the same ranges;
 3. count rows per range (an aggregate, no sort) and derive per-range offsets
-   from that table of ``buckets`` rows;
+   from that table of one row per range;
 4. only the ranges that hold a wanted rank (two per probability) get
    running counts, with a window partitioned by range;
 5. read the values at the two ranks around ``q * (n - 1)`` and interpolate
    linearly, ``lo + (hi - lo) * frac`` (pandas / DuckDB ``quantile_cont``).
 
-The approximate cut points only balance the ranges; the answer is exact for
-any cut points because ranges are disjoint and ordered. When the checkpoint
-holds at most ``SINGLE_RANGE_MAX`` distinct values (a count over the
-checkpoint files), one ordered range is used instead, which saves several
-jobs on small inputs.
+The number of ranges grows with the distinct values, so a range's size does
+not; the answer is exact for any ranges because they are disjoint and ordered.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -33,39 +31,15 @@ from pyspark.sql import functions as F
 from tabflow.functions import nan_to_null
 from tabflow.session import shared_dir
 
-
-# Up to this many distinct values one task ranks them in a single ordered
-# window; beyond it the values are split into ordered ranges.
-SINGLE_RANGE_MAX = 1_000_000
-
-
-# Upper bound on the number of ranges (the lookup below is a tree of
-# comparisons over the cut points, so its size follows this bound).
-MAX_RANGES = 1024
-
-
-def _bucket_count(df: DataFrame) -> int:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(2, min(n, MAX_RANGES))
-
-
-def _range_of(v, cuts: Sequence[float], lo: int = 0, hi: int | None = None):
-    """Index of the range holding ``v``: the number of cut points below it,
-    found by a balanced tree of comparisons against the sorted literal cuts
-    (``log2(len(cuts))`` compiled comparisons per row, no array work)."""
-    hi = len(cuts) if hi is None else hi
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(v > F.lit(float(cuts[mid])), _range_of(v, cuts, mid + 1, hi)).otherwise(_range_of(v, cuts, lo, mid))
+# Distinct values in a range, on average: what one task sorts.
+RANGE_VALUES = 100_000
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Distinct values ``v`` of ``column`` (null and NaN skipped) with their
     multiplicity ``n``, written once to the shared checkpoint folder.
 
-    Every later step (cut points, range counts, running counts, moments)
-    reads these files instead of recomputing the upstream plan, and all of
+    Every later step (ranges, range counts, running counts) reads these files instead of recomputing the upstream plan, and all of
     them see the same rows. Partial aggregation folds hot values before the
     shuffle.
     """
@@ -110,51 +84,30 @@ def quantiles_of_counts(
         if not 0.0 <= p <= 1.0:
             raise ValueError(f"probability out of range: {p}")
 
-    nb = buckets
-    if nb is None:
-        # a size check on the checkpoint files decides between one ordered
-        # range (bounded by SINGLE_RANGE_MAX rows) and many
-        nb = 1 if counted.count() <= SINGLE_RANGE_MAX else _bucket_count(counted)
-
-    if nb <= 1:
-        ordered = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranked = counted.select(
-            "v",
-            "n",
-            F.lit(0).cast("long").alias("off"),
-            F.sum("n").over(ordered).alias("upto_local"),
-            F.sum("n").over(Window.partitionBy()).alias("total"),
-        )
-    else:
-        # Cut points over the distinct values, fetched once as ``nb - 1``
-        # numbers (like a range partitioner's bounds): every later step must
-        # bucket with the very same cuts, and an approximate aggregate re-run
-        # as a subquery need not repeat its answer exactly.
-        cut_values = counted.select(
-            F.percentile_approx("v", [i / nb for i in range(1, nb)], 10000)
-        ).first()[0] or []
-        keyed = counted.withColumn("b", _range_of(F.col("v"), cut_values))
-
-        # rows per range, then offsets: a table of at most ``nb`` rows
-        per_bucket = keyed.groupBy("b").agg(F.sum("n").alias("bn"))
-        before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = per_bucket.select(
-            "b",
-            "bn",
-            F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("off"),
-            F.sum("bn").over(Window.partitionBy()).alias("total"),
-        )
-        # only the ranges holding a wanted rank need running counts: at most
-        # two per probability, so the broadcast and the sort stay small
-        holds_rank = F.lit(False)
-        for p in probs:
-            position = F.lit(float(p)) * (F.col("total") - 1)
-            for rank in (F.floor(position), F.ceil(position)):
-                holds_rank = holds_rank | ((F.col("off") <= rank) & (rank < F.col("off") + F.col("bn")))
-        needed = offsets.where(holds_rank).select("b", "off", "total")
-
-        local = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranked = keyed.join(F.broadcast(needed), "b").withColumn("upto_local", F.sum("n").over(local))
+    ranges = buckets or max(1, math.ceil(counted.count() / RANGE_VALUES))
+    keyed = (
+        counted.repartitionByRange(ranges, "v")
+        .withColumn("b", F.spark_partition_id())
+        .checkpoint(eager=True)
+    )
+    per_range = keyed.groupBy("b").agg(F.sum("n").alias("bn"))
+    before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_range.select(
+        "b",
+        "bn",
+        F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("off"),
+        F.sum("bn").over(Window.partitionBy()).alias("total"),
+    )
+    # only the ranges holding a wanted rank need running counts: at most
+    # two per probability, so the broadcast and the sort stay small
+    holds_rank = F.lit(False)
+    for p in probs:
+        position = F.lit(float(p)) * (F.col("total") - 1)
+        for rank in (F.floor(position), F.ceil(position)):
+            holds_rank = holds_rank | ((F.col("off") <= rank) & (rank < F.col("off") + F.col("bn")))
+    needed = offsets.where(holds_rank).select("b", "off", "total")
+    local = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = keyed.join(F.broadcast(needed), "b").withColumn("upto_local", F.sum("n").over(local))
 
     upto = F.col("off") + F.col("upto_local")  # rows with value <= v
     first = upto - F.col("n")  # 0-based rank of the first copy of v

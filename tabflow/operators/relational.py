@@ -9,8 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.functions import round_half
-from tabflow.operators.quantiles import quantiles_of_counts, value_counts
+from tabflow.functions import nan_to_null, round_half
+from tabflow.operators.quantiles import exact_quantiles
 
 
 def enrich(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "inner") -> DataFrame:
@@ -36,50 +36,46 @@ def salted_enrich(
     dim_key: str,
     how: str = "inner",
     hot_fraction: float = 0.01,
-    salt: int = 32,
+    rows_per_task: int = 1_000_000,
 ) -> DataFrame:
     """``enrich`` for a fact whose join key may be hot (one key holding a large
     share of all rows) and a dimension too large to broadcast.
 
-    Keys holding at least ``hot_fraction`` of the fact rows are found with one
-    partial aggregate; there are at most ``1 / hot_fraction`` of them, so that
-    key list is broadcast under a proven bound. Fact rows of a hot key get a
-    deterministic salt in ``[0, salt)`` (a hash of the row, stable on task
-    retry); the dimension rows of hot keys are repeated once per salt value.
-    The join on (key, salt) then spreads a hot key over ``salt`` tasks. Cold
-    keys keep salt 0 and join as usual. Same rows as ``enrich``.
+    One partial aggregate counts the rows of each key. Keys with at least
+    ``hot_fraction`` of the fact rows are hot; there are at most
+    ``1 / hot_fraction`` of them, so that list is broadcast under a proven
+    bound. A hot key is spread over as many salts as its count needs for
+    ``rows_per_task`` rows each, and its dimension rows are repeated once per
+    salt. Rows are dealt to salts in turn by their place in the partition, so
+    equal rows spread too; a retried task deals alike as long as the fact
+    replays its rows in order, as a file scan does (materialise it otherwise).
+    Rows with a null key match nothing and are spread over all tasks. Same rows
+    as ``enrich``.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_enrich supports inner and left joins")
-    fk = F.col(f"`{fact_key}`")
-    total = fact.select(F.count(F.lit(1))).scalar()
-    hot = (
-        fact.where(fk.isNotNull())
-        .groupBy(fk.alias("_hot_key"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= total * F.lit(float(hot_fraction)))
-        .select("_hot_key", F.lit(True).alias("_is_hot"))
+    if not 0 < hot_fraction <= 1 or rows_per_task < 1:
+        raise ValueError("hot_fraction must lie in (0, 1] and rows_per_task be positive")
+    counts = fact.groupBy(F.col(f"`{fact_key}`").alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n"))
+    least = counts.select(F.sum("_n") * F.lit(float(hot_fraction))).scalar()
+    hot = counts.where(F.col("_hot_key").isNotNull() & (F.col("_n") >= least)).select(
+        "_hot_key", F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("long").alias("_salts")
     )
     hot_b = F.broadcast(hot)  # at most 1 / hot_fraction rows
+    turn = F.monotonically_increasing_id()
+    salt = F.when(F.col(f"_fact.`{fact_key}`").isNull(), turn).otherwise(
+        F.pmod(turn, F.coalesce("_salts", F.lit(1).cast("long")))
+    )
     f = (
         fact.alias("_fact")
         .join(hot_b, F.col(f"_fact.`{fact_key}`") == F.col("_hot_key"), "left")
-        .select(
-            *[F.col(f"_fact.`{c}`") for c in fact.columns],
-            F.when(F.col("_is_hot"), F.pmod(F.xxhash64(*[F.col(f"_fact.`{c}`") for c in fact.columns]), F.lit(salt)))
-            .otherwise(F.lit(0))
-            .alias("_salt"),
-        )
+        .select(*[F.col(f"_fact.`{c}`") for c in fact.columns], salt.alias("_salt"))
     )
+    every = F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1).cast("long")) - 1)
     d = (
         dim.alias("_dim")
         .join(hot_b, F.col(f"_dim.`{dim_key}`") == F.col("_hot_key"), "left")
-        .select(
-            *[F.col(f"_dim.`{c}`") for c in dim.columns],
-            F.explode(
-                F.when(F.col("_is_hot"), F.sequence(F.lit(0), F.lit(salt - 1))).otherwise(F.array(F.lit(0)))
-            ).alias("_salt"),
-        )
+        .select(*[F.col(f"_dim.`{c}`") for c in dim.columns], F.explode(every).alias("_salt"))
     )
     fa, da = f.alias("_f"), d.alias("_d")
     cond = (F.col(f"_f.`{fact_key}`") == F.col(f"_d.`{dim_key}`")) & (F.col("_f._salt") == F.col("_d._salt"))
@@ -143,24 +139,20 @@ def describe_column(df: DataFrame, column: str, digits: int | None = None) -> Da
     """One row: count, mean, exact median, sample std, min, max of ``column``.
 
     Null and NaN are skipped (pandas). The sample std of one value is null.
-    Everything is computed from one checkpointed table of distinct values and
-    their counts, so the input plan runs once; the std takes two passes over
-    that table (mean first), which keeps it numerically stable. Runs that
-    checkpoint job when called; the returned frame reads only its files.
+    An infinite value makes the mean infinite and the std NaN, as in pandas.
+    The moments are one partial aggregate over the input; only the median runs
+    the range path (``exact_quantiles``), whose jobs run when this is called.
     """
-    counted = value_counts(df, column)
-    total, mean = counted.agg(F.sum("n"), F.sum(F.col("v") * F.col("n")) / F.sum("n")).first()
-    mean_c = F.lit(mean).cast("double")
-    spread = F.sum(F.col("n") * (F.col("v") - mean_c) * (F.col("v") - mean_c))
-    median = quantiles_of_counts(counted, [0.5], ["median"]).scalar()
-    out = counted.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("count"),
-        mean_c.alias("mean"),
-        median.alias("median"),
-        F.when(F.lit(total or 0) > 1, F.sqrt(spread / F.lit((total or 0) - 1))).alias("std"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
+    x = nan_to_null(F.col(column))
+    median = exact_quantiles(df, column, [0.5], ["median"]).scalar()
+    out = df.select(x.alias("x")).agg(
+        F.count("x").alias("count"),
+        F.avg("x").alias("mean"),
+        F.stddev_samp("x").alias("std"),
+        F.min("x").alias("min"),
+        F.max("x").alias("max"),
     )
+    out = out.select("count", "mean", median.alias("median"), "std", "min", "max")
     if digits is not None:
         out = out.select(
             "count", *[round_half(c, digits).alias(c) for c in ("mean", "median", "std", "min", "max")]
@@ -171,34 +163,34 @@ def describe_column(df: DataFrame, column: str, digits: int | None = None) -> Da
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Equal-width histogram over ``[min, max]`` with ``bins`` bins.
 
-    Returns the non-empty bins: ``bin`` (1-based), ``bin_start``, ``bin_end``,
-    ``count``. The maximum falls in the last bin; when all values are equal
-    everything is in bin 1. Null and NaN are skipped. Runs the input once
-    when called (a checkpoint of distinct values); the returned frame reads
-    only that checkpoint.
+    One row per bin, empty ones included: ``bin`` (1-based), ``bin_start``,
+    ``bin_end``, ``count``. The maximum falls in the last bin. When all values
+    are equal there is one bin, which holds everything; without values there
+    is none. Null, NaN and infinite values are skipped: no equal-width bin has
+    them. Lazy: the bounds are a one-row subquery, and the rows are counted
+    per bin map-side, so the shuffle carries at most ``bins`` rows per task.
     """
     if bins < 1:
         raise ValueError("bins must be positive")
-    # distinct values with their counts, checkpointed once; the two bounds
-    # are read from it as plain numbers (a one-row aggregate, not data) and
-    # the bins are computed from it, so the input plan runs once (scalar
-    # subqueries would re-run it per reference)
-    values = value_counts(df, column)
-    lo_v, hi_v = values.agg(F.min("v"), F.max("v")).first()
-    lo, hi = F.lit(lo_v).cast("double"), F.lit(hi_v).cast("double")
-    nb = F.lit(bins)
-    bucket = F.when(lo == hi, F.lit(1).cast("long")).otherwise(
-        F.least(F.width_bucket(F.col("v"), lo, hi, nb), nb.cast("long"))
+    x = nan_to_null(F.col(column))
+    values = df.select(x.alias("v")).where(F.abs("v") < F.lit(float("inf")))
+    bounds = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    lo, hi = (bounds.select(c).scalar() for c in ("lo", "hi"))
+    place = F.floor(F.lit(bins) * (F.col("v") - lo) / (hi - lo)) + 1
+    bucket = F.when(lo == hi, F.lit(1).cast("long")).otherwise(F.least(place, F.lit(bins).cast("long")))
+    counts = values.groupBy(bucket.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    every = bounds.where("lo IS NOT NULL").select(
+        "lo",
+        ((F.col("hi") - F.col("lo")) / F.lit(bins)).alias("width"),
+        F.explode(F.sequence(F.lit(1).cast("long"), F.when(F.col("lo") == F.col("hi"), 1).otherwise(bins).cast("long"))).alias("bin"),
     )
-    width = (hi - lo) / nb
     return (
-        values.groupBy(bucket.alias("bin"))
-        .agg(F.sum("n").alias("count"))
+        every.join(counts, "bin", "left")
         .select(
             "bin",
-            (lo + (F.col("bin") - 1) * width).alias("bin_start"),
-            (lo + F.col("bin") * width).alias("bin_end"),
-            "count",
+            (F.col("lo") + (F.col("bin") - 1) * F.col("width")).alias("bin_start"),
+            (F.col("lo") + F.col("bin") * F.col("width")).alias("bin_end"),
+            F.coalesce("n", F.lit(0)).cast("long").alias("count"),
         )
         .orderBy("bin")
     )
@@ -244,13 +236,3 @@ def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
     """Number of rows as a one-row DataFrame (stays lazy, composes with
     other reports)."""
     return df.agg(F.count(F.lit(1)).alias(name))
-
-
-def is_empty(df: DataFrame) -> bool:
-    """True when ``df`` has no row; reads at most one row."""
-    return df.isEmpty()
-
-
-def preview(df: DataFrame, n: int = 10) -> DataFrame:
-    """An inspection sample of ``n`` rows (no order implied)."""
-    return df.limit(n)

@@ -1,5 +1,5 @@
-"""Sinks: staged writes, write-audit-publish, table writes and CSV export
-(SURVEY §2.2, K1-K10).
+"""Sinks: staged writes, write-audit-publish, table writes, SQL at a ref and
+CSV export (SURVEY §2.2, K1-K10; S7, S11).
 
 A *ref* names an isolated staging area below the shared folder from
 ``spark.checkpoint.dir``: ``<shared>/staging/<ref>/<table>``. Data is written
@@ -7,14 +7,21 @@ there, audited with ``checks.run_checks`` on the written files (so the audit
 never recomputes the upstream plan), kept whether the audit passes or not,
 and copied to a target only by an explicit ``publish``.
 
-Limitation: plain Parquet has no atomic replace. ``publish`` overwrites the
-target directory; readers of the target during the copy can see a partial
-table. A table format with transactions (Delta, Iceberg) would make it
-atomic, but none is on this classpath.
+An overwrite first writes a new folder beside the target and swaps it in when
+the write has succeeded, so no write deletes what it reads and a failed one
+leaves the old table. Beside its data files a table carries ``_tabflow.json``
+with its schema, its partition columns and the verdict of its audit; Spark's
+readers skip that file. ``read_table`` reads with that schema.
+
+Limitation: the swap is two renames. A reader between them misses the table,
+and an object store renames file by file. A table format with transactions
+would make it atomic, but none is on this classpath.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -22,9 +29,11 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabflow.operators.checks import FAIL, Check, CheckFailed, run_checks
 from tabflow.session import shared_dir
+from tabflow.sources import CSV_OPTIONS
 
 
 def new_ref(prefix: str = "import") -> str:
@@ -38,23 +47,114 @@ def staged_path(spark: SparkSession, table: str, ref: str, root: str | None = No
     return f"{base}/staging/{ref}/{table.replace('.', '/')}"
 
 
+METADATA = "_tabflow.json"
+
+# In the folder names of a text partition column: Spark would read an empty
+# text back as null, so it is written as the mark, and a text that starts with
+# the mark gets one more.
+EMPTY_MARK = "="
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and its qualified Path: relative
+    paths, ``..``, spaces and schemes are resolved the way Spark does."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(hadoop)
+
+
+def _inside(path: str, folder: str) -> bool:
+    return path == folder or path.startswith(folder.rstrip("/") + "/")
+
+
+def _roots(df: DataFrame) -> list[str]:
+    """The folders and files that the plan of ``df`` reads, without listing them."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    out = []
+    for k in range(leaves.size()):
+        leaf = leaves.apply(k)
+        if leaf.getClass().getSimpleName() != "LogicalRelation":
+            continue
+        relation = leaf.relation()
+        if relation.getClass().getSimpleName() == "HadoopFsRelation":
+            roots = relation.location().rootPaths()
+            out += [roots.apply(i).toString() for i in range(roots.size())]
+    return out
+
+
+def _reads_from(df: DataFrame, path: str) -> bool:
+    """True when ``df`` reads from ``path``, below it or from a folder around it."""
+    spark = df.sparkSession
+    target = _file_system(spark, path)[1].toString()
+    roots = [_file_system(spark, root)[1].toString() for root in _roots(df)]
+    return any(_inside(root, target) or _inside(target, root) for root in roots)
+
+
+def _text_partitions(schema: T.StructType, partition_by: Sequence[str]) -> list[str]:
+    return [c for c in partition_by if isinstance(schema[c].dataType, T.StringType)]
+
+
+def _marked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    marked = lambda c: F.when((c == "") | c.startswith(EMPTY_MARK), F.concat(F.lit(EMPTY_MARK), c)).otherwise(c)
+    return df.withColumns({name: marked(F.col(f"`{name}`")) for name in columns})
+
+
+def _unmarked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    plain = lambda c: F.when(c.startswith(EMPTY_MARK), F.substring(c, 2, 1 << 30)).otherwise(c)
+    return df.withColumns({name: plain(F.col(f"`{name}`")) for name in columns})
+
+
+def read_metadata(spark: SparkSession, path: str) -> dict:
+    """What ``write_table`` stored beside the table; empty for other tables."""
+    fs, folder = _file_system(spark, path)
+    file = spark._jvm.org.apache.hadoop.fs.Path(folder, METADATA)
+    if not fs.exists(file):
+        return {}
+    stream = fs.open(file)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
+def _write_metadata(spark: SparkSession, path: str, values: dict) -> None:
+    fs, folder = _file_system(spark, path)
+    stream = fs.create(spark._jvm.org.apache.hadoop.fs.Path(folder, METADATA), True)
+    try:
+        stream.write(bytearray(json.dumps(values).encode()))
+    finally:
+        stream.close()
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A written table with the schema and column order it was written with
+    (partition values keep their type); any other Parquet folder as it is."""
+    meta = read_metadata(spark, path)
+    if not meta:
+        return spark.read.parquet(path)
+    schema = T.StructType.fromJson(meta["schema"])
+    stored = spark.read.schema(schema).parquet(path)
+    plain = _unmarked(stored, _text_partitions(schema, meta["partition_by"]))
+    return plain.select(*[F.col(f"`{name}`") for name in schema.names])
+
+
 def read_staged(spark: SparkSession, table: str, ref: str, root: str | None = None) -> DataFrame:
     """A table as it is in staging area ``ref`` (read at a ref)."""
-    return spark.read.parquet(staged_path(spark, table, ref, root))
+    return read_table(spark, staged_path(spark, table, ref, root))
 
 
-def _norm(p: str) -> str:
-    p = p.rstrip("/")
-    for scheme in ("file://", "file:"):
-        if p.startswith(scheme):
-            p = p[len(scheme):]
-    return p
+def query(spark: SparkSession, text: str, ref: str, root: str | None = None) -> DataFrame:
+    """SQL text over the tables of a ref: each ``{name}`` in the text is the
+    staged table of that name. No view is registered, so two refs never mix."""
+    names = set(re.findall(r"\{(\w+)\}", text))
+    return spark.sql(text, **{name: read_staged(spark, name, ref, root) for name in names})
 
 
-def _reads_from(df: DataFrame, path: str) -> bool:
-    """True when ``df`` reads any file under ``path`` (self-overwrite guard)."""
-    target = _norm(path) + "/"
-    return any(_norm(f).startswith(target) for f in df.inputFiles())
+def drop_ref(spark: SparkSession, ref: str, root: str | None = None) -> bool:
+    """Delete a staging area with all its tables; True if there was one."""
+    base = (root or shared_dir(spark)).rstrip("/")
+    fs, folder = _file_system(spark, f"{base}/staging/{ref}")
+    return bool(fs.delete(folder, True))
 
 
 def write_table(
@@ -68,18 +168,44 @@ def write_table(
     the number of rows written, measured by an ``Observation`` on the same
     job (no second pass).
 
-    Refuses to overwrite a location the plan reads from: Spark would delete
-    the input before reading it and leave nothing.
+    An overwrite that reads from its own target is refused; any other one is
+    written beside the target and swapped in. Parquet tables carry metadata.
     """
+    spark = df.sparkSession
     if mode == "overwrite" and _reads_from(df, path):
         raise ValueError(f"refusing to overwrite {path}: the data being written is read from it")
+    keys = list(partition_by or [])
     obs = Observation("row_count")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.mode(mode).format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
-    return int(obs.get["rows"])
+    observed = _marked(df, _text_partitions(df.schema, keys)).observe(obs, F.count(F.lit(1)).alias("rows"))
+    fs, target = _file_system(spark, path)
+    fresh = f"{target.toString()}.{uuid.uuid4().hex}" if mode == "overwrite" else target.toString()
+    writer = observed.write.mode("errorifexists" if mode == "overwrite" else mode).format(fmt)
+    if keys:
+        writer = writer.partitionBy(*keys)
+    writer.save(fresh)
+    rows = int(obs.get["rows"])
+    if mode == "overwrite":
+        if fmt == "parquet":
+            _write_metadata(spark, fresh, {"schema": df.schema.jsonValue(), "partition_by": keys, "audit": None})
+        _swap(spark, fs, fresh, target)
+    return rows
+
+
+def _swap(spark: SparkSession, fs, fresh: str, target) -> None:
+    """Put the folder ``fresh`` in the place of ``target``; the old one is
+    deleted only once the new one stands there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    old = path(f"{target.toString()}.{uuid.uuid4().hex}.old")
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot move {target.toString()} aside; the new table is at {fresh}")
+    if not fs.rename(path(fresh), target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"cannot move {fresh} to {target.toString()}")
+    if had:
+        fs.delete(old, True)
+    spark.catalog.refreshByPath(target.toString())
 
 
 def stage_table(
@@ -106,7 +232,7 @@ class AuditResult:
     passed: bool
 
     def staged(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path)
+        return read_table(spark, self.path)
 
 
 def write_audit(
@@ -126,28 +252,38 @@ def write_audit(
     """
     spark = df.sparkSession
     path, rows = stage_table(df, table, ref, root, partition_by)
-    staged = spark.read.parquet(path)
+    staged = read_table(spark, path)
     results = [r.asDict() for r in run_checks(staged, checks).collect()] if checks else []
     passed = all(r["passed"] or r["severity"] != FAIL for r in results)
+    _write_metadata(spark, path, read_metadata(spark, path) | {"audit": {"passed": passed, "checks": results}})
     result = AuditResult(table, ref, path, rows, results, passed)
     if raise_on_failure and not passed:
         raise CheckFailed([r for r in results if not r["passed"] and r["severity"] == FAIL])
     return result
 
 
-def publish(spark: SparkSession, table: str, ref: str, target: str, root: str | None = None) -> int:
-    """Copy a staged table to ``target`` (explicit publish step). The staged
-    copy stays. Refuses a target that is, or lies inside, the staged path."""
+def publish(
+    spark: SparkSession, table: str, ref: str, target: str, root: str | None = None, allow_failed: bool = False
+) -> int:
+    """Copy a staged table to ``target`` (explicit publish step), in the same
+    partition layout. The staged copy stays. Refuses a target that overlaps
+    the staged path and, unless ``allow_failed``, a table whose audit failed."""
     source = staged_path(spark, table, ref, root)
-    src, dst = _norm(source), _norm(target)
-    if dst == src or dst.startswith(src + "/") or src.startswith(dst + "/"):
+    src, dst = (_file_system(spark, p)[1].toString() for p in (source, target))
+    if _inside(dst, src) or _inside(src, dst):
         raise ValueError(f"publish target {target} overlaps the staged table {source}")
-    return write_table(spark.read.parquet(source), target, "overwrite")
+    meta = read_metadata(spark, source)
+    audit = meta.get("audit")
+    if audit and not audit["passed"] and not allow_failed:
+        raise CheckFailed([r for r in audit["checks"] if not r["passed"] and r["severity"] == FAIL])
+    rows = write_table(read_table(spark, source), target, "overwrite", meta.get("partition_by"))
+    _write_metadata(spark, target, read_metadata(spark, target) | {"audit": audit})
+    return rows
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header. ``single_file`` funnels the rows through one task,
-    so use it only for report-sized frames (a top-N, a per-borough table);
-    otherwise every partition writes its own part file."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str, limit: int | None = None) -> None:
+    """CSV with a header, quoted the standard way (a quote inside a field is
+    doubled; spaces and line breaks are kept). With ``limit`` the first rows
+    come in one file; otherwise every partition writes its own."""
+    out = df if limit is None else df.limit(limit).repartition(1)
+    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)

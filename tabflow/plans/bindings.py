@@ -7,8 +7,6 @@ any later filter still reach the scan.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,18 +16,15 @@ HIGH_BALANCE = 6000
 MEDIUM_BALANCE = 2500
 TRIP_START = "1998-02-01"
 TRIP_END = "1998-02-15"
-MILES_DIVISOR = 6.0
+MILES_DIVISOR = 4.0  # a power of two, so sums of miles are exact in any order
+ALL_START = "1990-01-01"
+ALL_END = "2000-01-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The Parquet table ``name`` under ``sf_dir``, registered once per session
-    as a temporary view so later queries reuse its file listing and schema
-    instead of listing and reading footers again."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    view = "tabflow_" + hashlib.sha1(path.encode()).hexdigest()[:12] + "_" + name
-    if not spark.catalog.tableExists(view):
-        spark.read.parquet(path).createOrReplaceTempView(view)
-    return spark.table(view)
+    """The Parquet table ``name`` under ``sf_dir``, listed anew each time so
+    that changed files are seen."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,10 +49,12 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as trips: ship date = pickup time, supplier = pickup
-    location, part = drop-off location, quantity / 6 = miles."""
+    location, part = drop-off location, the day after the pickup = drop-off
+    time, quantity / 4 = miles."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_shipdate").alias("pickup_datetime"),
+        (F.col("l_shipdate") + F.expr("INTERVAL 1 DAY")).alias("dropoff_datetime"),
         F.col("l_suppkey").alias("PULocationID"),
         F.col("l_partkey").alias("DOLocationID"),
         (F.col("l_quantity") / F.lit(MILES_DIVISOR)).alias("trip_miles"),

@@ -154,6 +154,17 @@ def segment_report(by_segment: DataFrame, order: Sequence[str] = SEGMENT_ORDER)
     )
 
 
+def kpis_text(kpis: DataFrame) -> DataFrame:
+    """The one-row ``conversion_kpis`` as displayed."""
+    return kpis.select(
+        fmt_count("total_sessions").alias("total_sessions_text"),
+        fmt_count("converting_sessions").alias("converting_sessions_text"),
+        fmt_pct("overall_rate").alias("overall_rate_text"),
+        "best_segment",
+    )
+
+
+# The headings of the dashboard table.
 def display_names(report: DataFrame) -> DataFrame:
     """The report with the column headings of the dashboard table."""
     return report.select(

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tabflow.functions import clean_avg, nan_to_null, ordinal
 from tabflow.operators.quantiles import exact_quantiles
+from tabflow.session import shared_dir
 
 # Segment labels, lowest first.
 ENGAGEMENT_LABELS = ["low", "medium", "high"]
@@ -50,8 +51,11 @@ def user_segments(
     relative_error: float | None = None,
 ) -> DataFrame:
     """``users`` with an engagement segment column (null for a null/NaN score).
-    Cut points are exact unless ``relative_error`` is given; they are computed
-    when this is called, the labelling stays lazy."""
+    Cut points are exact unless ``relative_error`` is given. The users are
+    checkpointed once; the cut points, computed when this is called, and the
+    lazy labels both read that table."""
+    shared_dir(users.sparkSession)
+    users = users.checkpoint(eager=True)
     # the two cut points are one small aggregate; fetched as numbers they
     # enter the plan as literals (a scalar subquery would re-run per use)
     lo_v, hi_v = engagement_cuts(users, score, relative_error).first()

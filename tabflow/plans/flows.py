@@ -14,8 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tabflow.operators.checks import Check, field_is, not_empty, run_checks
-from tabflow.operators.staging import AuditResult, new_ref, stage_table, write_audit
+from tabflow.operators.checks import Check, assert_checks, field_is, not_empty, run_checks, unique
+from tabflow.operators.staging import AuditResult, new_ref, read_table, stage_table, write_audit
 from tabflow.plans import conversion, engagement, trips
 from tabflow.sources import override_types, read_parquet_glob, read_source
 
@@ -74,15 +74,17 @@ def run_taxi_flow(
 ) -> FlowResult:
     """Import the trips (optionally storing ``trip_miles`` as text), then
     build ``trips_and_zones`` and ``top_pickup_locations`` in the same ref.
-    The strict cast in ``trips_and_zones`` makes both variants give the same
+    A location listed twice in ``zones`` would multiply trips, so it fails the
+    flow. The strict cast in ``trips_and_zones`` makes both variants give the same
     tables; the ``is_floating`` expectation is recorded (warn severity)."""
+    assert_checks(run_checks(zones, [unique("LocationID")]))
     ref = ref or new_ref("taxi")
     overrides = {"trip_miles": "string"} if miles_as_text else None
     imported = import_table(spark, trips_uri, "taxi_trips", ref, overrides, root=root)
     staged = imported.staged(spark)
     joined = trips.trips_and_zones(staged, zones, start, end)
     joined_path, _ = stage_table(joined, "trips_and_zones", ref, root)
-    joined_staged = spark.read.parquet(joined_path)
+    joined_staged = read_table(spark, joined_path)
     expectation = [r.asDict() for r in run_checks(joined_staged, trips.trips_checks()).collect()]
     top = trips.top_pickup_locations(joined_staged)
     top_path, _ = stage_table(top, "top_pickup_locations", ref, root)
@@ -102,8 +104,10 @@ def run_conversion_flow(
     root: str | None = None,
 ) -> FlowResult:
     """Import the session events, build ``conversion_by_segment`` in the same
-    ref and gate it with the conversion checks (raises on failure; the staged
+    ref and gate it with the conversion checks (raises on failure, also when
+    ``users`` lists a user twice, which would count sessions twice; the staged
     tables stay for debugging)."""
+    assert_checks(run_checks(users, [unique("user_id")]))
     ref = ref or new_ref("conversion")
     imported = import_table(spark, events_uri, "sessions", ref, root=root)
     sessions = conversion.session_conversion(imported.staged(spark))
@@ -134,6 +138,6 @@ def run_engagement_flow(
     imported = import_table(spark, uri, "engagement_users", ref, fmt=fmt, schema=schema, root=root)
     segmented = engagement.user_segments(imported.staged(spark), score)
     seg_path, _ = stage_table(segmented, "user_segments", ref, root)
-    summary = engagement.segment_summary(spark.read.parquet(seg_path), measures)
+    summary = engagement.segment_summary(read_table(spark, seg_path), measures)
     sum_path, _ = stage_table(summary, "segment_summary", ref, root)
     return FlowResult(ref, imported, {"user_segments": seg_path, "segment_summary": sum_path})

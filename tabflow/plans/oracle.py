@@ -41,7 +41,8 @@ _SEGMENT_RANK = (
     "CASE customer_segment WHEN 'high' THEN 0 WHEN 'medium' THEN 1 WHEN 'low' THEN 2 ELSE 99 END"
 )
 
-_ZONES = """
+def _zones(start: str, end: str) -> str:
+    return f"""
 zones AS (
     SELECT s.s_suppkey AS LocationID, r.r_name AS Borough, s.s_name AS Zone
     FROM supplier s
@@ -49,25 +50,29 @@ zones AS (
     JOIN region r ON n.n_regionkey = r.r_regionkey
 ),
 trips AS (
-    SELECT l_shipdate AS pickup_datetime, l_suppkey AS PULocationID, l_partkey AS DOLocationID,
-           l_quantity / 6.0 AS trip_miles
+    SELECT l_shipdate AS pickup_datetime, l_shipdate + INTERVAL 1 DAY AS dropoff_datetime,
+           l_suppkey AS PULocationID, l_partkey AS DOLocationID, l_quantity / 4.0 AS trip_miles
     FROM lineitem
-    WHERE l_shipdate >= TIMESTAMP '1998-02-01' AND l_shipdate < TIMESTAMP '1998-02-15'
+    WHERE l_shipdate >= TIMESTAMP '{start}' AND l_shipdate < TIMESTAMP '{end}'
 ),
 tz AS (
-    SELECT t.pickup_datetime, t.PULocationID, t.DOLocationID,
+    SELECT t.pickup_datetime, t.dropoff_datetime, t.PULocationID, t.DOLocationID,
            CAST(t.trip_miles AS DOUBLE) AS trip_miles, z.Borough, z.Zone
     FROM trips t JOIN zones z ON t.PULocationID = z.LocationID
 ),
 loc AS (
     SELECT PULocationID, Borough, Zone,
            COUNT(pickup_datetime) AS number_of_trips,
-           ROUND(AVG(CASE WHEN isnan(trip_miles) THEN NULL ELSE trip_miles END), 6) AS avg_trip_distance
+           AVG(CASE WHEN isnan(trip_miles) THEN NULL ELSE trip_miles END) AS avg_trip_distance
     FROM tz
     WHERE PULocationID IS NOT NULL AND Borough IS NOT NULL AND Zone IS NOT NULL
     GROUP BY PULocationID, Borough, Zone
 )"""
 
+
+_ZONES = _zones("1998-02-01", "1998-02-15")
+_ALL_ZONES = _zones("1990-01-01", "2000-01-01")
+
 _ORDER = "ORDER BY number_of_trips DESC, PULocationID, Borough, Zone"
 
 
@@ -112,6 +117,50 @@ _DISTANCE_CASE = """CASE WHEN avg_trip_distance IS NULL OR isnan(avg_trip_distan
             WHEN avg_trip_distance > 4 AND avg_trip_distance <= 6 THEN 'Long (4-6mi)'
             WHEN avg_trip_distance > 6 THEN 'Very Long (6+mi)' END"""
 
+_HISTOGRAM = """,
+v AS (SELECT avg_trip_distance AS x FROM loc WHERE isfinite(avg_trip_distance)),
+b AS (SELECT MIN(x) AS lo, MAX(x) AS hi FROM v),
+counted AS (
+    SELECT LEAST(CAST(FLOOR(30 * (v.x - b.lo) / (b.hi - b.lo)) AS BIGINT) + 1, 30) AS bin, COUNT(*) AS n
+    FROM v, b GROUP BY 1
+)
+SELECT CAST(r.bin AS BIGINT) AS bin,
+       ROUND(lo + (r.bin - 1) * ((hi - lo) / 30), 6) AS bin_start,
+       ROUND(lo + r.bin * ((hi - lo) / 30), 6) AS bin_end,
+       COALESCE(c.n, 0) AS count
+FROM range(1, 31) AS r(bin) CROSS JOIN b LEFT JOIN counted c ON c.bin = r.bin"""
+
+_CATEGORIES = f""",
+cats AS (
+    SELECT * FROM (VALUES ('Short (0-2mi)', 0), ('Medium (2-4mi)', 1),
+                          ('Long (4-6mi)', 2), ('Very Long (6+mi)', 3)) AS t(cat, ord)
+),
+binned AS (SELECT {_DISTANCE_CASE} AS cat, number_of_trips, Zone FROM loc),
+agg AS (
+    SELECT cat, SUM(number_of_trips) AS trips, COUNT(Zone) AS zones
+    FROM binned WHERE cat IS NOT NULL GROUP BY cat
+)
+SELECT c.cat AS "Distance Category",
+       CAST(COALESCE(a.trips, 0) AS BIGINT) AS "Total Trips",
+       CAST(COALESCE(a.zones, 0) AS BIGINT) AS "Number of Zones"
+FROM cats c LEFT JOIN agg a ON c.cat = a.cat"""
+
+_STATISTICS = """
+SELECT COUNT(number_of_trips) AS count,
+       ROUND(AVG(number_of_trips), 6) AS mean,
+       ROUND(MEDIAN(number_of_trips), 6) AS median,
+       ROUND(STDDEV_SAMP(number_of_trips), 6) AS std,
+       CAST(MIN(number_of_trips) AS DOUBLE) AS min,
+       CAST(MAX(number_of_trips) AS DOUBLE) AS max
+FROM loc"""
+
+_BOROUGHS = """
+SELECT Borough,
+       CAST(SUM(number_of_trips) AS BIGINT) AS "Total Trips",
+       ROUND(AVG(avg_trip_distance), 6) AS "Avg Distance",
+       COUNT(Zone) AS "Number of Zones"
+FROM loc WHERE Borough IS NOT NULL GROUP BY Borough"""
+
 LINEITEM_COLUMNS = (
     "l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS VARCHAR) AS l_quantity, "
     "l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
@@ -188,63 +237,21 @@ SELECT CAST(COALESCE(SUM(number_of_trips), 0) AS BIGINT) AS total_trips,
 FROM loc""",
     "borough_mix_top20": _with(_ZONES, _top(20))
     + "\nSELECT Borough, COUNT(*) AS count FROM top WHERE Borough IS NOT NULL GROUP BY Borough",
-    "trip_statistics": _with(_ZONES)
-    + """
-SELECT COUNT(number_of_trips) AS count,
-       ROUND(AVG(number_of_trips), 6) AS mean,
-       ROUND(MEDIAN(number_of_trips), 6) AS median,
-       ROUND(STDDEV_SAMP(number_of_trips), 6) AS std,
-       ROUND(CAST(MIN(number_of_trips) AS DOUBLE), 6) AS min,
-       ROUND(CAST(MAX(number_of_trips) AS DOUBLE), 6) AS max
-FROM loc""",
+    "trip_statistics": _with(_ZONES) + _STATISTICS,
     "trip_statistics_top50": _with(_ZONES, _top(50))
     + """
 SELECT COUNT(number_of_trips) AS count,
        ROUND(AVG(number_of_trips), 6) AS mean,
        ROUND(MEDIAN(number_of_trips), 6) AS median,
        ROUND(STDDEV_SAMP(number_of_trips), 6) AS std,
-       ROUND(CAST(MIN(number_of_trips) AS DOUBLE), 6) AS min,
-       ROUND(CAST(MAX(number_of_trips) AS DOUBLE), 6) AS max
+       CAST(MIN(number_of_trips) AS DOUBLE) AS min,
+       CAST(MAX(number_of_trips) AS DOUBLE) AS max
 FROM top""",
-    "borough_report": _with(_ZONES)
-    + """
-SELECT Borough,
-       CAST(SUM(number_of_trips) AS BIGINT) AS "Total Trips",
-       ROUND(AVG(avg_trip_distance), 6) AS "Avg Distance",
-       COUNT(Zone) AS "Number of Zones"
-FROM loc WHERE Borough IS NOT NULL GROUP BY Borough""",
+    "borough_report": _with(_ZONES) + _BOROUGHS,
     "distance_points": _with(_ZONES)
     + "\nSELECT PULocationID, Borough, Zone, avg_trip_distance, number_of_trips FROM loc",
-    "distance_histogram": _with(_ZONES)
-    + """,
-v AS (SELECT avg_trip_distance AS x FROM loc WHERE avg_trip_distance IS NOT NULL AND NOT isnan(avg_trip_distance)),
-b AS (SELECT MIN(x) AS lo, MAX(x) AS hi FROM v),
-binned AS (
-    SELECT CASE WHEN b.lo = b.hi THEN 1
-                ELSE LEAST(CAST(FLOOR(30 * (v.x - b.lo) / (b.hi - b.lo)) AS BIGINT) + 1, 30) END AS bin,
-           b.lo, b.hi
-    FROM v, b
-)
-SELECT CAST(bin AS BIGINT) AS bin,
-       ROUND(lo + (bin - 1) * ((hi - lo) / 30), 6) AS bin_start,
-       ROUND(lo + bin * ((hi - lo) / 30), 6) AS bin_end,
-       COUNT(*) AS count
-FROM binned GROUP BY bin, lo, hi""",
-    "distance_categories": _with(_ZONES)
-    + f""",
-cats AS (
-    SELECT * FROM (VALUES ('Short (0-2mi)', 0), ('Medium (2-4mi)', 1),
-                          ('Long (4-6mi)', 2), ('Very Long (6+mi)', 3)) AS t(cat, ord)
-),
-binned AS (SELECT {_DISTANCE_CASE} AS cat, number_of_trips, Zone FROM loc),
-agg AS (
-    SELECT cat, SUM(number_of_trips) AS trips, COUNT(Zone) AS zones
-    FROM binned WHERE cat IS NOT NULL GROUP BY cat
-)
-SELECT c.cat AS "Distance Category",
-       CAST(COALESCE(a.trips, 0) AS BIGINT) AS "Total Trips",
-       CAST(COALESCE(a.zones, 0) AS BIGINT) AS "Number of Zones"
-FROM cats c LEFT JOIN agg a ON c.cat = a.cat""",
+    "distance_histogram": _with(_ZONES) + _HISTOGRAM,
+    "distance_categories": _with(_ZONES) + _CATEGORIES,
     "distance_categories_top50": _with(_ZONES, _top(50))
     + f""",
 cats AS (
@@ -281,9 +288,11 @@ UNION ALL
 SELECT 'unique', 'user_id', 'fail', CAST(COUNT(*) AS BIGINT), COUNT(*) = 0
 FROM (SELECT user_id FROM users WHERE user_id IS NOT NULL GROUP BY user_id HAVING COUNT(*) > 1)
 UNION ALL
-SELECT 'is_floating', 'trip_miles', 'warn', CAST(0 AS BIGINT), TRUE
+SELECT 'is_floating', 'trip_miles', 'warn', CAST(typ NOT IN ('FLOAT', 'DOUBLE') AS BIGINT), typ IN ('FLOAT', 'DOUBLE')
+FROM (SELECT any_value(typeof(trip_miles)) AS typ FROM tz)
 UNION ALL
-SELECT 'field_is', 'PULocationID', 'fail', CAST(0 AS BIGINT), TRUE""",
+SELECT 'field_is', 'PULocationID', 'fail', CAST(typ <> 'BIGINT' AS BIGINT), typ = 'BIGINT'
+FROM (SELECT any_value(typeof(PULocationID)) AS typ FROM tz)""",
     "override_types_roundtrip": """
 SELECT l_orderkey, l_linenumber,
        CAST(l_quantity AS VARCHAR) AS l_quantity_text,
@@ -304,4 +313,67 @@ SELECT engagement_segment, COUNT(*) AS users,
        ROUND(AVG(user_engagement_score), 6) AS avg_user_engagement_score,
        ROUND(AVG(daily_active_minutes_instagram), 6) AS avg_daily_active_minutes_instagram
 FROM seg WHERE engagement_segment IS NOT NULL GROUP BY engagement_segment""",
+    "conversion_kpis_text": _with(_SESSIONS)
+    + f"""
+SELECT format('{{:,}}', CAST(SUM(total_sessions) AS BIGINT)) AS total_sessions_text,
+       format('{{:,}}', CAST(SUM(converting_sessions) AS BIGINT)) AS converting_sessions_text,
+       printf('%.2f%%', 100.0 * SUM(converting_sessions) / SUM(total_sessions)) AS overall_rate_text,
+       (SELECT customer_segment FROM cbs
+        ORDER BY conversion_rate DESC, {_SEGMENT_RANK}, customer_segment LIMIT 1) AS best_segment
+FROM cbs""",
+    "segment_table": _with(_SESSIONS)
+    + """
+SELECT customer_segment AS "Segment", format('{:,}', total_sessions) AS "Sessions",
+       format('{:,}', converting_sessions) AS "Conversions",
+       printf('%.2f%%', conversion_rate * 100.0) AS "Conv. rate"
+FROM cbs""",
+    "borough_mix_top10": _with(_ZONES, _top(10))
+    + "\nSELECT Borough, COUNT(*) AS count FROM top WHERE Borough IS NOT NULL GROUP BY Borough",
+    "top_bars": _with(_ZONES, _top(20)) + "\nSELECT Zone, number_of_trips, avg_trip_distance, Borough FROM top",
+    "top_pickup_locations_all_dates": _with(_ALL_ZONES) + f"\nSELECT * FROM loc {_ORDER}",
+    "trip_statistics_all_dates": _with(_ALL_ZONES) + _STATISTICS,
+    "borough_report_all_dates": _with(_ALL_ZONES) + _BOROUGHS,
+    "distance_histogram_all_dates": _with(_ALL_ZONES) + _HISTOGRAM,
+    "distance_categories_all_dates": _with(_ALL_ZONES) + _CATEGORIES,
+    "price_quantiles": """
+SELECT ROUND(quantile_cont(l_extendedprice, 0.1), 6) AS p10, ROUND(quantile_cont(l_extendedprice, 0.5), 6) AS median,
+       ROUND(quantile_cont(l_extendedprice, 0.9), 6) AS p90
+FROM lineitem""",
+    "price_statistics": """
+SELECT COUNT(l_quantity) AS count, ROUND(AVG(l_quantity), 6) AS mean, ROUND(MEDIAN(l_quantity), 6) AS median,
+       ROUND(STDDEV_SAMP(l_quantity), 6) AS std, MIN(l_quantity) AS min, MAX(l_quantity) AS max
+FROM lineitem""",
+    "location_kpis_text": _with(_ZONES, _top(50))
+    + f"""
+SELECT format('{{:,}}', CAST(SUM(number_of_trips) AS BIGINT)) AS total_trips_text,
+       format('{{:,.2f}}', AVG(avg_trip_distance)) AS avg_distance_text,
+       (SELECT Zone FROM top {_ORDER} LIMIT 1) AS top_location,
+       format('{{:,}}', MAX(number_of_trips)) AS top_location_trips_text
+FROM top""",
+    "trip_statistics_text": _with(_ZONES, _top(50))
+    + """,
+s AS (SELECT AVG(number_of_trips) AS a, MEDIAN(number_of_trips) AS b, STDDEV_SAMP(number_of_trips) AS c,
+             MIN(number_of_trips)::DOUBLE AS d, MAX(number_of_trips)::DOUBLE AS e FROM top)
+SELECT 'Mean Trips' AS "Metric", format('{:,.0f}', a) AS "Value" FROM s
+UNION ALL SELECT 'Median Trips', format('{:,.0f}', b) FROM s
+UNION ALL SELECT 'Std Dev Trips', format('{:,.0f}', c) FROM s
+UNION ALL SELECT 'Min Trips', format('{:,.0f}', d) FROM s
+UNION ALL SELECT 'Max Trips', format('{:,.0f}', e) FROM s""",
+    "borough_report_text": _with(_ZONES, _top(50))
+    + """
+SELECT Borough, format('{:,}', CAST(SUM(number_of_trips) AS BIGINT)) AS "Total Trips",
+       printf('%.2f', AVG(avg_trip_distance)) AS "Avg Distance",
+       CAST(COUNT(Zone) AS VARCHAR) AS "Number of Zones"
+FROM top WHERE Borough IS NOT NULL GROUP BY Borough""",
+    "publish_roundtrip": "SELECT * FROM orders",
+    "written_rows": "SELECT COUNT(*) AS rows FROM lineitem",
+    "partitioned_roundtrip": """
+SELECT l_orderkey, l_linenumber,
+       CASE l_returnflag WHEN 'A' THEN '' WHEN 'N' THEN '007' ELSE '=' || l_returnflag END AS part
+FROM lineitem""",
+    "csv_roundtrip": """SELECT doc_id, '  "' || text || '", ' AS text, lang FROM documents""",
+    "query_at_ref": """
+SELECT l_returnflag, COUNT(*) AS lines, SUM(l_quantity) AS quantity
+FROM lineitem WHERE l_linenumber > 1 GROUP BY l_returnflag""",
+    "glob_mixed_types": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
 }

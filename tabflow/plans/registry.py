@@ -1,8 +1,9 @@
 """Registered queries over the test tables and their DuckDB oracle SQL.
 
-Every query reads whole tables at ``sf_dir`` through ``bindings``. Doubles that
-come out of an aggregate are rounded to 6 decimals on both sides (summation
-order differs between engines); the conversion rate keeps the reference's 4.
+Every query reads whole tables at ``sf_dir`` through ``bindings``. Miles are
+multiples of 1/4, so their sums and means are the same in any order; means of
+means and the like are rounded to 6 decimals on both sides at the very end. The
+conversion rate keeps the original's 4.
 """
 
 from __future__ import annotations
@@ -15,11 +16,22 @@ from pyspark.sql import types as T
 
 from tabflow.functions import round_half
 from tabflow.operators.checks import field_is, is_floating, run_checks, unique
-from tabflow.operators.relational import row_count
+from tabflow.operators.quantiles import exact_quantiles
+from tabflow.operators.relational import describe_column, row_count
+from tabflow.operators.staging import (
+    export_csv,
+    new_ref,
+    publish,
+    query,
+    read_table,
+    stage_table,
+    staged_path,
+    write_audit,
+)
 from tabflow.plans import bindings as B
 from tabflow.plans import conversion, engagement, trips
 from tabflow.plans.flows import import_table
-from tabflow.sources import override_types
+from tabflow.sources import override_types, read_parquet_glob, read_source
 
 DIGITS = 6
 # Fixed parameters of the registered report queries.
@@ -57,6 +69,14 @@ def q_conversion_kpis(spark: SparkSession, sf: str) -> DataFrame:
     return conversion.conversion_kpis(by_segment)
 
 
+def q_conversion_kpis_text(spark: SparkSession, sf: str) -> DataFrame:
+    return conversion.kpis_text(q_conversion_kpis(spark, sf))
+
+
+def q_segment_table(spark: SparkSession, sf: str) -> DataFrame:
+    return conversion.display_names(q_segment_report(spark, sf))
+
+
 def q_segment_report(spark: SparkSession, sf: str) -> DataFrame:
     return conversion.segment_report(q_conversion_by_segment(spark, sf))
 
@@ -84,12 +104,17 @@ def q_trips_and_zones_salted(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def locations(spark: SparkSession, sf: str, ordered: bool = False) -> DataFrame:
+def locations(
+    spark: SparkSession, sf: str, ordered: bool = False, start: str = B.TRIP_START, end: str = B.TRIP_END
+) -> DataFrame:
     """Per-location statistics (D4), aggregated below the join. The reports
-    take it unordered: they sort or aggregate it themselves."""
-    return trips.pickup_location_stats(
-        B.trips(spark, sf), B.zones(spark, sf), B.TRIP_START, B.TRIP_END, digits=DIGITS, ordered=ordered
-    )
+    take it unordered and unrounded: they sort or aggregate it themselves."""
+    return trips.pickup_location_stats(B.trips(spark, sf), B.zones(spark, sf), start, end, ordered=ordered)
+
+
+def all_locations(spark: SparkSession, sf: str) -> DataFrame:
+    """The same over every ship date, so the reports see all trips and zones."""
+    return locations(spark, sf, start=B.ALL_START, end=B.ALL_END)
 
 
 def q_top_pickup_locations(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,7 +122,7 @@ def q_top_pickup_locations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_top_pickup_locations_joined(spark: SparkSession, sf: str) -> DataFrame:
-    return trips.top_pickup_locations(q_trips_and_zones(spark, sf), digits=DIGITS)
+    return trips.top_pickup_locations(q_trips_and_zones(spark, sf))
 
 
 def q_top_locations_10(spark: SparkSession, sf: str) -> DataFrame:
@@ -117,7 +142,58 @@ def q_location_kpis_all(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_borough_mix_top20(spark: SparkSession, sf: str) -> DataFrame:
-    return trips.borough_mix(locations(spark, sf), trips.TOP_BARS)
+    return trips.borough_mix(locations(spark, sf))
+
+
+def q_borough_mix_top10(spark: SparkSession, sf: str) -> DataFrame:
+    """With the top ten displayed, the mix covers those ten."""
+    return trips.borough_mix(locations(spark, sf), TOP_TEN)
+
+
+def q_top_bars(spark: SparkSession, sf: str) -> DataFrame:
+    return trips.top_bars(locations(spark, sf))
+
+
+def q_top_pickup_locations_all_dates(spark: SparkSession, sf: str) -> DataFrame:
+    return trips.displayed(all_locations(spark, sf), None)
+
+
+def q_trip_statistics_all_dates(spark: SparkSession, sf: str) -> DataFrame:
+    return trips.trip_statistics(all_locations(spark, sf), None, DIGITS)
+
+
+def q_borough_report_all_dates(spark: SparkSession, sf: str) -> DataFrame:
+    return _round_doubles(trips.borough_report(all_locations(spark, sf), None))
+
+
+def q_distance_histogram_all_dates(spark: SparkSession, sf: str) -> DataFrame:
+    return _round_doubles(trips.distance_histogram(all_locations(spark, sf), None))
+
+
+def q_distance_categories_all_dates(spark: SparkSession, sf: str) -> DataFrame:
+    return trips.distance_categories(all_locations(spark, sf), None)
+
+
+def q_price_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact quantiles of every line item's price."""
+    li = B.table(spark, sf, "lineitem")
+    return _round_doubles(exact_quantiles(li, "l_extendedprice", [0.1, 0.5, 0.9], ["p10", "median", "p90"]))
+
+
+def q_price_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    return describe_column(B.table(spark, sf, "lineitem"), "l_quantity", DIGITS)
+
+
+def q_location_kpis_text(spark: SparkSession, sf: str) -> DataFrame:
+    return trips.kpis_text(trips.location_kpis(locations(spark, sf)))
+
+
+def q_trip_statistics_text(spark: SparkSession, sf: str) -> DataFrame:
+    return trips.statistics_text(trips.trip_statistics(locations(spark, sf)))
+
+
+def q_borough_report_text(spark: SparkSession, sf: str) -> DataFrame:
+    return trips.borough_report_text(trips.borough_report(locations(spark, sf)))
 
 
 def q_trip_statistics(spark: SparkSession, sf: str) -> DataFrame:
@@ -198,6 +274,60 @@ def q_write_audit_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return result.staged(spark)
 
 
+def q_publish_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Import the orders into a ref, publish them and read the published table."""
+    result = import_table(spark, f"{sf.rstrip('/')}/orders.parquet", "orders")
+    target = staged_path(spark, "published.orders", new_ref("published"))
+    publish(spark, "orders", result.ref, target)
+    return read_table(spark, target)
+
+
+def q_written_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The row count that a write reports, without a second pass."""
+    _, rows = stage_table(B.table(spark, sf, "lineitem"), "lineitem", new_ref("rows"))
+    return spark.range(1).select(F.lit(rows).cast("long").alias("rows"))
+
+
+def q_partitioned_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items staged in folders by a text key with an empty value, one
+    with leading zeros and one that starts with the mark of empty values."""
+    flag = F.col("l_returnflag")
+    key = F.when(flag == "A", "").when(flag == "N", "007").otherwise(F.concat(F.lit("="), flag))
+    li = B.table(spark, sf, "lineitem").select("l_orderkey", key.alias("part"), "l_linenumber")
+    result = write_audit(li, "lineitem", new_ref("partitioned"), [field_is("part", "string")], partition_by=["part"])
+    return result.staged(spark)
+
+
+def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document through CSV, with quotes, commas, outer spaces and line breaks."""
+    text = F.concat(F.lit('  "'), F.col("text"), F.lit('", '))
+    docs = B.table(spark, sf, "documents").select("doc_id", text.alias("text"), "lang")
+    path = staged_path(spark, "documents_csv", new_ref("csv"))
+    export_csv(docs, path)
+    return read_source(spark, path, "csv", "doc_id long, text string, lang string", {"multiLine": "true"})
+
+
+def q_query_at_ref(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL text over a staged table."""
+    ref = new_ref("sql")
+    stage_table(B.table(spark, sf, "lineitem"), "lineitem", ref)
+    text = (
+        "SELECT l_returnflag, COUNT(*) AS lines, SUM(l_quantity) AS quantity FROM {lineitem} "
+        "WHERE l_linenumber > 1 GROUP BY l_returnflag ORDER BY l_returnflag"
+    )
+    return query(spark, text, ref)
+
+
+def q_glob_mixed_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items whose files disagree on the type of l_quantity."""
+    base = staged_path(spark, "mixed", new_ref("glob"))
+    li = B.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    odd = F.col("l_linenumber") % 2 == 1
+    li.where(odd).write.parquet(f"{base}/numbers")
+    override_types(li.where(~odd), {"l_quantity": "string"}).write.parquet(f"{base}/text")
+    return read_parquet_glob(spark, f"{base}/*", {"l_quantity": "double"})
+
+
 # ---------------------------------------------------------------- engagement
 
 
@@ -241,4 +371,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "write_audit_roundtrip": q_write_audit_roundtrip,
     "engagement_user_segments": q_engagement_user_segments,
     "engagement_segments": q_engagement_segments,
+    "conversion_kpis_text": q_conversion_kpis_text,
+    "segment_table": q_segment_table,
+    "borough_mix_top10": q_borough_mix_top10,
+    "top_bars": q_top_bars,
+    "top_pickup_locations_all_dates": q_top_pickup_locations_all_dates,
+    "trip_statistics_all_dates": q_trip_statistics_all_dates,
+    "borough_report_all_dates": q_borough_report_all_dates,
+    "distance_histogram_all_dates": q_distance_histogram_all_dates,
+    "distance_categories_all_dates": q_distance_categories_all_dates,
+    "price_quantiles": q_price_quantiles,
+    "price_statistics": q_price_statistics,
+    "location_kpis_text": q_location_kpis_text,
+    "trip_statistics_text": q_trip_statistics_text,
+    "borough_report_text": q_borough_report_text,
+    "publish_roundtrip": q_publish_roundtrip,
+    "written_rows": q_written_rows,
+    "partitioned_roundtrip": q_partitioned_roundtrip,
+    "csv_roundtrip": q_csv_roundtrip,
+    "query_at_ref": q_query_at_ref,
+    "glob_mixed_types": q_glob_mixed_types,
 }

@@ -26,7 +26,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabflow.functions import (
@@ -35,6 +35,7 @@ from tabflow.functions import (
     clean_avg,
     fmt_count,
     fmt_decimal,
+    fmt_half_even,
     nan_to_null,
     round_half,
 )
@@ -43,7 +44,6 @@ from tabflow.operators.staging import export_csv
 from tabflow.operators.relational import (
     complete_categories,
     describe_column,
-    distinct_sorted,
     enrich,
     filter_in,
     filter_min,
@@ -89,12 +89,15 @@ def trips_and_zones(
 
     Columns: the trip columns without ``miles``, then ``miles`` cast strictly
     to double (text that is not a number fails the job), then the zone
-    columns without the zone key. Trips without a zone are dropped.
+    columns without the zone key. Trips without a zone are dropped. A declared
+    column that the trips lack is an error.
     With ``hot_fraction`` the join salts pickup locations that hold at least
     that share of the trips (for a zone table too large to broadcast);
     otherwise the planner and AQE's skew-join handling choose.
     """
-    cols = [c for c in (columns or trips.columns) if c in trips.columns]
+    cols = list(columns or trips.columns)
+    if missing := [c for c in cols if c not in trips.columns]:
+        raise ValueError(f"trips lack the declared column(s) {missing}")
     selected = scan(trips, cols, time_window(time_column, start, end))
     fact = selected.select(
         *[F.col(f"`{c}`") for c in cols if c != miles],
@@ -207,9 +210,15 @@ def location_kpis(locations: DataFrame, limit: int | None = DEFAULT_LIMIT) -> Da
     )
 
 
-def borough_mix(locations: DataFrame, n: int = TOP_BARS) -> DataFrame:
-    """How many of the top ``n`` locations lie in each borough."""
-    return frequency(displayed(locations, n), "Borough", "count")
+def top_bars(locations: DataFrame, limit: int | None = DEFAULT_LIMIT, n: int = TOP_BARS) -> DataFrame:
+    """The rows of the bar chart: the first ``n`` of the displayed locations."""
+    bars = n if limit is None else min(n, limit)
+    return displayed(locations, bars).select("Zone", "number_of_trips", "avg_trip_distance", "Borough")
+
+
+def borough_mix(locations: DataFrame, limit: int | None = DEFAULT_LIMIT, n: int = TOP_BARS) -> DataFrame:
+    """How many of the first ``n`` displayed locations lie in each borough."""
+    return frequency(top_bars(locations, limit, n), "Borough", "count")
 
 
 def trip_statistics(locations: DataFrame, limit: int | None = DEFAULT_LIMIT, digits: int | None = None) -> DataFrame:
@@ -218,6 +227,49 @@ def trip_statistics(locations: DataFrame, limit: int | None = DEFAULT_LIMIT, dig
     return describe_column(_shown(locations, limit), "number_of_trips", digits)
 
 
+# The metric names of the trip statistics table, with the columns they show.
+STATISTICS = [
+    ("Mean Trips", "mean"),
+    ("Median Trips", "median"),
+    ("Std Dev Trips", "std"),
+    ("Min Trips", "min"),
+    ("Max Trips", "max"),
+]
+KPI_AVERAGE_DIGITS = 2
+
+
+def statistics_text(statistics: DataFrame) -> DataFrame:
+    """The one-row ``trip_statistics`` as the displayed table: Metric, Value
+    (whole numbers with separators; a missing value is ``nan``)."""
+    rows = [
+        F.struct(F.lit(i).alias("o"), F.lit(name).alias("Metric"), F.coalesce(fmt_half_even(c, 0), F.lit("nan")).alias("Value"))
+        for i, (name, c) in enumerate(STATISTICS)
+    ]
+    return statistics.select(F.inline(F.array(*rows))).orderBy("o").select("Metric", "Value")
+
+
+def kpis_text(kpis: DataFrame) -> DataFrame:
+    """The one-row ``location_kpis`` as displayed: total trips and the top
+    location's trips with separators, the average distance with two decimals."""
+    return kpis.select(
+        fmt_count("total_trips").alias("total_trips_text"),
+        fmt_half_even("avg_distance", KPI_AVERAGE_DIGITS).alias("avg_distance_text"),
+        "top_location",
+        fmt_count("top_location_trips").alias("top_location_trips_text"),
+    )
+
+
+def borough_report_text(report: DataFrame) -> DataFrame:
+    """``borough_report`` as displayed: separators, two decimals, whole zones."""
+    return report.select(
+        "Borough",
+        fmt_count("Total Trips").alias("Total Trips"),
+        fmt_decimal("Avg Distance", 2).alias("Avg Distance"),
+        F.col("Number of Zones").cast("string").alias("Number of Zones"),
+    )
+
+
+# The report headings ("Total Trips", "Avg Distance", "Number of Zones", "Distance Category") below.
 def borough_report(locations: DataFrame, limit: int | None = DEFAULT_LIMIT) -> DataFrame:
     """Per borough: total trips, unweighted mean of location averages, number
     of zones; most trips first. Null boroughs are dropped."""
@@ -274,9 +326,10 @@ def distance_categories(
 def filter_options(locations: DataFrame, limit: int | None = DEFAULT_LIMIT) -> DataFrame:
     """The choices of the table filters: sorted distinct boroughs, each row
     carrying the largest trip count (the upper bound of the minimum filter)."""
-    shown = _shown(locations, limit)
-    max_trips = shown.select(F.max("number_of_trips")).scalar()
-    return distinct_sorted(shown, "Borough").withColumn("max_trips", max_trips)
+    per_borough = _shown(locations, limit).groupBy("Borough").agg(F.max("number_of_trips").alias("max_trips"))
+    # one row per borough, so the maximum over all of them is a window over a handful of rows
+    widest = per_borough.withColumn("max_trips", F.max("max_trips").over(Window.partitionBy()))
+    return widest.where(F.col("Borough").isNotNull()).orderBy("Borough")
 
 
 def filtered_locations(
@@ -316,9 +369,9 @@ def export_filtered_locations(
     min_trips: int = 0,
     limit: int | None = DEFAULT_LIMIT,
 ) -> None:
-    """CSV download of the table as filtered on screen (one file: the table
-    is bounded by ``limit``; with ``limit=None`` every task writes a part)."""
+    """CSV download of the table as filtered on screen (one file of ``limit``
+    rows at most; with ``limit=None`` every task writes a part)."""
     out = filtered_locations(locations, boroughs, min_trips, limit).select(
         *LOCATION_KEYS, "number_of_trips", "avg_trip_distance"
     )
-    export_csv(out, path, single_file=limit is not None)
+    export_csv(out, path, limit)

@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -14,6 +15,15 @@ from tabflow.functions import strict_double
 
 FOOTER_THREADS = 16
 
+# Standard CSV (RFC 4180): a quote inside a quoted field is doubled, and spaces belong to the field.
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 
 def read_source(
     spark: SparkSession,
@@ -25,16 +35,19 @@ def read_source(
     """Import one object, a glob or a list of paths as one table.
 
     Parquet keeps its own types (the reader prunes columns and pushes filters
-    into the scan). CSV reads with a header; types come from ``schema`` when
-    given, else from ``inferSchema`` (an extra pass over the files, so give a
-    schema for large inputs).
+    into the scan). CSV reads the standard form with a header; types come from
+    ``schema`` when given, else from ``inferSchema`` (an extra pass over the
+    files, so give a schema for large inputs). Line breaks inside quoted fields
+    need ``options={"multiLine": "true"}``, which stops Spark from splitting
+    large files, so it is not the default.
     """
     paths = [uri] if isinstance(uri, str) else list(uri)
-    reader = spark.read.options(**dict(options or {}))
+    reader = spark.read
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**CSV_OPTIONS)
         if schema is None:
             reader = reader.option("inferSchema", True)
+    reader = reader.options(**dict(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
     return reader.format(fmt).load(paths if len(paths) > 1 else paths[0])
@@ -77,14 +90,16 @@ def read_parquet_glob(
 ) -> DataFrame:
     """A Parquet glob as one table, also when the files disagree on a type.
 
-    The common case is one read. If the footers cannot be merged (a column is
-    double in one file and string in another) the files are grouped by schema,
-    each group is read with its own types, cast to ``overrides`` (which must
-    then name the conflicting columns) and the groups are unioned by name.
+    The common case is one read. If the files disagree, ``overrides`` must name
+    every column in conflict: the files are grouped by schema, each group is
+    read with its own types, cast, and the groups are unioned by name. A
+    conflict that no override settles raises, and so does an override of a
+    column that no file has.
     """
     overrides = dict(overrides or {})
     single = spark.read.parquet(uri)
-    if len(single.inputFiles()) <= 1:  # one file: nothing to merge
+    files = single.inputFiles()
+    if len(files) <= 1:  # one file: nothing to merge
         return override_types(single, overrides) if overrides else single
     try:
         df = spark.read.option("mergeSchema", True).parquet(uri)
@@ -95,12 +110,21 @@ def read_parquet_glob(
             raise
     # Only on a type conflict: group the files by their own schema. Reading a
     # footer is a small metadata read, done concurrently from the driver.
-    files = single.inputFiles()
     with ThreadPoolExecutor(max_workers=FOOTER_THREADS) as pool:
         schemas = list(pool.map(lambda f: spark.read.parquet(f).schema.json(), files))
     groups: dict[str, list[str]] = {}
     for f, schema in zip(files, schemas):
         groups.setdefault(schema, []).append(f)
+    types: dict[str, set[str]] = {}
+    for schema in groups:
+        for column in T.StructType.fromJson(json.loads(schema)):
+            types.setdefault(column.name, set()).add(column.dataType.simpleString())
+    unsettled = {c: sorted(t) for c, t in types.items() if len(t) > 1 and c not in overrides}
+    if unsettled:
+        raise ValueError(f"the files disagree on the type of {unsettled}; name a type in overrides")
+    unknown = [c for c in overrides if c not in types]
+    if unknown:
+        raise ValueError(f"cannot override unknown column(s): {unknown}")
     frames = []
     for paths in groups.values():
         part = spark.read.parquet(*paths)

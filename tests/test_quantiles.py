@@ -64,7 +64,7 @@ def test_default_names_with_dots(spark):
 def test_default_multi_range_path(spark, monkeypatch):
     import tabflow.operators.quantiles as Q
 
-    monkeypatch.setattr(Q, "SINGLE_RANGE_MAX", 10)  # force the size check to pick many ranges
+    monkeypatch.setattr(Q, "RANGE_VALUES", 100)  # many ranges
     rng = np.random.default_rng(17)
     values = list(rng.normal(size=3000)) + [2.5] * 1500
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
