@@ -10,8 +10,9 @@ verification, links confirmed on full shingle sets, and connected components.
 3. Candidates pass if their signatures agree about as much as the threshold
    asks, and are then confirmed on the full sets, computed from the texts.
 4. Components of these links. In buckets that still hold several components
-   the members of different ones meet each other too (in blocks, signatures
-   first), so no link is lost for want of a pivot; then the final components.
+   the members of different ones meet each other too (block by block,
+   signatures first, then full sets), so no link is lost for want of a pivot;
+   then the final components.
 
 Two sets at the threshold share no band with probability below 1e-7 (bands of
 4 rows, 32 bands), and the signature test is five standard deviations wide.
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from tabflow.llm.common import documents, materialize
 from tabflow.llm.components import components
 
-BLOCK_MEMBERS = 1024  # of a bucket, compared with each other by one task
+BLOCK_MEMBERS = 512  # of a bucket; one task compares two blocks at most at a time
 HUB_TEXTS = 256  # compared with one copy of a hub's set
 _WORDS_CACHED = 400_000
 _STEP = 512  # shingles hashed at a time, to stay in the processor's cache
@@ -150,7 +151,7 @@ def signatures(docs: DataFrame, similarity: Similarity) -> DataFrame:
 
 
 def _band_keys(sets: DataFrame, similarity: Similarity) -> DataFrame:
-    """key, id: a row for each band of each set."""
+    """key, band, id: a row for each band of each set."""
 
     def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,9 +163,10 @@ def _band_keys(sets: DataFrame, similarity: Similarity) -> DataFrame:
             for k in range(similarity.band_rows):
                 out = _mix(out + rows[:, :, k])
             ids = np.repeat(batch["id"].to_numpy(), similarity.bands)
-            yield _batch(["key", "id"], out.reshape(-1).view(np.int64), ids)
+            bands = np.tile(np.arange(similarity.bands), batch.num_rows)
+            yield _batch(["key", "band", "id"], out.reshape(-1).view(np.int64), bands, ids)
 
-    return sets.select("id", "signature").mapInArrow(keys, "key long, id long")
+    return sets.select("id", "signature").mapInArrow(keys, "key long, band long, id long")
 
 
 def _agree(pairs: DataFrame, sets: DataFrame, similarity: Similarity) -> DataFrame:
@@ -238,56 +240,110 @@ def _confirm(pairs: DataFrame, docs: DataFrame, similarity: Similarity) -> DataF
     )
 
 
-def _across(members: DataFrame, sets: DataFrame, similarity: Similarity) -> DataFrame:
-    """a, b: pairs of a bucket's members (key, id, n, label) with different
-    labels that sizes and signatures let through. A bucket is cut in blocks,
-    and each pair of blocks is one unit of work."""
+_UNIT = ["key", "i", "j"]
+_MEMBER = ["band", "own", "label", "id"]
+
+
+class _Pairs:
+    """The pairs of one unit that sizes and signatures let through: members
+    with different labels, of different blocks if the unit has two. A pair that
+    shares several buckets counts in its first band only."""
+
+    def __init__(self, table: pa.Table, similarity: Similarity):
+        self.i, self.j, self.band, self.own, self.label, self.id, self.size = (
+            table[n].to_numpy() for n in (*_UNIT[1:], *_MEMBER, "n_shingles")
+        )
+        self._signed = _matrix(table["signature"].combine_chunks(), similarity.hashes)
+        self._similarity = similarity
+
+    def of(self, k: int) -> np.ndarray:
+        """The later members that member ``k`` may be near to."""
+        later, near = slice(k + 1, None), self._similarity
+        small, large = np.minimum(self.size[later], self.size[k]), np.maximum(self.size[later], self.size[k])
+        fits = (self.label[later] != self.label[k]) & (100 * small >= near.percent * large)
+        if self.i[0] != self.j[0]:
+            fits &= self.own[later] != self.own[k]  # pairs inside a block are that block's own unit
+        found = np.flatnonzero(fits) + k + 1
+        same = self._signed[found] == self._signed[k]
+        shared = same.reshape(-1, near.bands, near.band_rows).all(axis=2)
+        return found[(same.sum(axis=1) >= near.least_agreement) & (shared.argmax(axis=1) == self.band[0])]
+
+
+def _by_unit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each unit, whose rows stand together."""
+    at, rows = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        unit = np.stack([batch[n].to_numpy() for n in _UNIT], axis=1)
+        starts = [0, *(np.flatnonzero((unit[1:] != unit[:-1]).any(axis=1)) + 1).tolist(), len(unit)]
+        for x, y in zip(starts, starts[1:], strict=False):
+            if at != tuple(unit[x]) and rows:
+                yield pa.Table.from_batches(rows)
+                rows = []
+            at = tuple(unit[x])
+            rows.append(batch.slice(x, y - x))
+    if rows:
+        yield pa.Table.from_batches(rows)
+
+
+def _across(members: DataFrame, sets: DataFrame, docs: DataFrame, similarity: Similarity) -> DataFrame:
+    """u, v: confirmed links between members (key, band, id, n, label) of a
+    bucket with different labels. A bucket is cut in blocks, and each pair of
+    blocks is a unit of work. A first pass over the signatures finds the
+    members with any possible pair; only their texts go to the units, once a
+    unit, so no row is made for a pair unless it is a link."""
     cut = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK_MEMBERS).cast("long"))
     cut = cut.withColumn("own", F.pmod(F.xxhash64("id"), "blocks"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    units = cut.select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "label", "id"
-    ).join(sets.select("id", "n_shingles", "signature"), "id")
-    names = ["key", "i", "j", "own", "label", "id", "n_shingles", "signature"]
-
-    def compare(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(rows).combine_chunks()
-        i, j, own, label, ids, sizes = (table[n].to_numpy() for n in names[1:7])
-        signed = _matrix(table["signature"].combine_chunks(), similarity.hashes)
-        a, b = [], []
-        for k in range(len(ids) - 1):
-            near = (signed[k + 1 :] == signed[k]).sum(axis=1) >= similarity.least_agreement
-            near &= label[k + 1 :] != label[k]
-            near &= 100 * np.minimum(sizes[k + 1 :], sizes[k]) >= similarity.percent * np.maximum(sizes[k + 1 :], sizes[k])
-            if i[0] != j[0]:
-                near &= own[k + 1 :] != own[k]  # pairs inside a block are that block's own unit
-            found = ids[k + 1 :][near]
-            a.append(np.maximum(found, ids[k]))
-            b.append(np.minimum(found, ids[k]))
-        return _batch(["a", "b"], *(np.concatenate(x) if x else [] for x in (a, b)))
-
-    def units_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, rows = None, []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            unit = np.stack([batch[n].to_numpy() for n in names[:3]], axis=1)
-            starts = [0, *(np.flatnonzero((unit[1:] != unit[:-1]).any(axis=1)) + 1).tolist(), len(unit)]
-            for x, y in zip(starts, starts[1:], strict=False):
-                if at != tuple(unit[x]) and rows:
-                    yield compare(rows)
-                    rows = []
-                at = tuple(unit[x])
-                rows.append(batch.slice(x, y - x))
-        if rows:
-            yield compare(rows)
+    units = cut.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).select(*_UNIT, *_MEMBER)
+    signed = sets.select("id", "n_shingles", "signature")
+    size, percent = similarity.shingle_words, similarity.percent
 
-    return (
-        units.select(*names)
-        .repartition("key", "i", "j")
-        .sortWithinPartitions("key", "i", "j", "id")
-        .mapInArrow(units_of, "a long, b long")
-        .distinct()
+    def possible(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _by_unit(batches):
+            pairs = _Pairs(table, similarity)
+            involved = np.zeros(table.num_rows, dtype=bool)
+            for k in range(table.num_rows - 1):
+                found = pairs.of(k)
+                involved[found] = True
+                involved[k] |= len(found) > 0
+            yield from table.select([*_UNIT, *_MEMBER]).filter(pa.array(involved)).to_batches()
+
+    def confirmed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _by_unit(batches):
+            pairs = _Pairs(table, similarity)
+            own = [shingles(text.as_py(), size) for text in table["text"]]
+            u, v, merged = [], [], {}
+
+            def root(label: int, merged: dict = merged) -> int:
+                while label in merged:
+                    label = merged[label]
+                return label
+
+            for k in range(table.num_rows - 1):
+                for m in pairs.of(k).tolist():
+                    a, b = root(int(pairs.label[k])), root(int(pairs.label[m]))
+                    if a == b:
+                        continue  # this unit has linked their labels already
+                    shared = len(np.intersect1d(own[k], own[m], assume_unique=True))
+                    if 100 * shared >= percent * (len(own[k]) + len(own[m]) - shared):
+                        u.append(int(pairs.id[k]))
+                        v.append(int(pairs.id[m]))
+                        merged[max(a, b)] = min(a, b)
+            yield _batch(["u", "v"], u, v)
+
+    def in_units(rows: DataFrame) -> DataFrame:
+        return rows.repartition(*_UNIT).sortWithinPartitions(*_UNIT, "id")
+
+    found = in_units(units.join(signed, "id").select(*_UNIT, *_MEMBER, "n_shingles", "signature")).mapInArrow(
+        possible, ", ".join(f"{c} long" for c in (*_UNIT, *_MEMBER))
+    )
+    found = materialize(found, "units")
+    texts = documents(docs)
+    complete = found.join(signed, "id").join(texts, F.col("id") == F.col("doc_id"))
+    return in_units(complete.select(*_UNIT, *_MEMBER, "n_shingles", "signature", "text")).mapInArrow(
+        confirmed, "u long, v long"
     )
 
 
@@ -305,12 +361,12 @@ def near_links(sets: DataFrame, docs: DataFrame, similarity: Similarity) -> Data
 
     labels = components(links)
     labelled = pivoted.join(labels, F.col("id") == F.col("node"), "left").select(
-        "key", "id", "n", F.coalesce("component", "id").alias("label")
+        "key", "band", "id", "n", F.coalesce("component", "id").alias("label")
     )
     labelled = materialize(labelled, "buckets")
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
     rest = labelled.join(materialize(mixed.select("key"), "mixed"), "key")
-    return links.unionByName(_confirm(_across(rest, sets, similarity), docs, similarity))
+    return links.unionByName(_across(rest, sets, docs, similarity))
 
 
 def near_duplicates(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
