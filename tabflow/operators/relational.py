@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tabflow.functions import nan_to_null, round_half
 from tabflow.operators.quantiles import exact_quantiles
+from tabflow.session import shared_dir
 
 
 def enrich(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "inner") -> DataFrame:
@@ -41,7 +42,8 @@ def salted_enrich(
     """``enrich`` for a fact whose join key may be hot (one key holding a large
     share of all rows) and a dimension too large to broadcast.
 
-    One partial aggregate counts the rows of each key. Keys with at least
+    One partial aggregate counts the rows of each key (checkpointed when this
+    is called, so the fact is read once more only, by the join). Keys with at least
     ``hot_fraction`` of the fact rows are hot; there are at most
     ``1 / hot_fraction`` of them, so that list is broadcast under a proven
     bound. A hot key is spread over as many salts as its count needs for
@@ -56,7 +58,8 @@ def salted_enrich(
         raise ValueError("salted_enrich supports inner and left joins")
     if not 0 < hot_fraction <= 1 or rows_per_task < 1:
         raise ValueError("hot_fraction must lie in (0, 1] and rows_per_task be positive")
-    counts = fact.groupBy(F.col(f"`{fact_key}`").alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n"))
+    shared_dir(fact.sparkSession)
+    counts = fact.groupBy(F.col(f"`{fact_key}`").alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
     least = counts.select(F.sum("_n") * F.lit(float(hot_fraction))).scalar()
     hot = counts.where(F.col("_hot_key").isNotNull() & (F.col("_n") >= least)).select(
         "_hot_key", F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("long").alias("_salts")

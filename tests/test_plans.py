@@ -49,3 +49,23 @@ def test_joins_aggregate_below_the_join(spark):
         text = E.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
         join_at = text.find("Join Inner")
         assert join_at >= 0 and "Aggregate" in text[join_at:], name
+
+
+def final_plan(df) -> str:
+    """The plan that ran, without the initial plan that AQE started from."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name", ["filter_options", "trips_and_zones", "trips_and_zones_salted", "top_pickup_locations"])
+def test_the_fact_is_scanned_once(spark, name):
+    plan = final_plan(E.queries()[name](spark, SF))
+    assert sum("FileScan parquet" in line and "l_shipdate" in line for line in plan.splitlines()) == 1
+
+
+def test_conversion_shuffles_only_aggregates(spark):
+    # sessions, then users, then segments (and the final order): every shuffle sits on a partial aggregate or the sort
+    plan = final_plan(E.queries()["conversion_by_segment"](spark, SF)).splitlines()
+    for i, line in enumerate(plan):
+        if "Exchange hashpartitioning" in line and "ENSURE_REQUIREMENTS" in line and "Reused" not in line:
+            assert "HashAggregate" in plan[i + 1] or "HashAggregate" in plan[i + 2], plan[i + 1]
