@@ -6,9 +6,9 @@ piece unchanged. One scan of every whole text finds all pieces of all items
 (Aho-Corasick), each hit gives a window that a count of the item's short
 disjoint grams may rule out, and Myers' bit-parallel distance decides.
 
-Texts and items are compared lower-cased with every white space as a space,
-character by character, so spans are positions of the text itself. The scan
-shuffles nothing. Items come in blocks of bounded size, one scan a block.
+Texts and items are compared lower-cased with every run of white space as one
+space; spans are positions of the text as it is. The scan shuffles nothing.
+Items come in blocks of bounded size, one scan a block.
 
 Edge cases: null and empty texts hold nothing; null and blank items match
 nothing; items shorter than 1 / error_rate must match exactly; repeated rows
@@ -18,6 +18,8 @@ table on either side gives an empty result.
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import reduce
@@ -31,12 +33,13 @@ from tabflow.llm.common import documents
 ERROR_RATE = 0.1
 BLOCK_CHARS = 1 << 20
 GRAM = 4
+_RUN = re.compile(" {2,}")
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
 
 MATCHES = "doc_id long, item_id long, start long, end long, distance long"
 
 
-def normalized(text: str) -> str:
+def _spaced(text: str) -> str:
     """Lower case with plain spaces, of the same length."""
     lower = text.lower()
     if len(lower) != len(text):
@@ -46,6 +49,27 @@ def normalized(text: str) -> str:
     return lower
 
 
+def normalized(text: str) -> str:
+    """Lower case with one space for each run of white space."""
+    spaced = _spaced(text)
+    return _RUN.sub(" ", spaced) if "  " in spaced else spaced
+
+
+class Places:
+    """Positions of a text for those of its normalized form."""
+
+    def __init__(self, text: str):
+        self._after, self._lost, lost = [], [], 0
+        for run in _RUN.finditer(_spaced(text)):
+            self._after.append(run.start() - lost + 1)
+            lost += run.end() - run.start() - 1
+            self._lost.append(lost)
+
+    def of(self, position: int) -> int:
+        passed = bisect_right(self._after, position)
+        return position + (self._lost[passed - 1] if passed else 0)
+
+
 class Pattern:
     """An item's bit masks, and Myers' distance of it against texts."""
 
@@ -147,7 +171,8 @@ class Matcher:
         """(item_id, start, end, distance) of every match in a text."""
         if not self._patterns:
             return
-        text = normalized(text)
+        whole, text = text, normalized(text)
+        places: Places | None = None
         starts: dict[int, set[int]] = defaultdict(set)
         for last, (size, where) in self._automaton.iter(text):
             for k, offset in where:
@@ -158,7 +183,8 @@ class Matcher:
                 window = text[low:high]
                 if pattern.possible(window):
                     for start, end, distance in pattern.matches(window):
-                        yield self._ids[k], low + start, low + end, distance
+                        places = places or Places(whole)
+                        yield self._ids[k], places.of(low + start), places.of(low + end - 1) + 1, distance
 
 
 def _windows(starts: list[int], size: int, errors: int, limit: int) -> Iterator[tuple[int, int]]:

@@ -126,11 +126,18 @@ def test_matcher_matches_brute_force():
         best = _distance(plain, normalized(text), True)
         assert bool(found) == (best <= budget)
         for _, start, end, distance in found:
-            assert _distance(plain, normalized(text)[start:end], False) == distance <= budget
+            assert _distance(plain, normalized(text[start:end]), False) == distance <= budget
         if found:
             assert min(f[3] for f in found) == best
 
 
+def test_white_space_does_not_count():
+    item = "the quick brown fox jumps over the lazy dog"
+    text = "a  b\n\n" + item.replace(" ", " \n\t ") + "  !  "
+    ((_, start, end, distance),) = Matcher([(1, item)], 0.1).find(text)
+    assert distance == 0 and text[start:end].split() == item.split()
+
+
 def test_two_passages_in_a_text_are_two_matches():
     item = "the quick brown fox jumps over the lazy dog again"
     text = f"x {item.upper()} yy {item.replace('fox', 'fux')}"

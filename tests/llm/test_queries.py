@@ -38,7 +38,7 @@ def test_every_query_covers_its_table(spark):
 
 def test_decontamination_finds_every_item_by_brute_force(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
-    plain = lambda s: re.sub(r"\s", " ", s.lower())
+    plain = lambda s: re.sub(r"\s+", " ", s.lower())
     items = {r["item_id"]: plain(r["text"]).strip() for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()}
     found = {(r["doc_id"], r["item_id"]) for r in QUERIES["op1_decontamination"](spark, SMALL).collect()}
     assert {(d, i) for d, t in docs.items() for i, item in items.items() if item in plain(t)} <= found
@@ -58,7 +58,7 @@ def test_pipeline_matches_plain_python(spark):
     assert set(made["quality_rules"]) == {r["doc_id"] for r in quality_rules(source).where("kept").collect()}
     assert made["line_dedup"] == {i: t for i, _, _, t in _line_dedup(made["quality_rules"].items())}
     assert set(made["near_dedup"]) == {i for i, _, _, kept in _brute(made["line_dedup"].items(), Similarity()) if kept}
-    plain = lambda s: re.sub(r"\s", " ", s.lower())
+    plain = lambda s: re.sub(r"\s+", " ", s.lower())
     gone = set(made["near_dedup"]) - set(made["decontamination"])
     holds = {i for i, t in made["near_dedup"].items() if any(plain(b).strip() in plain(t) for b in benchmark)}
     assert holds <= gone
