@@ -396,11 +396,12 @@ def keep_one(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFram
     """The rows of ``docs`` less all of a component but its smallest doc_id. Of
     rows that share a doc_id the least one (by its columns in order) stays;
     rows with a null doc_id all stay."""
-    found = materialize(near_duplicates(docs, similarity), "near")
-    left = docs.join(found.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti")
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    repeated = materialize(repeated, "repeated")
-    once = left.join(repeated, "doc_id", "left_anti")
-    rows = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    least = left.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(rows).alias("row")).select("row.*")
-    return once.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(least)
+    verdicts = near_duplicates(docs, similarity).where("doc_id is not null").groupBy("doc_id")
+    verdicts = materialize(verdicts.agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "near")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    repeated = verdicts.where("kept AND n > 1").select("doc_id")
+    if repeated.isEmpty():  # the usual case: one pass over the texts
+        return docs.join(verdicts.where("NOT kept").select("doc_id"), "doc_id", "left_anti").select(*columns)
+    once = docs.join(verdicts.where("NOT kept OR n > 1").select("doc_id"), "doc_id", "left_anti").select(*columns)
+    least = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("row"))
+    return once.unionByName(least.select("row.*"))
