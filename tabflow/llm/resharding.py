@@ -7,11 +7,11 @@ The flow between shards (a small problem on shard totals) says how many bytes
 of each old shard go to each new one. Within an old shard the files stand in
 a fixed order; the flow cuts that line of bytes into stretches, one for each
 destination. A file that lies in one stretch stays or goes whole; the few files
-that a cut crosses are split document by document, in order of doc_id. Files
-that stay whole are not touched.
+that a cut crosses are split document by document. Files that stay whole are
+not touched.
 
-Documents are placed by the middle of their bytes, so a cut is off by half a
-document at most.
+A split file's documents go, largest first, to the destination that still
+lacks most of its bytes, so that shards differ by a few small documents only.
 
 Edge cases: a null text has size 1 (0 bytes plus 1); null doc_ids come first
 in their file; repeated rows are placed one by one; an empty layout reads as
@@ -21,13 +21,14 @@ no rows; a shard number outside 0 to n - 1 is an error.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
 
 from tabflow.llm.common import scratch_path, utf8_size
 
@@ -142,6 +143,36 @@ def _stretches(spark: SparkSession, flow: np.ndarray) -> DataFrame:
     return spark.createDataFrame(rows, "shard int, low long, high long, new_shard int")
 
 
+def _split(rows: DataFrame, carried: list[str], id_col: str) -> DataFrame:
+    """``rows`` of files that are cut, with their new shard: largest first, to
+    the destination that lacks most."""
+
+    def placed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, lacking = None, {}
+        for batch in batches:
+            shards = []
+            for shard, file, size, wanted in zip(
+                *(batch[n].to_pylist() for n in ("_old", FILE, "size", "_wanted")), strict=True
+            ):
+                if at != (shard, file):
+                    at, lacking = (shard, file), {w["new_shard"]: w["amount"] for w in wanted}
+                best = max(lacking, key=lacking.__getitem__)
+                lacking[best] -= size
+                shards.append(best)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[c] for c in carried), pa.array(shards, pa.int32())], names=[*carried, "shard"]
+            )
+
+    own = [F.col(f"`{c}`") for c in carried]
+    schema = rows.select(*own).schema.add("shard", IntegerType())
+    return (
+        rows.select(*own, F.col("shard").alias("_old"), FILE, F.col("wanted").alias("_wanted"))
+        .repartition("_old", FILE)
+        .sortWithinPartitions("_old", FILE, F.desc("size"), id_col, F.xxhash64(*own))
+        .mapInArrow(placed, schema)
+    )
+
+
 def reshard(layout: Layout, capacities: Sequence[int] | int, old_shards: int, id_col: str = "doc_id", cost: np.ndarray | None = None) -> Layout:
     """The layout with the new capacities (or that many equal ones)."""
     spark = layout.spark
@@ -168,16 +199,20 @@ def reshard(layout: Layout, capacities: Sequence[int] | int, old_shards: int, id
     placed = spark.read.parquet(placed_path)
     placed.where(F.col("shard") == F.col("new_shard")).select("shard", FILE).write.parquet(keep_path)
 
-    moved = rows.join(placed.where(F.col("shard") != F.col("new_shard")), ["shard", FILE])
-    split = rows.join(files.join(placed, ["shard", FILE], "left_anti"), ["shard", FILE])
-    in_file = Window.partitionBy("shard", FILE).orderBy(id_col, F.xxhash64(*[F.col(f"`{c}`") for c in layout.read().columns]))
-    middle = F.col("start") + F.sum("size").over(in_file) - F.col("size") / 2
-    split = split.withColumn("middle", middle).join(F.broadcast(stretches), "shard")
-    split = split.where((F.col("low") <= F.col("middle")) & (F.col("middle") < F.col("high")))
     carried = [c for c in rows.columns if c not in ("shard", FILE)]
-    out = moved.select(*carried, F.col("new_shard").alias("shard")).unionByName(
-        split.select(*carried, F.col("new_shard").alias("shard"))
+    moved = rows.join(placed.where(F.col("shard") != F.col("new_shard")), ["shard", FILE])
+    moved = moved.select(*[F.col(f"`{c}`") for c in carried], F.col("new_shard").alias("shard"))
+    # What each destination gets of a file that is cut; at most one entry per new shard.
+    cut = files.join(placed, ["shard", FILE], "left_anti").join(F.broadcast(stretches), "shard")
+    amount = F.least("high", F.col("start") + F.col("bytes")) - F.greatest("low", "start")
+    wanted = (
+        cut.withColumn("amount", amount)
+        .where("amount > 0")
+        .groupBy("shard", FILE)
+        .agg(F.array_sort(F.collect_list(F.struct("new_shard", "amount"))).alias("wanted"))
     )
+    split = _split(rows.join(wanted, ["shard", FILE]), carried, id_col)
+    out = moved.unionByName(split)
     out.write.partitionBy("shard").parquet(path)
     return Layout(spark, path, out.schema, layout, keep_path)
 
