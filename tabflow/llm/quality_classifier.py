@@ -24,9 +24,13 @@ empty result.
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -65,12 +69,9 @@ def words_of(text: str | None) -> list[bytes]:
         words = line.split()
         if not words:
             continue
-        before = None
-        for word in words:
-            out.append(word)
-            if word == before:
-                out.append(_SAME_WORD)
-            before = word
+        if any(map(eq, words, islice(words, 1, None))):
+            words = [w for k, word in enumerate(words) for w in ((word, _SAME_WORD) if k and word == words[k - 1] else (word,))]
+        out += words
         if line in seen:
             out.append(_SAME_LINE)
         seen.add(line)
@@ -185,16 +186,11 @@ def training_rows(
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and the probability of class 1 of every whole text."""
     margins, bias = model.margins()
-    margins = margins.astype(np.float32)  # one fixed-size table, whatever the corpus
-
-    class Words(dict):
-        def __missing__(self, word: bytes) -> float:
-            own = features(word)
-            value = self[word] = float(margins[own].mean())
-            return value
+    packed = margins.astype("<f4").tobytes()  # one fixed-size table, whatever the corpus
+    model_id = hashlib.sha256(packed).hexdigest()
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words()
+        known = _word_margins(model_id, packed)
         for batch in batches:
             out = []
             for text in batch[1]:
@@ -206,3 +202,22 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch[0], pa.array(out, pa.float64())], names=["doc_id", "score"])
 
     return documents(docs).mapInArrow(scored, "doc_id long, score double")
+
+
+class _WordMargins(dict):
+    """The mean margin of each word's features."""
+
+    def __init__(self, margins: list[float]):
+        super().__init__()
+        self._margins = margins
+
+    def __missing__(self, word: bytes) -> float:
+        own = features(word)
+        value = self[word] = sum([self._margins[f] for f in own]) / len(own)
+        return value
+
+
+@lru_cache(maxsize=1)
+def _word_margins(model_id: str, packed: bytes) -> _WordMargins:
+    """The words of one model that a worker has met, kept over its tasks."""
+    return _WordMargins(np.frombuffer(packed, "<f4").astype(float).tolist())
