@@ -351,7 +351,8 @@ def near_links(sets: DataFrame, docs: DataFrame, similarity: Similarity) -> Data
     """u, v: confirmed links that connect all near sets. ``sets``: id,
     n_shingles and signature of the distinct sets; ``docs``: their texts."""
     keys = _band_keys(sets, similarity)
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written tables are plain join sides, so Spark can split the rows of a hot bucket.
+    shared = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
     members = materialize(keys.join(shared, "key"), "buckets")
     mass = materialize(members.groupBy("id").agg(F.sum("n").alias("mass")), "mass")
     pivots = members.join(mass, "id").groupBy("key").agg(F.max_by("id", F.struct("mass", -F.col("id"))).alias("pivot"))
