@@ -8,6 +8,13 @@ modulo each radix. Each round can be undone, so this is a permutation of the
 format: equal values get equal pseudonyms in every document, and different
 values different ones. Check digits are made anew and dates stay dates.
 
+Digit groups parted by one space or hyphen are read as one span. A span that is
+no card number as a whole is read again at its group borders: every run of 13
+to 19 digits that passes the Luhn test is a card number. Of runs that overlap,
+one of 16 digits goes first, then the longest of the leftmost start; groups
+that only the other runs hold are permuted too, but not counted. One run in ten
+passes by chance, so tables of numbers parted by single spaces are changed too.
+
 Only built-in functions; no shuffle. A number that fails its validation (a
 card number with a wrong check digit, an octet over 255, a day that does not
 exist, a social security number of an area never issued) is left alone, as is
@@ -42,9 +49,15 @@ IPV4 = r"\d{1,3}(?:\.\d{1,3}){3}"
 ISO_DATE = r"\d{4}-\d{2}-\d{2}"
 SPLIT_DATE = r"\d{2}[./]\d{2}[./]\d{4}"
 SSN = r"\d{3}-\d{2}-\d{4}"
-CARD = r"\d(?:[ -]?\d){12,18}"
+CARD_DIGITS = (13, 19)
+USUAL_CARD_DIGITS = 16
 # Numbers stand alone: no letter or digit, nor a further dotted or dashed digit, on either side.
-_ALONE = r"(?<![\p{L}\p{N}])(?<!\d[.-])(?:%s)(?![\p{L}\p{N}]|[.-]\d)"
+_END = r"(?![\p{L}\p{N}]|[.-]\d)"
+_ALONE = r"(?<![\p{L}\p{N}])(?<!\d[.-])(?:%s)" + _END
+# All digit groups in a row, up to a value of another kind. Possessive, as Java's stack does not hold a long row else.
+_GROUPS = rf"\d++(?:-\d++)*+{_END}"
+_OTHER = f"{EMAIL}|(?:{ISO_DATE}|{SPLIT_DATE}|{SSN}){_END}"
+CARD = rf"(?=\d(?:[ -]?\d){{12}}){_GROUPS}(?: (?!{_OTHER}){_GROUPS})*+"
 VALUE = f"{EMAIL}|(?<![\\p{{L}}\\p{{N}}+]){PHONE}(?!\\d)|" + _ALONE % "|".join([IPV4, ISO_DATE, SPLIT_DATE, SSN, CARD])
 
 
@@ -105,14 +118,76 @@ def _luhn_sum(digits: Column, doubled_first: bool) -> Column:
     return F.aggregate(F.transform(F.reverse(digits), weighed), F.lit(0), lambda a, x: a + x)
 
 
+def _plain(value: Column) -> Column:
+    return F.translate(value, " -", "")
+
+
 def _digits(value: Column) -> Column:
-    return F.split(F.regexp_replace(value, "[ -]", ""), "")
+    return F.split(_plain(value), "")
+
+
+def _is_card(value: Column) -> Column:
+    return F.length(_plain(value)).between(*CARD_DIGITS) & (_luhn_sum(_digits(value), False) % 10 == 0)
 
 
 def _card(value: Column, key: str) -> Column:
     body = _permute_text(F.substring(value, F.lit(1), F.length(value) - 1), key, "card")
     check = lambda b: F.concat(b, ((10 - _luhn_sum(_digits(b), True) % 10) % 10).cast("string"))
-    return F.when(_luhn_sum(_digits(value), False) % 10 == 0, _let(body, check))
+    return F.when(_is_card(value), _let(body, check))
+
+
+def _run(groups: Column, first: Column, last: Column) -> Column:
+    return F.array_join(F.slice(groups, first + 1, last - first + 1), "")
+
+
+def _card_ends(groups: Column) -> Column:
+    """For each digit group, the last groups of the valid runs from it."""
+
+    def ends(first: Column) -> Column:
+        last = F.sequence(first, F.least(first + CARD_DIGITS[1] - 1, F.size(groups) - 1))
+        return F.filter(last, lambda j: _is_card(_run(groups, first, j)))
+
+    return F.transform(F.sequence(F.lit(0), F.size(groups) - 1), ends)
+
+
+def _choices(groups: Column, ends: Column) -> Column:
+    """For each group, the ends of its 16-digit run and of its longest run; null without one."""
+    usual = lambda e, i: F.filter(e, lambda j: F.length(_plain(_run(groups, i, j))) == USUAL_CARD_DIGITS)
+    return F.transform(
+        ends, lambda e, i: F.struct(F.get(usual(e, i), F.lit(0)).alias("usual"), F.array_max(e).alias("longest"))
+    )
+
+
+def _cuts(choices: Column) -> Column:
+    """All groups in order as (first, last, loose): a card number, a group of an
+    overlapping run, or another group."""
+    most = F.lit(CARD_DIGITS[1])
+
+    def cut(now: Column, first: Column) -> Column:
+        after = F.slice(choices, first + 2, F.greatest(F.coalesce(now["longest"] - first, F.lit(0)), F.lit(0)))
+        before = F.slice(choices, F.greatest(first - most, F.lit(0)) + 1, F.least(first, most) + 1)
+        card = F.coalesce(
+            now["usual"], F.when(~F.exists(after, lambda c: c["usual"].isNotNull()), now["longest"])
+        )
+        loose = F.exists(before, lambda c: F.coalesce(c["longest"] >= first, F.lit(False)))
+        return F.struct(first.alias("first"), card.alias("card"), loose.alias("loose"))
+
+    return F.transform(choices, cut)
+
+
+def _taken(cuts: Column) -> Column:
+    """The cuts that no earlier card number holds."""
+    empty = F.array().cast("array<struct<first:int,last:int,loose:boolean>>")
+
+    def step(acc: Column, cut: Column) -> Column:
+        last = F.coalesce(cut["card"], cut["first"])
+        loose = cut["card"].isNull() & cut["loose"]
+        new = F.struct(cut["first"].alias("first"), last.alias("last"), loose.alias("loose"))
+        grown = F.struct(last.alias("last"), F.array_append(acc["cuts"], new).alias("cuts"))
+        return F.when(cut["first"] > acc["last"], grown).otherwise(acc)
+
+    start = F.struct(F.lit(-1).alias("last"), empty.alias("cuts"))
+    return F.aggregate(cuts, start, step)["cuts"]
 
 
 def _phone(value: Column, key: str) -> Column:
@@ -180,15 +255,42 @@ def pseudonymize(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     found = F.when(F.col("text").rlike("[0-9@]"), F.regexp_extract_all("text", F.lit(VALUE), F.lit(0)))
     # The partition id, always 0 or more, keeps a later filter from being pushed below the projection and repeating it.
     once = F.spark_partition_id() >= 0
+    each = lambda name, use: F.when(once & (F.size(F.coalesce(name, F.array())) > 0), use)
     df = df.withColumn("found", F.when(once, found))
-    df = df.withColumn(
-        "made", F.when(once & (F.size(F.coalesce("found", F.array())) > 0), F.transform("found", lambda v: pseudonym(v, key)))
-    )
-    between = F.split("text", VALUE, -1)
-    joined = F.array_join(F.zip_with(between, F.array_append("made", F.lit("")), lambda a, b: F.concat(a, b)), "")
-    changed = F.size(F.filter(F.zip_with("found", "made", lambda a, b: a != b), lambda x: x))
+    df = df.withColumn("between", each("found", F.split("text", VALUE, -1)))
+    # Spans that are no card number as a whole are cut at their groups; null for all other values. One column for each
+    # step: the planner's time multiplies with the depth of lambdas.
+    span = lambda v: ~v.rlike(r"[^0-9 -]") & ~v.rlike(f"^(?:{ISO_DATE}|{SSN})$") & ~_is_card(v)
+    groups = lambda v: F.when(span(v), F.regexp_extract_all(v, F.lit("[ -]?[0-9]+"), F.lit(0)))
+    df = df.withColumn("groups", each("found", F.transform("found", groups)))
+    df = df.withColumn("ends", each("found", F.transform("groups", lambda g: F.when(g.isNotNull(), _card_ends(g)))))
+    df = df.withColumn("ends", each("found", F.zip_with("groups", "ends", _choices)))
+    df = df.withColumn("ends", each("found", F.transform("ends", _cuts)))
+    df = df.withColumn("ends", each("found", F.transform("ends", _taken)))
+
+    def pieces(value: Column, i: Column) -> Column:
+        """(lead, text, loose) of a value: the lead is the text before it, or the separator of a digit group."""
+        before, group = F.col("between")[i], F.col("groups")[i]
+        piece = lambda lead, text, loose: F.struct(lead.alias("lead"), text.alias("text"), loose.alias("loose"))
+
+        def cut_piece(c: Column) -> Column:
+            text = _run(group, c["first"], c["last"])
+            lead = F.when(c["first"] == 0, before).otherwise(F.regexp_extract(text, "^[ -]?", 0))
+            return piece(lead, F.regexp_replace(text, "^[ -]", ""), c["loose"])
+
+        return F.when(group.isNotNull(), F.transform(F.col("ends")[i], cut_piece)).otherwise(
+            F.array(piece(before, value, F.lit(False)))
+        )
+
+    df = df.withColumn("pieces", each("found", F.flatten(F.transform("found", pieces))))
+    renamed = lambda p: F.when(p["loose"], _permute_text(p["text"], key, "card")).otherwise(pseudonym(p["text"], key))
+    df = df.withColumn("made", each("found", F.transform("pieces", renamed)))
+    joined = F.array_join(F.zip_with("pieces", "made", lambda p, m: F.concat(p["lead"], m)), "")
+    changed = F.size(F.filter(F.zip_with("pieces", "made", lambda p, m: (p["text"] != m) & ~p["loose"]), lambda x: x))
     return df.select(
         "doc_id",
-        F.when(F.col("made").isNull(), F.col("text")).otherwise(joined).alias("text"),
+        F.when(F.col("made").isNull(), F.col("text"))
+        .otherwise(F.concat(joined, F.element_at("between", -1)))
+        .alias("text"),
         F.when(F.col("made").isNull(), 0).otherwise(changed).cast("long").alias("n_replaced"),
     )

@@ -178,6 +178,33 @@ def test_what_is_not_valid_is_left_alone(spark):
     assert pseudonymize(awkward(spark), "k").where("n_replaced >= 0").count() == awkward(spark).count()
 
 
+def test_cards_beside_other_digits_are_found(spark):
+    card, grouped, other = "4845168114407329", "4845 1681 1440 7329", "378282246310005"
+    values = ["2021-02-28", "12/31/1999", "123-45-6789", "97.51.17.173", "12@mail7.example.com"]
+    beside = [
+        f"{card} 123", f"{grouped} 12/27", f"12 {card}", f"2 {grouped}", f"12345 {grouped}", f"{card}-12",
+        f"{grouped} {grouped}", f"7 {grouped} 1234 {grouped} 99", f"{card} 12/27 123", f"17 {other} 9", f"{grouped} 12x",
+    ]
+    mixed = [f"{card} {v}" for v in values]
+    row = " ".join(["0000000001"] * 300) + f" . {card}"  # a long row of groups before a card
+    texts = [card, grouped, other, *values, *beside, *mixed, row]
+    found = pseudonymize(awkward(spark, list(enumerate(texts))), "k").collect()
+    got = {texts[r["doc_id"]]: (r["text"], r["n_replaced"]) for r in found}
+    for text in beside:
+        new, n = got[text]
+        assert not any(c in new for c in (card, grouped, other)) and n >= 1
+        assert re.sub(r"\d", "9", new) == re.sub(r"\d", "9", text)
+    for text in (f"{card} 123", f"2 {grouped}", f"{card}-12", f"{grouped} {grouped}"):
+        want = text
+        for c in (card, grouped):
+            want = want.replace(c, got[c][0])
+        assert got[text] == (want, text.count("7329"))
+    # values of other kinds after a card are still found
+    for value, text in zip(values, mixed, strict=True):
+        assert got[text] == (f"{got[card][0]} {got[value][0]}", 2) and got[value][0] != value
+    assert got[row][0].endswith(f" . {got[card][0]}")
+
+
 def test_feistel_is_a_permutation(spark):
     for radices in ((7, 5), (3, 2, 4), (6,), (2, 1, 3, 2)):
         every = [list(x) for x in itertools.product(*map(range, radices))]
