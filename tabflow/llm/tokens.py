@@ -5,8 +5,8 @@ That split always starts a new piece at a single white space, and at a full
 stop or comma after a letter or digit. A text whose white space, stops and
 commas are all of that kind is cut there, and every distinct cut is encoded
 only once by the tokenizers library; the ids of all cuts are then gathered at
-once. Other texts, and texts with characters outside Latin-1, are encoded
-whole. Cuts are told apart by 64-bit hashes.
+once. Other texts, texts with characters outside Latin-1, and texts that hold
+a special token are encoded whole. Cuts are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -57,14 +57,16 @@ class _CutHash:
 
 class Encoder:
     """Encodes texts to ids packed as little-endian unsigned 32-bit integers.
-    Special-token strings inside a text are ordinary text."""
+    The string of a special token inside a text is ordinary text, or with
+    ``special_tokens`` that token, as in the library's plain call."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_tokens: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = not special_tokens
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._hash = _CutHash()
         self._forget()
 
@@ -131,7 +133,7 @@ class Encoder:
         ]
 
     def _group(self, texts: list[str]) -> Iterator[bytes]:
-        latin = [_latin(t) for t in texts]
+        latin = [None if any(a in t for a in self._added) else _latin(t) for t in texts]
         cut = [t for t in latin if t]
         found = iter(self._cut(cut) if cut else [])
         for text, raw in zip(texts, latin, strict=True):
@@ -168,5 +170,5 @@ def _take(texts: Iterator[str | None], chars: int) -> list[str]:
 
 @cache
 def encoder(path: str) -> Encoder:
-    """One encoder for each worker process and vocabulary file."""
-    return Encoder(path)
+    """One encoder for each worker process and vocabulary file, with the ids of the library's plain call."""
+    return Encoder(path, special_tokens=True)

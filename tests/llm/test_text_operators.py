@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import string
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,11 +12,13 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tabflow.llm.common import scratch_path
 from tabflow.llm.cuckoo import CuckooFilter, FilterFull, build
 from tabflow.llm.line_dedup import build_index, dedup_lines
 from tabflow.llm.packing import SumOfSquares, cut, pack, pack_documents, pieces, sequences
 from tabflow.llm.quality_rules import RULES, Rule, keep_good, quality_rules
 from tabflow.llm.token_counts import at_limits, length_histogram, quantile, token_lengths
+from tabflow.llm.token_files import read_tokens, write_tokens
 from tabflow.llm.tokens import Encoder
 from tests.llm.fixtures import TOKENIZER, awkward, empty, rows
 
@@ -157,6 +160,26 @@ def test_encoder_equals_the_tokenizer():
             assert np.frombuffer(ids, "<u4").tolist() == want, text
 
 
+def test_special_tokens_are_those_of_the_plain_call(spark):
+    plain = Tokenizer.from_file(TOKENIZER)
+    rng = random.Random(6)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>. y", "a <|endoftext|", "É <|endoftext|><|endoftext|>日"]
+    texts += ["".join(rng.choice(["a", " b", ". C", " ", "<|endoftext|>"]) for _ in range(rng.randint(0, 25))) for _ in range(500)]
+    for text, ids in zip(texts, Encoder(TOKENIZER, special_tokens=True).encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+    # the operators take the same ids
+    docs = awkward(spark, list(enumerate(texts[:5])))
+    want = [(i, len(plain.encode(t, add_special_tokens=False).ids)) for i, t in enumerate(texts[:5])]
+    assert rows(token_lengths(docs, TOKENIZER)) == want
+    packed = pack_documents(docs, TOKENIZER, 2, 64).collect()
+    assert sorted((r["doc_id"], r["length"] - 1) for r in packed) == want
+    path = scratch_path(spark, "test-special-tokens")
+    write_tokens(docs, path, TOKENIZER, 0)
+    crc = lambda t: zlib.crc32(np.array([*plain.encode(t, add_special_tokens=False).ids, 0], "<u4").tobytes())
+    got = read_tokens(spark, path).select("doc_id", "ids_crc32")
+    assert rows(got) == [(i, crc(t)) for i, t in enumerate(texts[:5])]
+
+
 def _lengths(docs):
     plain = Tokenizer.from_file(TOKENIZER)
     return [(r["doc_id"], plain.encode(r["text"] or "", add_special_tokens=False).ids) for r in docs.collect()]
