@@ -8,6 +8,12 @@ modulo each radix. Each round can be undone, so this is a permutation of the
 format: equal values get equal pseudonyms in every document, and different
 values different ones. Check digits are made anew and dates stay dates.
 
+Phone numbers are those with a plus and a country code in groups of three and
+four or of two digits, national numbers of ten digits as 3-3-4, with or without
+brackets, and of a trunk 0 and four groups of two. ISO dates also stand before
+the T of a timestamp. A national number parted by spaces and beside other digit
+groups is not told from them and is left alone.
+
 Digit groups parted by one space or hyphen are read as one span. A span that is
 no card number as a whole is read again at its group borders: every run of 13
 to 19 digits that passes the Luhn test is a card number. Of runs that overlap,
@@ -45,6 +51,12 @@ YEARS = (1700, 2099)
 
 EMAIL = r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*\.)+[A-Za-z]{2,}"
 PHONE = r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}"
+# A country code, a trunk digit or area code, and three or more groups of two digits.
+PAIRS_PHONE = r"\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?\d{1,4}(?:[ .-]\d{2,3}){3,5}"
+# Ten digits as 3-3-4, with or without brackets, and a trunk 0 with four groups of two digits.
+NATIONAL_PHONE = r"(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}|0\d(?:[ .-]\d{2}){4}"
+# Ten digits that do not look like card groups parted by spaces.
+DASHED_PHONE = r"\d{3}[.-]\d{3}[.-]\d{4}"
 IPV4 = r"\d{1,3}(?:\.\d{1,3}){3}"
 ISO_DATE = r"\d{4}-\d{2}-\d{2}"
 SPLIT_DATE = r"\d{2}[./]\d{2}[./]\d{4}"
@@ -56,9 +68,15 @@ _END = r"(?![\p{L}\p{N}]|[.-]\d)"
 _ALONE = r"(?<![\p{L}\p{N}])(?<!\d[.-])(?:%s)" + _END
 # All digit groups in a row, up to a value of another kind. Possessive, as Java's stack does not hold a long row else.
 _GROUPS = rf"\d++(?:-\d++)*+{_END}"
-_OTHER = f"{EMAIL}|(?:{ISO_DATE}|{SPLIT_DATE}|{SSN}){_END}"
+_OTHER = f"{EMAIL}|(?:{ISO_DATE}|{SPLIT_DATE}|{SSN}|{DASHED_PHONE}){_END}|{ISO_DATE}(?=T\\d)"
 CARD = rf"(?=\d(?:[ -]?\d){{12}}){_GROUPS}(?: (?!{_OTHER}){_GROUPS})*+"
-VALUE = f"{EMAIL}|(?<![\\p{{L}}\\p{{N}}+]){PHONE}(?!\\d)|" + _ALONE % "|".join([IPV4, ISO_DATE, SPLIT_DATE, SSN, CARD])
+_PHONES = "|".join(rf"{p}(?!\d)" for p in (PHONE, PAIRS_PHONE))
+VALUE = (
+    f"{EMAIL}|(?<![\\p{{L}}\\p{{N}}+])(?:{_PHONES})|(?<![\\p{{L}}\\p{{N}}])(?<!\\d[.-]){ISO_DATE}(?=T\\d)|"
+    # Digits that go on after a space, or follow digits, may be part of a card number.
+    f"(?<![\\p{{L}}\\p{{N}}])(?<!\\d[ .-])(?:{NATIONAL_PHONE})(?! ?\\d){_END}|"
+    + _ALONE % "|".join([IPV4, ISO_DATE, SPLIT_DATE, SSN, DASHED_PHONE, CARD])
+)
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -191,7 +209,8 @@ def _taken(cuts: Column) -> Column:
 
 
 def _phone(value: Column, key: str) -> Column:
-    code = F.regexp_extract(value, r"^\+(?:\d{1,3}(?=[ .(-])|\d)", 0)
+    """All but the country code, or a national number's trunk 0."""
+    code = F.regexp_extract(value, r"^(?:\+(?:\d{1,3}(?=[ .(-])|\d)|0)", 0)
     return _let(code, lambda c: F.concat(c, _permute_text(F.substring(value, F.length(c) + 1, F.length(value)), key, "phone")))
 
 
@@ -234,7 +253,7 @@ def pseudonym(value: Column, key: str) -> Column:
     whole = lambda pattern: value.rlike(f"^(?:{pattern})$")
     made = (
         F.when(value.contains("@"), _email(value, key))
-        .when(value.startswith("+"), _phone(value, key))
+        .when(value.startswith("+") | whole(NATIONAL_PHONE), _phone(value, key))
         .when(whole(IPV4), _ipv4(value, key))
         .when(whole(ISO_DATE), _date(value, "yyyy-MM-dd", key))
         .when(whole(r"\d{2}\.\d{2}\.\d{4}"), _date(value, "dd.MM.yyyy", key))
@@ -260,7 +279,7 @@ def pseudonymize(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     df = df.withColumn("between", each("found", F.split("text", VALUE, -1)))
     # Spans that are no card number as a whole are cut at their groups; null for all other values. One column for each
     # step: the planner's time multiplies with the depth of lambdas.
-    span = lambda v: ~v.rlike(r"[^0-9 -]") & ~v.rlike(f"^(?:{ISO_DATE}|{SSN})$") & ~_is_card(v)
+    span = lambda v: ~v.rlike(r"[^0-9 -]") & ~v.rlike(f"^(?:{ISO_DATE}|{SSN}|{NATIONAL_PHONE})$") & ~_is_card(v)
     groups = lambda v: F.when(span(v), F.regexp_extract_all(v, F.lit("[ -]?[0-9]+"), F.lit(0)))
     df = df.withColumn("groups", each("found", F.transform("found", groups)))
     df = df.withColumn("ends", each("found", F.transform("groups", lambda g: F.when(g.isNotNull(), _card_ends(g)))))

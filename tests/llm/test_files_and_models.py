@@ -205,6 +205,22 @@ def test_cards_beside_other_digits_are_found(spark):
     assert got[row][0].endswith(f" . {got[card][0]}")
 
 
+def test_timestamps_and_phone_formats_are_found(spark):
+    card = "4845168114407329"
+    phones = ["555-123-4567", "(555) 123-4567", "555.123.4567", "+33 1 42 68 53 00", "01 42 68 53 00", "+1 (017) 555-7713"]
+    texts = ["2021-03-04", "2021-03-04T10:00:00Z", *phones, card, f"{card} {phones[0]}", f"{phones[0]}, {phones[1]}."]
+    texts += ["2021-13-04T10:00:00Z", "555-123-45678", "1.555.123.4567", "a555-123-4567", "2021-03-04Tx"]
+    got = {texts[r["doc_id"]]: r for r in pseudonymize(awkward(spark, list(enumerate(texts))), "k").collect()}
+    assert got[texts[1]]["text"] == got[texts[0]]["text"] + "T10:00:00Z" and got[texts[1]]["n_replaced"] == 1
+    for phone in phones:
+        assert got[phone]["text"] != phone and got[phone]["n_replaced"] == 1
+        assert re.sub(r"\d", "9", got[phone]["text"]) == re.sub(r"\d", "9", phone)
+    assert got[phones[3]]["text"].startswith("+33 ") and got[phones[4]]["text"].startswith("0")
+    assert got[texts[9]]["text"] == f"{got[card]['text']} {got[phones[0]]['text']}" and got[texts[9]]["n_replaced"] == 2
+    assert got[texts[10]]["text"] == f"{got[phones[0]]['text']}, {got[phones[1]]['text']}."
+    assert all((got[t]["text"], got[t]["n_replaced"]) == (t, 0) for t in texts[11:])
+
+
 def test_feistel_is_a_permutation(spark):
     for radices in ((7, 5), (3, 2, 4), (6,), (2, 1, 3, 2)):
         every = [list(x) for x in itertools.product(*map(range, radices))]
