@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 from tabflow.llm.common import crc32_of_id, read_table, scratch_path
 from tabflow.llm.decontamination import benchmark_matches
 from tabflow.llm.line_dedup import build_index, dedup_lines
+from tabflow.llm.manifest import fold, leaf_digest, manifest, proof_digest
 from tabflow.llm.minhash import Similarity, near_duplicates
+from tabflow.llm.mixing import mix
 from tabflow.llm.packing import pack_documents
 from tabflow.llm.pseudonyms import pseudonymize
 from tabflow.llm.quality_classifier import score, train, training_rows
 from tabflow.llm.quality_rules import quality_rules
 from tabflow.llm.resharding import reshard, slots, write_layout
+from tabflow.llm.spelling import LOWER, UPPER, corrupted_words, variants, vocabulary
 from tabflow.llm.token_counts import length_histogram, token_lengths
 from tabflow.llm.token_files import file_offsets, read_tokens, write_tokens
 
@@ -33,6 +36,13 @@ QUALITY_THRESHOLD = 0.3
 FILE_END_ID = 0
 PACK_END_ID = 2
 SEQUENCE_TOKENS = 1024
+SOURCE_WEIGHTS = (5, 2, 1)
+MAX_EPOCHS = 3
+TAMPERED_ONE_IN = 3
+
+# Quality weights of the mix, by labels.quality; documents without a label stand between.
+GOOD, UNLABELLED, POOR = 2.0, 1.0, 0.5
+MIX_SEED = 11
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +128,43 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), TOKENIZER, PACK_END_ID, SEQUENCE_TOKENS)
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that ``labels`` marks as good are drawn first more often, those
+    it marks as poor less often."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    labels = read_table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    weight = F.when(F.col("quality") == 1, GOOD).when(F.col("quality") == 0, POOR).otherwise(UNLABELLED)
+    weighted = docs.join(labels, "doc_id", "left").select("doc_id", "text", "source", weight.alias("weight"))
+    mixed = mix(weighted, SOURCE_WEIGHTS, MAX_EPOCHS, MIX_SEED)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(vocabulary(corrupted_words(read_table(spark, sf_dir, "documents"))))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    fields = lambda text: [F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text]
+    tampered = F.pmod(crc32_of_id(F.col("doc_id")), F.lit(TAMPERED_ONE_IN)) == 0
+    rows = docs.select(
+        "doc_id",
+        "lang",
+        leaf_digest(fields(F.col("text"))).alias("leaf"),
+        leaf_digest(fields(F.when(tampered, F.translate("text", UPPER, LOWER)).otherwise(F.col("text")))).alias("seen"),
+    )
+    folded = fold(F.col("seen"), F.col("path"))
+    return manifest(rows, "lang", ["doc_id"]).select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        proof_digest(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+        (folded == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_resharding": op2_resharding,
@@ -129,4 +176,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_line_dedup": op9_line_dedup,
     "op10_packing": op10_packing,
+    "op11_mixing": op11_mixing,
+    "op12_spelling": op12_spelling,
+    "op13_manifest": op13_manifest,
 }
