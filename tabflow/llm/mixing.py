@@ -83,15 +83,22 @@ def targets(sources: DataFrame, weights: Sequence[int], max_epochs: int) -> Data
     return own.select("_group", F.when(at_limit, F.col("limit").cast("double")).otherwise(share).alias("target"))
 
 
-def mix(docs: DataFrame, weights: Sequence[int], max_epochs: int = 3, seed: int = 0) -> DataFrame:
+def measure(docs: DataFrame, seed: int = 0) -> DataFrame:
+    """doc_id, source, size (words) and draw (the uniform number) of ``docs``
+    (doc_id, source, text): all that the mix needs of the texts, so that
+    weights are joined to narrow rows."""
+    draw = uniform(seed, F.col("doc_id"), F.col("text"))
+    return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), draw.alias("draw"))
+
+
+def mix(measured: DataFrame, weights: Sequence[int], max_epochs: int = 3) -> DataFrame:
     """doc_id, source, size, source_size, target, epochs (complete ones of the
     source), sampled (one time more) and taken (size units over all times).
-    ``docs``: doc_id, source, text and weight (quality, above 0)."""
+    ``measured``: doc_id, source, size, draw and weight (quality, above 0);
+    ``weights`` of the sources repeat in the order of their names."""
     weight = F.when(F.col("weight") > LEAST_WEIGHT, F.col("weight").cast("double")).otherwise(F.lit(LEAST_WEIGHT))
-    key = -F.log(uniform(seed, F.col("doc_id"), F.col("text"))) / weight
-    narrow = docs.select(
-        "doc_id", "source", F.col("source").isNull().alias("_no_source"), word_count(F.col("text")).alias("size"), key.alias("_key")
-    )
+    key = (-F.log("draw") / weight).alias("_key")
+    narrow = measured.select("doc_id", "source", F.col("source").isNull().alias("_no_source"), "size", key)
     places = ordered(materialize(narrow, "mix-documents"), ["_no_source", "source"], ["_key", "doc_id", "size"], "size")
     rows = places.rows(targets(places.groups(), weights, max_epochs))
     source_size, target = F.col("_group_size").cast("long"), F.col("target")

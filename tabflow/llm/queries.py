@@ -14,7 +14,7 @@ from tabflow.llm.decontamination import benchmark_matches
 from tabflow.llm.line_dedup import build_index, dedup_lines
 from tabflow.llm.manifest import fold, leaf_digest, manifest, proof_digest
 from tabflow.llm.minhash import Similarity, near_duplicates
-from tabflow.llm.mixing import mix
+from tabflow.llm.mixing import measure, mix
 from tabflow.llm.packing import pack_documents
 from tabflow.llm.pseudonyms import pseudonymize
 from tabflow.llm.quality_classifier import score, train, training_rows
@@ -134,8 +134,8 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     labels = read_table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     weight = F.when(F.col("quality") == 1, GOOD).when(F.col("quality") == 0, POOR).otherwise(UNLABELLED)
-    weighted = docs.join(labels, "doc_id", "left").select("doc_id", "text", "source", weight.alias("weight"))
-    mixed = mix(weighted, SOURCE_WEIGHTS, MAX_EPOCHS, MIX_SEED)
+    weighted = measure(docs, MIX_SEED).join(labels, "doc_id", "left").withColumn("weight", weight)
+    mixed = mix(weighted, SOURCE_WEIGHTS, MAX_EPOCHS)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 

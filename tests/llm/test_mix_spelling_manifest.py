@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tabflow.llm.common import materialize
 from tabflow.llm.manifest import fold, leaf_digest, manifest, proof_digest
-from tabflow.llm.mixing import mix, targets, uniform
+from tabflow.llm.mixing import measure, targets, uniform
+from tabflow.llm.mixing import mix as mix_measured
 from tabflow.llm.order import ordered
 from tabflow.llm.spelling import corrupted_words, neighbours, variants, vocabulary
 from tests.llm.fixtures import awkward, empty, rows
@@ -75,6 +76,13 @@ def test_targets_equal_plain_rounds(spark, seed):
     assert sum(got) == pytest.approx(sum(sizes))
 
 
+def mix(docs, weights, epochs=3, seed=0):
+    """Documents with a weight of their own row, equal ids and texts included."""
+    own = measure(docs, seed).withColumn("_row", F.monotonically_increasing_id())
+    weight = docs.select("weight").withColumn("_row", F.monotonically_increasing_id())
+    return mix_measured(own.join(weight, "_row").drop("_row"), weights, epochs)
+
+
 def _corpus(spark, n=400, seed=5):
     rng = random.Random(seed)
     source = lambda i: "hot" if i % 3 == 0 else rng.choice(["b", "c", "é", None])
