@@ -83,12 +83,12 @@ def targets(sources: DataFrame, weights: Sequence[int], max_epochs: int) -> Data
     return own.select("_group", F.when(at_limit, F.col("limit").cast("double")).otherwise(share).alias("target"))
 
 
-def measure(docs: DataFrame, seed: int = 0) -> DataFrame:
+def measure(docs: DataFrame, seed: int = 0, carry: Sequence[str] = ()) -> DataFrame:
     """doc_id, source, size (words) and draw (the uniform number) of ``docs``
     (doc_id, source, text): all that the mix needs of the texts, so that
-    weights are joined to narrow rows."""
+    weights are joined to narrow rows. Columns in ``carry`` are kept."""
     draw = uniform(seed, F.col("doc_id"), F.col("text"))
-    return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), draw.alias("draw"))
+    return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), draw.alias("draw"), *carry)
 
 
 def mix(measured: DataFrame, weights: Sequence[int], max_epochs: int = 3) -> DataFrame:

@@ -77,10 +77,7 @@ def test_targets_equal_plain_rounds(spark, seed):
 
 
 def mix(docs, weights, epochs=3, seed=0):
-    """Documents with a weight of their own row, equal ids and texts included."""
-    own = measure(docs, seed).withColumn("_row", F.monotonically_increasing_id())
-    weight = docs.select("weight").withColumn("_row", F.monotonically_increasing_id())
-    return mix_measured(own.join(weight, "_row").drop("_row"), weights, epochs)
+    return mix_measured(measure(docs, seed, ["weight"]), weights, epochs)
 
 
 def _corpus(spark, n=400, seed=5):
