@@ -6,7 +6,9 @@ stop or comma after a letter or digit. A text whose white space, stops and
 commas are all of that kind is cut there, and every distinct cut is encoded
 only once by the tokenizers library; the ids of all cuts are then gathered at
 once. Other texts, texts with characters outside Latin-1, and texts that hold
-a special token are encoded whole. Cuts are told apart by 64-bit hashes.
+a special token are encoded whole. A 64-bit hash finds the place of a known
+cut, and its bytes are compared each time: a text in which a cut only shares
+the hash of another one is encoded whole.
 """
 
 from __future__ import annotations
@@ -75,6 +77,9 @@ class Encoder:
         self._from = np.empty(0, dtype=np.int32)
         self._length = np.empty(0, dtype=np.int32)
         self._ids = np.empty(0, dtype=_PACKED)
+        self._cut_from = np.empty(0, dtype=np.int64)  # in the bytes of all known cuts
+        self._cut_size = np.empty(0, dtype=np.int64)
+        self._cut_bytes = np.empty(0, dtype=np.uint8)
 
     def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and the count of each text."""
@@ -82,15 +87,30 @@ class Encoder:
         lengths = np.fromiter(map(len, found), dtype=np.int32, count=len(found))
         return np.fromiter(chain.from_iterable(found), dtype=_PACKED, count=int(lengths.sum())), lengths
 
-    def _learn(self, hashes: np.ndarray, cuts: list[str]) -> None:
-        """Add distinct new cuts; ``hashes`` are sorted."""
-        ids, lengths = self._whole(cuts)
+    def _learn(self, hashes: np.ndarray, cuts: list[bytes]) -> None:
+        """Add Latin-1 cuts of distinct new hashes; ``hashes`` are sorted."""
+        ids, lengths = self._whole([c.decode("latin-1") for c in cuts])
         at = np.searchsorted(self._known, hashes)
         begins = (len(self._ids) + np.cumsum(lengths) - lengths).astype(np.int32)
         self._known = np.insert(self._known, at, hashes)
         self._from = np.insert(self._from, at, begins)
         self._length = np.insert(self._length, at, lengths)
         self._ids = np.concatenate([self._ids, ids])
+        sizes = np.fromiter(map(len, cuts), dtype=np.int64, count=len(cuts))
+        self._cut_from = np.insert(self._cut_from, at, len(self._cut_bytes) + np.cumsum(sizes) - sizes)
+        self._cut_size = np.insert(self._cut_size, at, sizes)
+        self._cut_bytes = np.concatenate([self._cut_bytes, np.frombuffer(b"".join(cuts), dtype=np.uint8)])
+
+    def _same(self, buffer: np.ndarray, starts: np.ndarray, sizes: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        """Whether each cut of the buffer has the bytes of the known cut at its slot."""
+        same = sizes == self._cut_size[slot]
+        first, size, known = starts[same], sizes[same], self._cut_from[slot[same]]
+        if len(first):
+            begins = np.cumsum(size) - size
+            at = np.arange(int(size.sum()))
+            equal = buffer[at + np.repeat(first - begins, size)] == self._cut_bytes[at + np.repeat(known - begins, size)]
+            same[same] = np.logical_and.reduceat(equal, begins)
+        return same
 
     def _cut(self, texts: list[bytes]) -> list[bytes | None]:
         """The packed ids of Latin-1 texts, none of them empty; None for those
@@ -119,9 +139,11 @@ class Encoder:
         new = ~np.isin(hashes, self._known, assume_unique=True)
         if new.any():
             raw, spans = buffer.tobytes(), example[new]
-            cuts = [raw[a:b].decode("latin-1") for a, b in zip(starts[spans].tolist(), ends[spans].tolist(), strict=True)]
+            cuts = [raw[a:b] for a, b in zip(starts[spans].tolist(), ends[spans].tolist(), strict=True)]
             self._learn(hashes[new], cuts)
         slot = np.searchsorted(self._known, hashes)[which]
+        other = starts[~self._same(buffer, starts, ends - starts, slot)]
+        sure[np.searchsorted(first, other, side="right") - 1] = False
         lengths = self._length[slot].astype(np.int64)
         done = np.concatenate([[0], np.cumsum(lengths)])
         gather = np.arange(done[-1]) + np.repeat(self._from[slot] - done[:-1], lengths)

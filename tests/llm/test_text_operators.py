@@ -160,6 +160,33 @@ def test_encoder_equals_the_tokenizer():
             assert np.frombuffer(ids, "<u4").tolist() == want, text
 
 
+def _thue_morse(n):
+    return "".join("ab"[bin(k).count("1") % 2] for k in range(n))
+
+
+def test_texts_that_share_a_hash_keep_their_own_ids(spark):
+    """A Thue-Morse text and its complement share every polynomial hash modulo 2**64."""
+    plain = Tokenizer.from_file(TOKENIZER)
+    swap = str.maketrans("ab", "ba")
+    texts = [t for k in (1024, 2048, 4096, 8192) for t in (_thue_morse(k), _thue_morse(k).translate(swap))]
+    texts += [f"one {a} two {b}." for a, b in zip(texts, texts[1:], strict=False)] + texts[::-1]
+    own = Encoder(TOKENIZER)
+    assert len(set(own._hash(*(np.array(x) for x in ([*(texts[0] + texts[1]).encode()], [0, 1024], [1024, 2048]))).tolist())) == 1
+    for _ in range(2):
+        for text, ids in zip(texts, own.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    docs = awkward(spark, list(enumerate(texts))).coalesce(1)
+    want = [(i, len(plain.encode(t, add_special_tokens=False).ids)) for i, t in enumerate(texts)]
+    assert rows(token_lengths(docs, TOKENIZER)) == sorted(want, key=repr)
+    crc = lambda t, end: zlib.crc32(np.array([*plain.encode(t, add_special_tokens=False).ids, end], "<u4").tobytes())
+    path = scratch_path(spark, "test-same-hash")
+    write_tokens(docs, path, TOKENIZER, 0)
+    got = read_tokens(spark, path).select("doc_id", "ids_crc32")
+    assert rows(got) == sorted(((i, crc(t, 0)) for i, t in enumerate(texts)), key=repr)
+    packed = pack_documents(docs, TOKENIZER, 2, 1 << 16).select("doc_id", "ids_crc32")
+    assert rows(packed) == sorted(((i, crc(t, 2)) for i, t in enumerate(texts)), key=repr)
+
+
 def test_special_tokens_are_those_of_the_plain_call(spark):
     plain = Tokenizer.from_file(TOKENIZER)
     rng = random.Random(6)
