@@ -35,6 +35,7 @@ from tabflow.operators.relational import (  # noqa: F401
     salted_enrich,
     top_n,
 )
+from tabflow.operators.sql_names import table_references  # noqa: F401
 from tabflow.operators.staging import (  # noqa: F401
     AuditResult,
     drop_ref,
@@ -49,3 +50,14 @@ from tabflow.operators.staging import (  # noqa: F401
     write_audit,
     write_table,
 )
+from tabflow.operators.versions import (  # noqa: F401
+    PublishConflict,
+    Version,
+    expire_versions,
+    find_version,
+    publish_version,
+    read_version,
+    version_path,
+    versions,
+    write_version,
+)

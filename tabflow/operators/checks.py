@@ -9,7 +9,7 @@ need no job at all. The result is a small DataFrame
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -55,8 +55,9 @@ def no_nulls(column: str, severity: str = FAIL) -> Check:
 
 
 def accepted_values(column: str, values: Sequence, severity: str = FAIL) -> Check:
-    """Every non-null value is one of ``values`` (nulls are E1's job)."""
-    vals = list(values)
+    """Every non-null value is one of ``values`` (nulls are E1's job; a
+    null in the list says nothing)."""
+    vals = [v for v in values if v is not None]
     return Check(
         "accepted_values",
         (column,),
@@ -186,6 +187,31 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     )
 
 
+def row_metrics(df: DataFrame, checks: Sequence[Check]) -> dict[str, Column]:
+    """The violation counts of the row checks, as aggregates over ``df`` that a
+    write can observe; ``checked`` takes their values."""
+    return {f"_v{i}": chk.count_expr(df).cast("long") for i, chk in enumerate(checks) if chk.count_expr is not None}
+
+
+def checked(written: DataFrame, checks: Sequence[Check], counted: Mapping[str, int]) -> list[dict]:
+    """The result rows of ``run_checks`` for a table whose row checks were
+    counted while it was written. Only ``unique`` checks run a job."""
+    keyed = [chk for chk in checks if chk.unique_key is not None]
+    found = iter(run_checks(written, keyed).collect()) if keyed else iter(())
+    out = []
+    for i, chk in enumerate(checks):
+        if chk.count_expr is not None:
+            violations = int(counted[f"_v{i}"])
+        elif chk.schema_violations is not None:
+            violations = int(chk.schema_violations(written))
+        else:
+            violations = int(next(found)["violations"])
+        out.append(
+            {"check": chk.name, "column": ",".join(chk.columns), "severity": chk.severity, "violations": violations, "passed": violations == 0}
+        )
+    return out
+
+
 def assert_checks(results: DataFrame) -> list:
     """Run the checks and raise ``CheckFailed`` if a fail-severity check has
     violations. Returns the result rows (one per check, a bounded result)."""

@@ -3,9 +3,8 @@ CSV export (SURVEY §2.2, K1-K10; S7, S11).
 
 A *ref* names an isolated staging area below the shared folder from
 ``spark.checkpoint.dir``: ``<shared>/staging/<ref>/<table>``. Data is written
-there, audited with ``checks.run_checks`` on the written files (so the audit
-never recomputes the upstream plan), kept whether the audit passes or not,
-and copied to a target only by an explicit ``publish``.
+there, audited by the checks of ``checks`` on the same job (the rows are read
+once), kept whether the audit passes or not, and copied to a target only by an explicit ``publish``.
 
 An overwrite first writes a new folder beside the target and swaps it in when
 the write has succeeded, so no write deletes what it reads and a failed one
@@ -14,8 +13,8 @@ with its schema, its partition columns and the verdict of its audit; Spark's
 readers skip that file. ``read_table`` reads with that schema.
 
 Limitation: the swap is two renames. A reader between them misses the table,
-and an object store renames file by file. A table format with transactions
-would make it atomic, but none is on this classpath.
+and an object store renames file by file; ``versions`` publishes by pointer
+instead.
 """
 
 from __future__ import annotations
@@ -23,15 +22,16 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabflow.operators.checks import FAIL, Check, CheckFailed, run_checks
+from tabflow.operators.checks import FAIL, Check, CheckFailed, checked, row_metrics
+from tabflow.operators.sql_names import table_references
 from tabflow.session import shared_dir
 from tabflow.sources import CSV_OPTIONS
 
@@ -144,10 +144,27 @@ def read_staged(spark: SparkSession, table: str, ref: str, root: str | None = No
 
 
 def query(spark: SparkSession, text: str, ref: str, root: str | None = None) -> DataFrame:
-    """SQL text over the tables of a ref: each ``{name}`` in the text is the
-    staged table of that name. No view is registered, so two refs never mix."""
-    names = set(re.findall(r"\{(\w+)\}", text))
-    return spark.sql(text, **{name: read_staged(spark, name, ref, root) for name in names})
+    """SQL text over the tables of a ref, by their plain names
+    (``FROM ns.table``) or as ``{ns.table}``. Every relation the text reads must
+    be staged at the ref; names of its own WITH clauses, and names inside
+    strings and comments, are left alone. No view is registered, so two refs
+    never mix."""
+    quoted = re.sub(r"\{(\w+(?:\.\w+)*)\}", lambda m: ".".join(f"`{part}`" for part in m[1].split(".")), text)
+    bound, tables, parts, at = {}, {}, [], 0
+    for start, stop, name in table_references(spark, quoted):
+        if name not in bound:
+            fs, folder = _file_system(spark, staged_path(spark, name, ref, root))
+            if not fs.exists(folder):
+                raise LookupError(f"table {name} is not staged at ref {ref}")
+            bound[name] = f"_table{len(bound)}"
+            tables[bound[name]] = read_staged(spark, name, ref, root)
+        parts += [_escaped(quoted[at:start]), "{", bound[name], "}"]
+        at = stop
+    return spark.sql("".join([*parts, _escaped(quoted[at:])]), **tables)
+
+
+def _escaped(text: str) -> str:
+    return text.replace("{", "{{").replace("}", "}}")
 
 
 def drop_ref(spark: SparkSession, ref: str, root: str | None = None) -> bool:
@@ -163,6 +180,8 @@ def write_table(
     mode: str = "overwrite",
     partition_by: Sequence[str] | None = None,
     fmt: str = "parquet",
+    metrics: Mapping[str, Column] | None = None,
+    measured: dict | None = None,
 ) -> int:
     """Materialise ``df`` at ``path`` (strategy REPLACE by default) and return
     the number of rows written, measured by an ``Observation`` on the same
@@ -170,27 +189,58 @@ def write_table(
 
     An overwrite that reads from its own target is refused; any other one is
     written beside the target and swapped in. Parquet tables carry metadata.
+    An append keeps the table's partition layout and refuses rows of other
+    columns or types; the first one makes the table. ``metrics`` are further
+    aggregates over the rows, taken on the same job; their values are put in
+    ``measured``. The observed rows are those of the writing tasks, each
+    counted once, also when a task is run again.
     """
     spark = df.sparkSession
     if mode == "overwrite" and _reads_from(df, path):
         raise ValueError(f"refusing to overwrite {path}: the data being written is read from it")
+    meta = read_metadata(spark, path) if mode == "append" and fmt == "parquet" else {}
+    if meta:
+        partition_by = _same_layout(df.schema, partition_by, meta, path)
+        df = df.select(*[F.col(f"`{f['name']}`") for f in meta["schema"]["fields"]])
     keys = list(partition_by or [])
     obs = Observation("row_count")
-    observed = _marked(df, _text_partitions(df.schema, keys)).observe(obs, F.count(F.lit(1)).alias("rows"))
+    wanted = [F.count(F.lit(1)).alias("rows"), *(c.alias(name) for name, c in (metrics or {}).items())]
+    observed = _marked(df.observe(obs, *wanted), _text_partitions(df.schema, keys))
     fs, target = _file_system(spark, path)
+    if mode == "append" and fmt == "parquet" and not meta and fs.exists(target) and fs.listStatus(target):
+        raise ValueError(f"cannot append to {path}: it carries no {METADATA}, so its schema is not known")
     fresh = f"{target.toString()}.{uuid.uuid4().hex}" if mode == "overwrite" else target.toString()
     writer = observed.write.mode("errorifexists" if mode == "overwrite" else mode).format(fmt)
     if keys:
         writer = writer.partitionBy(*keys)
     writer.save(fresh)
-    rows = int(obs.get["rows"])
+    values = obs.get
+    rows = int(values["rows"])
+    if measured is not None:
+        measured.update({name: values[name] for name in metrics or {}})
+    if fmt == "parquet":
+        # Rows that are appended have not been audited.
+        own = meta or {"schema": df.schema.jsonValue(), "partition_by": keys}
+        _write_metadata(spark, fresh, own | {"audit": None})
     if mode == "overwrite":
-        if fmt == "parquet":
-            _write_metadata(spark, fresh, {"schema": df.schema.jsonValue(), "partition_by": keys, "audit": None})
         _swap(spark, fs, fresh, target)
+    elif mode == "append":
+        spark.catalog.refreshByPath(fresh)
     return rows
 
 
+def _same_layout(schema: T.StructType, partition_by: Sequence[str] | None, meta: dict, path: str) -> list[str]:
+    """The table's partition columns, if rows of ``schema`` fit the table."""
+    table = T.StructType.fromJson(meta["schema"])
+    own, theirs = ({f.name: f.dataType.simpleString() for f in x} for x in (table, schema))
+    if own != theirs or len(table) != len(schema):
+        differ = sorted(c for c in own.keys() | theirs.keys() if own.get(c) != theirs.get(c))
+        raise ValueError(f"cannot append to {path}: columns {differ} are not those of the table")
+    if partition_by is not None and list(partition_by) != meta["partition_by"]:
+        raise ValueError(f"cannot append to {path}: it is partitioned by {meta['partition_by']}")
+    return meta["partition_by"]
+
+
 def _swap(spark: SparkSession, fs, fresh: str, target) -> None:
     """Put the folder ``fresh`` in the place of ``target``; the old one is
     deleted only once the new one stands there."""
@@ -246,14 +296,17 @@ def write_audit(
 ) -> AuditResult:
     """Write ``df`` to staging, audit the written table, keep it either way.
 
-    Never publishes. With ``raise_on_failure`` a failing fail-severity check
-    raises ``CheckFailed`` after the data is safely staged (kept for
-    debugging); otherwise the result says whether it passed.
+    Never publishes. Row checks are counted on the write's own job, so the
+    audit reads nothing again; only ``unique`` checks read the staged table.
+    With ``raise_on_failure`` a failing fail-severity check raises
+    ``CheckFailed`` after the data is safely staged (kept for debugging);
+    otherwise the result says whether it passed.
     """
     spark = df.sparkSession
-    path, rows = stage_table(df, table, ref, root, partition_by)
-    staged = read_table(spark, path)
-    results = [r.asDict() for r in run_checks(staged, checks).collect()] if checks else []
+    path = staged_path(spark, table, ref, root)
+    counted: dict = {}
+    rows = write_table(df, path, "overwrite", partition_by, metrics=row_metrics(df, checks), measured=counted)
+    results = checked(read_table(spark, path), checks, counted)
     passed = all(r["passed"] or r["severity"] != FAIL for r in results)
     _write_metadata(spark, path, read_metadata(spark, path) | {"audit": {"passed": passed, "checks": results}})
     result = AuditResult(table, ref, path, rows, results, passed)

@@ -376,4 +376,14 @@ FROM lineitem""",
 SELECT l_returnflag, COUNT(*) AS lines, SUM(l_quantity) AS quantity
 FROM lineitem WHERE l_linenumber > 1 GROUP BY l_returnflag""",
     "glob_mixed_types": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
+    "query_plain_names": "SELECT COUNT(*) AS n FROM lineitem",
+    "publish_versions": "SELECT * FROM orders",
+    "read_as_of": """
+SELECT o_orderkey, o_orderstatus, o_totalprice,
+       CAST(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS INTEGER) AS version
+FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')""",
+    "append_roundtrip": """
+SELECT l_orderkey, l_linenumber,
+       CASE l_returnflag WHEN 'A' THEN '' WHEN 'N' THEN '007' ELSE '=' || l_returnflag END AS part
+FROM lineitem""",
 }

@@ -27,7 +27,9 @@ from tabflow.operators.staging import (
     stage_table,
     staged_path,
     write_audit,
+    write_table,
 )
+from tabflow.operators.versions import publish_version, read_version, write_version
 from tabflow.plans import bindings as B
 from tabflow.plans import conversion, engagement, trips
 from tabflow.plans.flows import import_table
@@ -318,6 +320,47 @@ def q_query_at_ref(spark: SparkSession, sf: str) -> DataFrame:
     return query(spark, text, ref)
 
 
+def q_query_plain_names(spark: SparkSession, sf: str) -> DataFrame:
+    """The row count of a staged table of a namespace, in SQL by its plain name."""
+    ref = new_ref("names")
+    stage_table(B.table(spark, sf, "lineitem"), "staged.lineitem", ref)
+    return query(spark, "SELECT COUNT(*) AS n FROM staged.lineitem", ref)
+
+
+def q_publish_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Two versions of the orders published one after the other by pointer, the
+    second by folder of a text key; what a reader finds then."""
+    target, orders = staged_path(spark, "published.orders", new_ref("versions")), B.table(spark, sf, "orders")
+    for keep, keys in ((F.col("o_orderstatus") == "F", None), (F.lit(True), ["o_orderstatus"])):
+        ref = new_ref("orders")
+        write_audit(orders.where(keep), "orders", ref, [unique("o_orderkey")], partition_by=keys)
+        publish_version(spark, "orders", ref, target)
+    return read_version(spark, target)
+
+
+def q_read_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """The orders of one status in each of three versions, read by number and
+    by time when the third is current."""
+    path, orders = staged_path(spark, "history.orders", new_ref("history")), B.table(spark, sf, "orders")
+    orders = orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    made = [write_version(orders.where(F.col("o_orderstatus") == status), path) for status in "FOP"]
+    first = read_version(spark, path, version=made[0].number)
+    second = read_version(spark, path, as_of=made[1].published_at)
+    frames = [df.withColumn("version", F.lit(n)) for n, df in enumerate([first, second, read_version(spark, path)], 1)]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
+def q_append_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items imported in three appends into folders by a text key with an
+    empty value and one that starts with the mark of empty values."""
+    flag, path = F.col("l_returnflag"), staged_path(spark, "lineitem", new_ref("append"))
+    key = F.when(flag == "A", "").when(flag == "N", "007").otherwise(F.concat(F.lit("="), flag))
+    li = B.table(spark, sf, "lineitem").select("l_orderkey", key.alias("part"), "l_linenumber")
+    for part in range(3):
+        write_table(li.where(F.col("l_linenumber") % 3 == part), path, "append", ["part"] if part == 0 else None)
+    return read_table(spark, path)
+
+
 def q_glob_mixed_types(spark: SparkSession, sf: str) -> DataFrame:
     """Line items whose files disagree on the type of l_quantity."""
     base = staged_path(spark, "mixed", new_ref("glob"))
@@ -391,4 +434,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_roundtrip": q_csv_roundtrip,
     "query_at_ref": q_query_at_ref,
     "glob_mixed_types": q_glob_mixed_types,
+    "query_plain_names": q_query_plain_names,
+    "publish_versions": q_publish_versions,
+    "read_as_of": q_read_as_of,
+    "append_roundtrip": q_append_roundtrip,
 }
