@@ -376,6 +376,13 @@ FROM lineitem""",
 SELECT l_returnflag, COUNT(*) AS lines, SUM(l_quantity) AS quantity
 FROM lineitem WHERE l_linenumber > 1 GROUP BY l_returnflag""",
     "glob_mixed_types": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
+    "detected_schema": """
+SELECT 'l_orderkey' AS "column", 'bigint' AS type, COUNT(l_orderkey) AS n_values FROM lineitem
+UNION ALL SELECT 'l_quantity', 'double', COUNT(l_quantity) FROM lineitem
+UNION ALL SELECT 'l_returnflag', 'string', COUNT(l_returnflag) FROM lineitem
+UNION ALL SELECT 'l_tax', 'double', COUNT(l_tax) FROM lineitem WHERE l_orderkey % 3 > 0""",
+    "csv_records": """
+SELECT doc_id, '  "' || text || '",' || chr(10) || ' ' || text AS text, lang FROM documents""",
     "query_plain_names": "SELECT COUNT(*) AS n FROM lineitem",
     "publish_versions": "SELECT * FROM orders",
     "read_as_of": """

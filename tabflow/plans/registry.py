@@ -33,7 +33,8 @@ from tabflow.operators.versions import publish_version, read_version, write_vers
 from tabflow.plans import bindings as B
 from tabflow.plans import conversion, engagement, trips
 from tabflow.plans.flows import import_table
-from tabflow.sources import override_types, read_parquet_glob, read_source
+from tabflow.sources import detect_schema, field_type, override_types, read_parquet_glob, read_source
+from tabflow.sources.csv_records import read_csv_records
 
 DIGITS = 6
 # Fixed parameters of the registered report queries.
@@ -320,6 +321,32 @@ def q_query_at_ref(spark: SparkSession, sf: str) -> DataFrame:
     return query(spark, text, ref)
 
 
+def q_detected_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns, detected types and values of line items that stand in folders of
+    several files, one of which lacks a column."""
+    base = staged_path(spark, "drifting", new_ref("schema"))
+    li = B.table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag", "l_tax")
+    full = F.col("l_orderkey") % 3 > 0
+    li.where(full).repartition(6).write.parquet(f"{base}/full")
+    li.where(~full).drop("l_tax").repartition(3).write.parquet(f"{base}/short")
+    df = read_parquet_glob(spark, f"{base}/*")
+    names = detect_schema(spark, f"{base}/*").names
+    counts = df.agg(*[F.count(c).alias(c) for c in names])
+    rows = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.lit(field_type(df, c)).alias("type"), F.col(c).alias("n_values")) for c in names]
+    )
+    return counts.select(F.inline(rows))
+
+
+def q_csv_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document through CSV files with line breaks in fields, read in splits."""
+    text = F.concat(F.lit('  "'), F.col("text"), F.lit('",\n '), F.col("text"))
+    docs = B.table(spark, sf, "documents").select("doc_id", text.alias("text"), "lang")
+    path = staged_path(spark, "documents_csv", new_ref("records"))
+    export_csv(docs, path)
+    return read_csv_records(spark, path, "doc_id bigint, text string, lang string")
+
+
 def q_query_plain_names(spark: SparkSession, sf: str) -> DataFrame:
     """The row count of a staged table of a namespace, in SQL by its plain name."""
     ref = new_ref("names")
@@ -434,6 +461,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_roundtrip": q_csv_roundtrip,
     "query_at_ref": q_query_at_ref,
     "glob_mixed_types": q_glob_mixed_types,
+    "detected_schema": q_detected_schema,
+    "csv_records": q_csv_records,
     "query_plain_names": q_query_plain_names,
     "publish_versions": q_publish_versions,
     "read_as_of": q_read_as_of,

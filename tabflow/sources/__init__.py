@@ -3,17 +3,14 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabflow.functions import strict_double
-
-FOOTER_THREADS = 16
+from tabflow.sources.footers import files_of, merged, schema_groups
 
 # Standard CSV (RFC 4180): a quote inside a quoted field is doubled, and spaces belong to the field.
 CSV_OPTIONS = {
@@ -54,8 +51,16 @@ def read_source(
 
 
 def detect_schema(spark: SparkSession, uri: str, fmt: str = "parquet") -> T.StructType:
-    """Schema of the files at ``uri``; for Parquet only footers are read."""
-    return read_source(spark, uri, fmt).schema
+    """Schema of all files at ``uri``. Parquet: the columns of every file, from
+    footers read in tasks; files that disagree on a type raise, as that needs a
+    decision (``read_parquet_glob`` takes it)."""
+    if fmt != "parquet":
+        return read_source(spark, uri, fmt).schema
+    schema, differ = merged(schema_groups(spark, uri))
+    if differ:
+        raise ValueError(f"the files disagree on the type of {differ}")
+    # With the schema given, Spark adds the columns of partition folders.
+    return spark.read.schema(schema).parquet(uri).schema
 
 
 def field_type(df: DataFrame, name: str) -> str:
@@ -90,44 +95,30 @@ def read_parquet_glob(
 ) -> DataFrame:
     """A Parquet glob as one table, also when the files disagree on a type.
 
-    The common case is one read. If the files disagree, ``overrides`` must name
-    every column in conflict: the files are grouped by schema, each group is
-    read with its own types, cast, and the groups are unioned by name. A
-    conflict that no override settles raises, and so does an override of a
-    column that no file has.
+    Footers are read in tasks and only distinct schemas come to the driver
+    (``footers``). The common case is then one read with the columns of all
+    files. If the files disagree, ``overrides`` must name every column in
+    conflict: each schema's files are read with their own types, cast, and the
+    groups are unioned by name. A conflict that no override settles raises, and
+    so does an override of a column that no file has.
     """
     overrides = dict(overrides or {})
-    single = spark.read.parquet(uri)
-    files = single.inputFiles()
-    if len(files) <= 1:  # one file: nothing to merge
-        return override_types(single, overrides) if overrides else single
-    try:
-        df = spark.read.option("mergeSchema", True).parquet(uri)
-        df.schema  # forces the (distributed) footer merge
+    groups = schema_groups(spark, uri)
+    if not groups:
+        return override_types(spark.read.parquet(uri), overrides)  # Spark's own message
+    schema, differ = merged(groups)
+    if not differ:
+        df = spark.read.schema(schema).parquet(uri)
         return override_types(df, overrides) if overrides else df
-    except Exception as exc:  # surfaces as AnalysisException or a wrapped SparkException
-        if "CANNOT_MERGE" not in str(exc):
-            raise
-    # Only on a type conflict: group the files by their own schema. Reading a
-    # footer is a small metadata read, done concurrently from the driver.
-    with ThreadPoolExecutor(max_workers=FOOTER_THREADS) as pool:
-        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema.json(), files))
-    groups: dict[str, list[str]] = {}
-    for f, schema in zip(files, schemas):
-        groups.setdefault(schema, []).append(f)
-    types: dict[str, set[str]] = {}
-    for schema in groups:
-        for column in T.StructType.fromJson(json.loads(schema)):
-            types.setdefault(column.name, set()).add(column.dataType.simpleString())
-    unsettled = {c: sorted(t) for c, t in types.items() if len(t) > 1 and c not in overrides}
+    unsettled = {c: t for c, t in differ.items() if c not in overrides}
     if unsettled:
         raise ValueError(f"the files disagree on the type of {unsettled}; name a type in overrides")
-    unknown = [c for c in overrides if c not in types]
+    unknown = [c for c in overrides if c not in schema.names]
     if unknown:
         raise ValueError(f"cannot override unknown column(s): {unknown}")
     frames = []
-    for paths in groups.values():
-        part = spark.read.parquet(*paths)
+    for own, paths in files_of(spark, uri, groups).items():
+        part = spark.read.schema(own).parquet(*paths)
         frames.append(override_types(part, {c: t for c, t in overrides.items() if c in part.columns}))
     out = frames[0]
     for other in frames[1:]:
