@@ -15,8 +15,9 @@ as it is, and both update the filters key by key. All tables are Parquet in the
 shared folder.
 
 Skew: documents of a key are counted by partial aggregates, and lookups are
-salted by document, so a line that a third of all documents hold meets no
-single task.
+salted by document, in more parts where a shard holds a hot key, so a line that
+a third of all documents hold meets no single task. A filter that finds no
+free slot is built anew from the exact table.
 
 Edge cases: a null or empty text is one empty line; a null doc_id is neither
 counted nor changed; rows that share a doc_id are one document for counting
@@ -35,11 +36,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabflow.llm.common import documents, scratch_path
-from tabflow.llm.cuckoo import CuckooFilter, build
+from tabflow.llm.cuckoo import CuckooFilter, FilterFull, build
 
 MIN_CHARS = 20
 MIN_DOCS = 3
 SHARD_KEYS = 1 << 17
+HOT_DOCS = 1 << 20  # of one key; a shard with a hotter one is probed by more tasks
+_SALTS = 1 << 20
 KEY = ["key_high", "key_low"]
 _TRIM = b" \t\n\x0b\x0c\r"
 
@@ -128,31 +131,38 @@ def _build_filters(common: DataFrame, shards: int) -> DataFrame:
 
 
 def _update_filters(filters: DataFrame, changes: DataFrame, shards: int) -> DataFrame:
-    """``changes``: keys with ``add`` true (now common) or false (no longer)."""
+    """``changes``: keys with ``add`` true (now common) or false (no longer).
+    A shard whose keys found no free slot comes back with a null filter."""
 
     def changed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def finished(shard: int, own: CuckooFilter) -> pa.RecordBatch:
+        def finished(shard: int, own: CuckooFilter, full: bool) -> pa.RecordBatch:
+            data = None if full else own.to_bytes()
             return pa.RecordBatch.from_arrays(
-                [pa.array([shard], pa.int64()), pa.array([own.room()], pa.int64()), pa.array([own.to_bytes()], pa.binary())],
+                [pa.array([shard], pa.int64()), pa.array([own.room()], pa.int64()), pa.array([data], pa.binary())],
                 names=["shard", "room", "filter"],
             )
 
-        shard, own = None, None
+        shard, own, full = None, None, False
         for batch in batches:
             for kind_shard, run in _runs(batch, "shard"):
                 if kind_shard != shard and own is not None:
-                    yield finished(shard, own)
+                    yield finished(shard, own, full)
                     own = None
                 shard = kind_shard
                 for kind, rows in _runs(run, "kind"):
                     if kind == 0:
-                        own = CuckooFilter.from_bytes(rows["filter"][0].as_py())
+                        own, full = CuckooFilter.from_bytes(rows["filter"][0].as_py()), False
+                    elif full:
+                        continue
                     elif kind == 1:
                         own.delete(*_halves(rows))
                     else:
-                        own.insert(*_halves(rows))
+                        try:
+                            own.insert(*_halves(rows))
+                        except FilterFull:
+                            full = True
         if own is not None:
-            yield finished(shard, own)
+            yield finished(shard, own, full)
 
     kind = F.when(F.col("add"), 2).otherwise(1)
     keyed = changes.select(_shard(shards).alias("shard"), kind.alias("kind"), *KEY)
@@ -238,12 +248,25 @@ class LineIndex:
             shards = _shards(after.common)
             filters = _build_filters(after.common, shards)
         filters.write.parquet(filters_path)
-        return replace(after, filters_path=filters_path, shards=shards)
-
-    def drops(self, docs: DataFrame) -> DataFrame:
+        after = replace(after, filters_path=filters_path, shards=shards)
+        lost = after.filters.where("filter is null").select(F.col("shard").alias("s"))
+        if not lost.isEmpty():  # keys can crowd two buckets below the filter's load: build those shards anew
+            again = after.common.join(lost, _shard(shards) == F.col("s"), "left_semi")
+            rebuilt = scratch_path(self.spark, "line-filters")
+            after.filters.where("filter is not null").unionByName(_build_filters(again, shards)).write.parquet(rebuilt)
+            after = replace(after, filters_path=rebuilt)
+        return after
+
+    def drops(self, docs: DataFrame, hot_docs: int = HOT_DOCS) -> DataFrame:
         """doc_id, key_high, key_low of the lines that go: filter first, then
-        the exact table for what the filter lets through."""
-        salts = max(1, math.ceil(int(self.spark.conf.get("spark.sql.shuffle.partitions")) / self.shards))
+        the exact table for what the filter lets through. A shard's lines are
+        dealt to several tasks by document; to more where one of its keys is
+        hot, so a task meets about ``hot_docs`` lines of a key at most."""
+        spread = max(1, math.ceil(int(self.spark.conf.get("spark.sql.shuffle.partitions")) / self.shards))
+        # Few rows: a shard is named for every hot_docs lines at most.
+        hot = self.common.where(F.col("n_docs") > hot_docs * spread)
+        hot = hot.groupBy(_shard(self.shards).alias("shard")).agg(F.ceil(F.max("n_docs") / hot_docs).alias("more"))
+        salts = F.least(F.coalesce("more", F.lit(spread)), F.lit(_SALTS))
         names = ["doc_id", *KEY]
 
         def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,14 +282,13 @@ class LineIndex:
                             hit = own.contains(*_halves(rows))
                             yield pa.RecordBatch.from_arrays([rows[n].filter(pa.array(hit)) for n in names], names=names)
 
-        salt = F.pmod(F.xxhash64("doc_id"), F.lit(salts))
-        lines = line_keys(docs, self.min_chars).select(
-            (_shard(self.shards) * salts + salt).alias("group"), F.lit(1).alias("kind"), *names
-        )
-        every_salt = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
-        filters = self.filters.select("shard", "filter", every_salt.alias("salt")).select(
-            (F.col("shard") * salts + F.col("salt")).alias("group"), F.lit(0).alias("kind"), "filter"
+        lines = line_keys(docs, self.min_chars).withColumn("shard", _shard(self.shards)).join(hot, "shard", "left")
+        lines = lines.select(
+            (F.col("shard") * _SALTS + F.pmod(F.xxhash64("doc_id"), salts)).alias("group"), F.lit(1).alias("kind"), *names
         )
+        every_salt = F.explode(F.sequence(F.lit(0).cast("long"), salts.cast("long") - 1))
+        filters = self.filters.join(hot, "shard", "left").select("shard", "filter", every_salt.alias("salt"))
+        filters = filters.select((F.col("shard") * _SALTS + F.col("salt")).alias("group"), F.lit(0).alias("kind"), "filter")
         rows = lines.unionByName(filters, allowMissingColumns=True)
         passed = _streamed(rows, ["group"], ["kind"], probe, "doc_id long, key_high long, key_low long")
         exact = self.common.select(*KEY, "last_doc")

@@ -25,6 +25,7 @@ ID_BYTES = 4
 _PACKED = np.dtype("<u4")
 _KNOWN_CUTS = 1 << 20
 _KNOWN_IDS = 1 << 23
+_KNOWN_BYTES = 1 << 25
 _GROUP_CHARS = 1 << 20
 
 _LATIN = [chr(i) for i in range(256)]
@@ -134,7 +135,7 @@ class Encoder:
             own = sure[np.searchsorted(first, starts, side="right") - 1]
             starts, ends = starts[own], ends[own]
         hashes, example, which = np.unique(self._hash(buffer, starts, ends), return_index=True, return_inverse=True)
-        if len(self._known) > _KNOWN_CUTS or len(self._ids) > _KNOWN_IDS:
+        if len(self._known) > _KNOWN_CUTS or len(self._ids) > _KNOWN_IDS or len(self._cut_bytes) > _KNOWN_BYTES:
             self._forget()
         new = ~np.isin(hashes, self._known, assume_unique=True)
         if new.any():

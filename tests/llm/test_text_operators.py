@@ -123,6 +123,46 @@ def test_line_index_is_reversible(spark):
     assert sum(r["_n_dropped"] for r in dedup_lines(awkward(spark, [(100, lines)]), wide).collect()) == 40
 
 
+def test_small_inserts_never_fill_a_filter(spark):
+    """A few common lines, then a few more: some fills find no free slot below
+    the filter's load, and the shard is built anew."""
+    import tabflow.llm.line_dedup as module
+
+    line = lambda k: f"common line number {k:06d} of all"
+    texts = lambda ks: [(1000 * min(ks) + d, "\n".join(map(line, ks))) for d in range(3)]
+    found = None
+    for start in range(0, 40_000, 10):  # four and two keys whose fill fails, by the filter's own rule
+        keys = [np.array(x) for x in zip(*[module._hash(line(k).encode()) for k in range(start, start + 6)], strict=True)]
+        made = build(keys[0][:4], keys[1][:4])
+        try:
+            made.insert(keys[0][4:], keys[1][4:])
+        except FilterFull:
+            found = start
+            break
+    assert found is not None and made.room() >= 6
+    index = build_index(awkward(spark, texts(range(found, found + 4)))).insert(awkward(spark, texts(range(found + 4, found + 6))))
+    assert index.common.count() == 6 and index.filters.where("filter is null").isEmpty()
+    every = "\n".join(line(k) for k in range(found, found + 6))
+    assert [r["_n_dropped"] for r in dedup_lines(awkward(spark, [(5, every)]), index).collect()] == [6]
+
+
+def test_a_hot_line_is_probed_by_many_tasks(spark):
+    docs = awkward(spark, [(i, "the hot line that all the documents hold\n" + f"own line {i % 50} of a few documents") for i in range(600)])
+    index = build_index(docs)
+    plain = rows(index.drops(docs))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")  # fewer partitions than shards would salt nothing
+    try:
+        spread = index.drops(docs, hot_docs=50)
+        assert rows(spread) == plain and len(plain) == 599 + 550
+        text = spread._jdf.queryExecution().optimizedPlan().toString()
+        assert "more" in text
+        hot = index.common.where("n_docs > 50").count()
+        assert hot == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_line_dedup_of_empty_tables(spark):
     index = build_index(empty(spark))
     assert dedup_lines(empty(spark), index).count() == 0
