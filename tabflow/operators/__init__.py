@@ -15,6 +15,15 @@ from tabflow.operators.checks import (  # noqa: F401
     run_checks,
     unique,
 )
+from tabflow.operators.incremental import (  # noqa: F401
+    ChangedFile,
+    MergeableState,
+    Refreshed,
+    imported_files,
+    rebuild,
+    refresh,
+    source_files,
+)
 from tabflow.operators.quantiles import (  # noqa: F401
     exact_median,
     exact_quantiles,
@@ -38,11 +47,15 @@ from tabflow.operators.relational import (  # noqa: F401
 from tabflow.operators.sql_names import table_references  # noqa: F401
 from tabflow.operators.staging import (  # noqa: F401
     AuditResult,
+    clustered,
     drop_ref,
     export_csv,
+    export_csv_ordered,
     new_ref,
     publish,
     query,
+    read_csv_ordered,
+    read_range,
     read_staged,
     read_table,
     stage_table,

@@ -26,7 +26,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -182,6 +182,8 @@ def write_table(
     fmt: str = "parquet",
     metrics: Mapping[str, Column] | None = None,
     measured: dict | None = None,
+    cluster_by: Sequence[str] | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> int:
     """Materialise ``df`` at ``path`` (strategy REPLACE by default) and return
     the number of rows written, measured by an ``Observation`` on the same
@@ -194,15 +196,28 @@ def write_table(
     aggregates over the rows, taken on the same job; their values are put in
     ``measured``. The observed rows are those of the writing tasks, each
     counted once, also when a task is run again.
+
+    ``cluster_by`` writes files of disjoint ranges, each sorted, so that the
+    minima and maxima of row groups prune a range filter without a folder per
+    value (``clustered``); it cannot go with ``partition_by``. Appends cluster
+    the rows they add. ``options`` go to the writer.
     """
     spark = df.sparkSession
+    if cluster_by and partition_by:
+        raise ValueError("give partition_by or cluster_by, not both")
     if mode == "overwrite" and _reads_from(df, path):
         raise ValueError(f"refusing to overwrite {path}: the data being written is read from it")
     meta = read_metadata(spark, path) if mode == "append" and fmt == "parquet" else {}
     if meta:
         partition_by = _same_layout(df.schema, partition_by, meta, path)
         df = df.select(*[F.col(f"`{f['name']}`") for f in meta["schema"]["fields"]])
+        if cluster_by is not None and list(cluster_by) != meta.get("cluster_by", []):
+            raise ValueError(f"cannot append to {path}: it is clustered by {meta.get('cluster_by', [])}")
+        cluster_by = meta.get("cluster_by")
     keys = list(partition_by or [])
+    schema = df.schema
+    if cluster_by:
+        df = _with_range_values(clustered(df, cluster_by), cluster_by)
     obs = Observation("row_count")
     wanted = [F.count(F.lit(1)).alias("rows"), *(c.alias(name) for name, c in (metrics or {}).items())]
     observed = _marked(df.observe(obs, *wanted), _text_partitions(df.schema, keys))
@@ -210,7 +225,7 @@ def write_table(
     if mode == "append" and fmt == "parquet" and not meta and fs.exists(target) and fs.listStatus(target):
         raise ValueError(f"cannot append to {path}: it carries no {METADATA}, so its schema is not known")
     fresh = f"{target.toString()}.{uuid.uuid4().hex}" if mode == "overwrite" else target.toString()
-    writer = observed.write.mode("errorifexists" if mode == "overwrite" else mode).format(fmt)
+    writer = observed.write.mode("errorifexists" if mode == "overwrite" else mode).format(fmt).options(**dict(options or {}))
     if keys:
         writer = writer.partitionBy(*keys)
     writer.save(fresh)
@@ -220,7 +235,11 @@ def write_table(
         measured.update({name: values[name] for name in metrics or {}})
     if fmt == "parquet":
         # Rows that are appended have not been audited.
-        own = meta or {"schema": df.schema.jsonValue(), "partition_by": keys}
+        own = meta or {
+            "schema": schema.jsonValue(),
+            "partition_by": keys,
+            "cluster_by": list(cluster_by or []),
+        }
         _write_metadata(spark, fresh, own | {"audit": None})
     if mode == "overwrite":
         _swap(spark, fs, fresh, target)
@@ -229,6 +248,52 @@ def write_table(
     return rows
 
 
+def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows dealt to ranges of ``columns`` and sorted within each. A hash of
+    the whole row is the last part of the range, so rows that share one value,
+    however many, go to several tasks; only equal rows stay together."""
+    if not columns:
+        raise ValueError("name the columns to cluster by")
+    keys = [F.col(f"`{c}`") for c in columns]
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return df.repartitionByRange(*keys, F.xxhash64(*hashable)).sortWithinPartitions(*keys)
+
+
+# Spark's Parquet reader prunes no row groups by times without a zone, so a
+# clustered table keeps their microseconds beside them under this prefix.
+RANGE_VALUE = "_range_"
+
+
+def _zoneless(schema: T.StructType, columns: Sequence[str]) -> list[str]:
+    return [c for c in columns if isinstance(schema[c].dataType, T.TimestampNTZType)]
+
+
+def _micros(time: Column) -> Column:
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), time)
+
+
+def _with_range_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.withColumns({RANGE_VALUE + c: _micros(F.col(f"`{c}`")) for c in _zoneless(df.schema, columns)})
+
+
+def read_range(spark: SparkSession, path: str, column: str, start, end) -> DataFrame:
+    """The rows of a written table with ``start <= column < end`` (nulls go).
+    Of a table clustered by ``column`` only the row groups whose range meets
+    the bounds are read."""
+    meta = read_metadata(spark, path)
+    table = read_table(spark, path)
+    kind = table.schema[column].dataType
+    low, high = F.lit(start).cast(kind), F.lit(end).cast(kind)
+    value = F.col(f"`{column}`")
+    wanted = (value >= low) & (value < high)
+    if column not in _zoneless(table.schema, meta.get("cluster_by", [])):
+        return table.where(wanted)
+    kept = F.col(f"`{RANGE_VALUE}{column}`")
+    stored = spark.read.schema(T.StructType([*table.schema.fields, T.StructField(RANGE_VALUE + column, T.LongType())]))
+    found = stored.parquet(path).where((kept >= _micros(low)) & (kept < _micros(high)) & wanted)
+    return found.select(*[F.col(f"`{c}`") for c in table.columns])
+
+
 def _same_layout(schema: T.StructType, partition_by: Sequence[str] | None, meta: dict, path: str) -> list[str]:
     """The table's partition columns, if rows of ``schema`` fit the table."""
     table = T.StructType.fromJson(meta["schema"])
@@ -264,12 +329,14 @@ def stage_table(
     ref: str,
     root: str | None = None,
     partition_by: Sequence[str] | None = None,
+    cluster_by: Sequence[str] | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> tuple[str, int]:
     """Create-or-replace ``table`` in staging area ``ref``; returns
     ``(path, rows)``. Re-running with the same ref replaces the table, so the
     import is idempotent."""
     path = staged_path(df.sparkSession, table, ref, root)
-    return path, write_table(df, path, "overwrite", partition_by)
+    return path, write_table(df, path, "overwrite", partition_by, cluster_by=cluster_by, options=options)
 
 
 @dataclass
@@ -293,6 +360,7 @@ def write_audit(
     root: str | None = None,
     raise_on_failure: bool = True,
     partition_by: Sequence[str] | None = None,
+    cluster_by: Sequence[str] | None = None,
 ) -> AuditResult:
     """Write ``df`` to staging, audit the written table, keep it either way.
 
@@ -305,7 +373,9 @@ def write_audit(
     spark = df.sparkSession
     path = staged_path(spark, table, ref, root)
     counted: dict = {}
-    rows = write_table(df, path, "overwrite", partition_by, metrics=row_metrics(df, checks), measured=counted)
+    rows = write_table(
+        df, path, "overwrite", partition_by, metrics=row_metrics(df, checks), measured=counted, cluster_by=cluster_by
+    )
     results = checked(read_table(spark, path), checks, counted)
     passed = all(r["passed"] or r["severity"] != FAIL for r in results)
     _write_metadata(spark, path, read_metadata(spark, path) | {"audit": {"passed": passed, "checks": results}})
@@ -329,7 +399,9 @@ def publish(
     audit = meta.get("audit")
     if audit and not audit["passed"] and not allow_failed:
         raise CheckFailed([r for r in audit["checks"] if not r["passed"] and r["severity"] == FAIL])
-    rows = write_table(read_table(spark, source), target, "overwrite", meta.get("partition_by"))
+    rows = write_table(
+        read_table(spark, source), target, "overwrite", meta.get("partition_by"), cluster_by=meta.get("cluster_by")
+    )
     _write_metadata(spark, target, read_metadata(spark, target) | {"audit": audit})
     return rows
 
@@ -340,3 +412,61 @@ def export_csv(df: DataFrame, path: str, limit: int | None = None) -> None:
     come in one file; otherwise every partition writes its own."""
     out = df if limit is None else df.limit(limit).repartition(1)
     out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+
+
+ORDERED_PARTS = 100_000  # part numbers of five digits sort as text
+_HEADER = "header.csv"  # sorts before the parts
+
+
+def _csv_field(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"' if re.search(r'[",\r\n]|^\s|\s$|^$', name) else name
+
+
+def export_csv_ordered(df: DataFrame, path: str, order: Sequence[str | Column], parts: int | None = None) -> None:
+    """The whole table as CSV in the order given, written by many tasks: rows
+    are dealt to ranges of ``order``, each range is sorted and written as one
+    part, and parts are numbered in the order of their ranges, so all files of
+    the folder one after another, by name, are the ordered table with the
+    header once. ``parts`` is their number (default: shuffle partitions).
+
+    Ties of ``order`` land in one part in no fixed order; end it with a key.
+    The data is swapped in when it is complete. ``read_csv_ordered`` reads it.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions")) if parts is None else parts
+    if not 1 <= parts <= ORDERED_PARTS:
+        raise ValueError(f"parts must be from 1 to {ORDERED_PARTS}")
+    if _reads_from(df, path):
+        raise ValueError(f"refusing to overwrite {path}: the data being written is read from it")
+    fs, target = _file_system(spark, path)
+    fresh = f"{target.toString()}.{uuid.uuid4().hex}"
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ranged.write.mode("errorifexists").options(**CSV_OPTIONS | {"header": "false"}).csv(fresh)
+    stream = fs.create(spark._jvm.org.apache.hadoop.fs.Path(fresh, _HEADER), True)
+    try:
+        stream.write(bytearray((",".join(_csv_field(c) for c in df.columns) + "\n").encode()))
+    finally:
+        stream.close()
+    _swap(spark, fs, fresh, target)
+
+
+def read_csv_ordered(spark: SparkSession, path: str, schema: T.StructType | str, position: str = "position") -> DataFrame:
+    """An ordered export with the place of each row (from 1). Rows are numbered
+    within their part, one task a part; only the parts' counts are summed over
+    all parts."""
+    parts = (
+        spark.read.schema(schema)
+        .options(**CSV_OPTIONS | {"header": "false", "multiLine": "true"})
+        .csv(f"{path.rstrip('/')}/part-*")
+    )
+    names = parts.columns
+    numbered = parts.select("*", F.col("_metadata.file_name").alias("_part"), F.monotonically_increasing_id().alias("_at"))
+    within = Window.partitionBy("_part").orderBy("_at")
+    numbered = numbered.withColumn("_row", F.row_number().over(within))
+    counts = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    # One row a part, at most ORDERED_PARTS.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    return numbered.join(F.broadcast(starts), "_part").select(
+        *[F.col(f"`{c}`") for c in names], (F.col("_start") + F.col("_row")).alias(position)
+    )

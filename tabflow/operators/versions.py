@@ -26,7 +26,7 @@ import json
 import os
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -196,11 +196,15 @@ def write_version(
     partition_by: Sequence[str] | None = None,
     base: int | None = None,
     audit: dict | None = None,
+    beside: Mapping[str, DataFrame] | None = None,
+    cluster_by: Sequence[str] | None = None,
 ) -> Version:
     """Write ``df`` as the next version of the table at ``path``. It may read
     from the table itself. ``base`` is the version the writer started from
     (default: the newest when the call starts, 0 for none); if another one has
-    been published since, ``PublishConflict`` is raised and the files go."""
+    been published since, ``PublishConflict`` is raised and the files go.
+    ``beside`` are further tables of the version, published and expired with
+    it, each in the folder ``_<name>`` below its files."""
     spark = df.sparkSession
     root = path.rstrip("/")
     if base is None:
@@ -210,7 +214,9 @@ def write_version(
     folder = uuid.uuid4().hex
     data = f"{root}/{DATA}/{folder}"
     try:
-        rows = write_table(df, data, "errorifexists", partition_by)
+        rows = write_table(df, data, "errorifexists", partition_by, cluster_by=cluster_by)
+        for name, table in (beside or {}).items():
+            table.write.mode("errorifexists").parquet(f"{data}/_{name}")
         fs, pointers = _file_system(spark, f"{root}/{POINTERS}")
         fs.mkdirs(pointers)
         now = datetime.now(timezone.utc).isoformat()
@@ -242,7 +248,9 @@ def publish_version(
     audit = meta.get("audit")
     if audit and not audit["passed"] and not allow_failed:
         raise CheckFailed([r for r in audit["checks"] if not r["passed"] and r["severity"] == FAIL])
-    return write_version(read_table(spark, source), target, meta.get("partition_by"), base, audit)
+    return write_version(
+        read_table(spark, source), target, meta.get("partition_by"), base, audit, cluster_by=meta.get("cluster_by")
+    )
 
 
 def expire_versions(spark: SparkSession, path: str, keep: int = 2, grace_seconds: float = 3600) -> list[int]:

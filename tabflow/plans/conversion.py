@@ -34,6 +34,7 @@ from tabflow.operators.checks import (
     no_nulls_all,
     not_empty,
 )
+from tabflow.operators.incremental import MergeableState
 from tabflow.operators.relational import enforce_columns
 
 # Fixed values of the reference's conversion data product.
@@ -60,6 +61,16 @@ def session_conversion(
     )
 
 
+def session_state(goal: str = "purchase") -> MergeableState:
+    """The mergeable state behind ``session_conversion``, for ``refresh``: a
+    session whose events come in several files has converted if any part has."""
+    return MergeableState(
+        ["user_session"],
+        lambda events: session_conversion(events, goal=goal),
+        {"user_id": "max", "converted": "max"},
+    )
+
+
 def conversion_by_segment(
     sessions: DataFrame,
     users: DataFrame,

@@ -32,13 +32,16 @@ def import_table(
     raise_on_failure: bool = True,
     schema: T.StructType | str | None = None,
     partition_by: Sequence[str] | None = None,
+    cluster_by: Sequence[str] | None = None,
 ) -> AuditResult:
     """Detect the source schema, apply type overrides, stage the table under
     ``ref`` and audit it (not empty, plus one ``field_is`` per override). The
     staged table is kept whether the audit passes or fails. CSV sources take
     an explicit ``schema`` (else types are inferred in one extra pass).
     ``partition_by`` writes the staged table in directories by those columns
-    (e.g. a pickup date), so later range filters prune whole directories."""
+    (e.g. a pickup date), so later range filters prune whole directories;
+    ``cluster_by`` writes sorted files of disjoint ranges instead, whose row
+    groups prune the same filters."""
     ref = ref or new_ref("import")
     overrides = dict(overrides or {})
     if fmt == "parquet" and schema is None:
@@ -50,7 +53,14 @@ def import_table(
         name = type_name if isinstance(type_name, str) else type_name.simpleString()
         gate.append(field_is(column, name))
     return write_audit(
-        df, table, ref, gate, root=root, raise_on_failure=raise_on_failure, partition_by=partition_by
+        df,
+        table,
+        ref,
+        gate,
+        root=root,
+        raise_on_failure=raise_on_failure,
+        partition_by=partition_by,
+        cluster_by=cluster_by,
     )
 
 

@@ -393,4 +393,12 @@ FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')""",
 SELECT l_orderkey, l_linenumber,
        CASE l_returnflag WHEN 'A' THEN '' WHEN 'N' THEN '007' ELSE '=' || l_returnflag END AS part
 FROM lineitem""",
+    "incremental_conversion": _with(_SESSIONS) + "\nSELECT * FROM cbs",
+    "incremental_locations": _with(_ALL_ZONES) + f"\nSELECT * FROM loc {_ORDER}",
+    "clustered_trips": _with(_ZONES) + "\nSELECT * FROM tz",
+    "ordered_export": _with(_ALL_ZONES)
+    + f"""
+SELECT PULocationID, Borough, Zone, number_of_trips, avg_trip_distance,
+       ROW_NUMBER() OVER ({_ORDER}) AS position
+FROM loc""",
 }

@@ -10,19 +10,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabflow.functions import round_half
 from tabflow.operators.checks import field_is, is_floating, run_checks, unique
+from tabflow.operators.incremental import refresh
 from tabflow.operators.quantiles import exact_quantiles
 from tabflow.operators.relational import describe_column, row_count
 from tabflow.operators.staging import (
     export_csv,
+    export_csv_ordered,
     new_ref,
     publish,
     query,
+    read_csv_ordered,
+    read_range,
     read_table,
     stage_table,
     staged_path,
@@ -388,6 +392,55 @@ def q_append_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, path)
 
 
+IMPORTS = 3
+
+
+def _imports(df: DataFrame, part: Column, folder: str):
+    """``df`` arriving in ``IMPORTS`` batches of files; yields after each one."""
+    for k in range(IMPORTS):
+        df.where(part == k).write.mode("append").parquet(folder)
+        yield k
+
+
+def q_incremental_conversion(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversion by segment (D2) from a session state refreshed after each of
+    three imports of events, whose sessions span the imports; each refresh runs
+    twice, and the second finds no new file."""
+    base = staged_path(spark, "incremental", new_ref("sessions"))
+    events = B.session_events(spark, sf)
+    for _ in _imports(events, F.pmod(F.xxhash64(*events.columns), F.lit(IMPORTS)), f"{base}/events"):
+        for _ in range(2):
+            refresh(spark, f"{base}/state", f"{base}/events", conversion.session_state())
+    return conversion.conversion_by_segment(read_version(spark, f"{base}/state"), B.users(spark, sf))
+
+
+def q_incremental_locations(spark: SparkSession, sf: str) -> DataFrame:
+    """The per-location table over all dates (D4) from a state refreshed after
+    each of three imports of trips."""
+    base = staged_path(spark, "incremental", new_ref("trips"))
+    state = trips.pickup_state(B.ALL_START, B.ALL_END)
+    for _ in _imports(B.trips(spark, sf), F.pmod(F.coalesce(F.month("pickup_datetime"), F.lit(0)), F.lit(IMPORTS)), f"{base}/trips"):
+        refresh(spark, f"{base}/state", f"{base}/trips", state)
+    return trips.locations_of_partials(read_version(spark, f"{base}/state"), B.zones(spark, sf))
+
+
+def q_clustered_trips(spark: SparkSession, sf: str) -> DataFrame:
+    """Trips staged in files clustered by pickup time, joined to their zones in the window."""
+    path, _ = stage_table(B.trips(spark, sf), "trips", new_ref("clustered"), cluster_by=["pickup_datetime"])
+    window = read_range(spark, path, "pickup_datetime", B.TRIP_START, B.TRIP_END)
+    return trips.trips_and_zones(window, B.zones(spark, sf), B.TRIP_START, B.TRIP_END)
+
+
+def q_ordered_export(spark: SparkSession, sf: str) -> DataFrame:
+    """All locations exported in report order by several tasks and read back
+    with their position."""
+    path = staged_path(spark, "locations_csv", new_ref("ordered"))
+    order = [F.desc("number_of_trips"), *trips.LOCATION_KEYS]
+    table = all_locations(spark, sf)
+    export_csv_ordered(table, path, order, parts=4)
+    return read_csv_ordered(spark, path, table.schema)
+
+
 def q_glob_mixed_types(spark: SparkSession, sf: str) -> DataFrame:
     """Line items whose files disagree on the type of l_quantity."""
     base = staged_path(spark, "mixed", new_ref("glob"))
@@ -467,4 +520,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publish_versions": q_publish_versions,
     "read_as_of": q_read_as_of,
     "append_roundtrip": q_append_roundtrip,
+    "incremental_conversion": q_incremental_conversion,
+    "incremental_locations": q_incremental_locations,
+    "clustered_trips": q_clustered_trips,
+    "ordered_export": q_ordered_export,
 }

@@ -40,6 +40,7 @@ from tabflow.functions import (
     round_half,
 )
 from tabflow.operators.checks import Check, is_floating
+from tabflow.operators.incremental import MergeableState
 from tabflow.operators.staging import export_csv
 from tabflow.operators.relational import (
     complete_categories,
@@ -155,9 +156,23 @@ def pickup_location_stats(
 ) -> DataFrame:
     """``top_pickup_locations(trips_and_zones(trips, zones, start, end))``
     with the aggregation pushed below the join (same rows, same values)."""
+    per_location = pickup_partials(trips, start, end, time_column, trip_key, miles)
+    return locations_of_partials(per_location, zones, trip_key, zone_key, borough, zone, digits, ordered)
+
+
+def pickup_partials(
+    trips: DataFrame,
+    start: str | datetime = WINDOW_START,
+    end: str | datetime = WINDOW_END,
+    time_column: str = "pickup_datetime",
+    trip_key: str = "PULocationID",
+    miles: str = "trip_miles",
+) -> DataFrame:
+    """Per pickup location: trips, sum of miles and count of miles that are
+    numbers. All three add up, so partials of several imports can be merged."""
     selected = scan(trips, [trip_key, time_column, miles], time_window(time_column, start, end))
     x = nan_to_null(as_double(selected, miles))
-    per_location = (
+    return (
         selected.where(F.col(trip_key).isNotNull())
         .groupBy(trip_key)
         .agg(
@@ -166,6 +181,28 @@ def pickup_location_stats(
             F.count(x).alias("_numbers"),
         )
     )
+
+
+def pickup_state(start: str | datetime = WINDOW_START, end: str | datetime = WINDOW_END) -> MergeableState:
+    """The mergeable state behind ``pickup_location_stats``, for ``refresh``."""
+    return MergeableState(
+        ["PULocationID"],
+        lambda trips: pickup_partials(trips, start, end),
+        {"_trips": "sum", "_miles": "sum", "_numbers": "sum"},
+    )
+
+
+def locations_of_partials(
+    per_location: DataFrame,
+    zones: DataFrame,
+    trip_key: str = "PULocationID",
+    zone_key: str = "LocationID",
+    borough: str = "Borough",
+    zone: str = "Zone",
+    digits: int | None = None,
+    ordered: bool = True,
+) -> DataFrame:
+    """The per-location table from ``pickup_partials`` or a merged state of them."""
     dim = zones.select(
         F.col(zone_key).alias(trip_key), F.col(borough).alias("Borough"), F.col(zone).alias("Zone")
     ).where(F.col("Borough").isNotNull() & F.col("Zone").isNotNull())
