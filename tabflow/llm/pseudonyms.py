@@ -6,7 +6,12 @@ format. A value becomes symbols with radices (digits, letters, octets, a day
 number); alternating halves are shifted by a keyed SHA-256 of the other half,
 modulo each radix. Each round can be undone, so this is a permutation of the
 format: equal values get equal pseudonyms in every document, and different
-values different ones. Check digits are made anew and dates stay dates.
+values different ones. Check digits are made anew and dates stay dates. The
+digits of card and phone numbers are permuted apart from their separators, so a
+number is linked however it is written, a phone number as long as its country
+code stands apart. Social security numbers move among those that can be issued.
+Of e-mail addresses only letters A-Z and a-z and digits change; other letters
+stay as they are.
 
 Phone numbers are those with a plus and a country code in groups of three and
 four or of two digits, national numbers of ten digits as 3-3-4, with or without
@@ -49,7 +54,12 @@ FIRST_DAY = "1700-01-01"
 DAY_RADICES = (189, 773)
 YEARS = (1700, 2099)
 
-EMAIL = r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*\.)+[A-Za-z]{2,}"
+# The local part starts where its run of characters starts and is taken whole, so a long word is read once; a host has
+# labels of up to 63 characters and 127 of them at most.
+EMAIL = (
+    r"(?<![\p{L}\p{N}._%+-])[._%+-]*+[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@"
+    r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,63}+\.){1,127}[A-Za-z]{2,63}"
+)
 PHONE = r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}"
 # A country code, a trunk digit or area code, and three or more groups of two digits.
 PAIRS_PHONE = r"\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?\d{1,4}(?:[ .-]\d{2,3}){3,5}"
@@ -61,6 +71,8 @@ IPV4 = r"\d{1,3}(?:\.\d{1,3}){3}"
 ISO_DATE = r"\d{4}-\d{2}-\d{2}"
 SPLIT_DATE = r"\d{2}[./]\d{2}[./]\d{4}"
 SSN = r"\d{3}-\d{2}-\d{4}"
+SSN_GAP = 666  # of the areas 001 to 899 the one never issued
+SSN_RADICES = (898, 99, 9999)
 CARD_DIGITS = (13, 19)
 USUAL_CARD_DIGITS = 16
 # Numbers stand alone: no letter or digit, nor a further dotted or dashed digit, on either side.
@@ -148,10 +160,19 @@ def _is_card(value: Column) -> Column:
     return F.length(_plain(value)).between(*CARD_DIGITS) & (_luhn_sum(_digits(value), False) % 10 == 0)
 
 
+def _woven(layout: Column, digits: Column) -> Column:
+    """``layout`` with its digits replaced, in order, by ``digits``."""
+    before = lambda i: F.length(F.regexp_replace(F.substring(layout, F.lit(1), i + 1), "[^0-9]", ""))
+    put = lambda c, i: F.when(c.between("0", "9"), F.substring(digits, before(i), F.lit(1))).otherwise(c)
+    return F.array_join(F.transform(F.split(layout, ""), put), "")
+
+
 def _card(value: Column, key: str) -> Column:
-    body = _permute_text(F.substring(value, F.lit(1), F.length(value) - 1), key, "card")
+    """The digits are permuted apart from their layout, so a number is linked however it is grouped."""
+    plain = _plain(value)
+    body = _permute_text(F.substring(plain, F.lit(1), F.length(plain) - 1), key, "card")
     check = lambda b: F.concat(b, ((10 - _luhn_sum(_digits(b), True) % 10) % 10).cast("string"))
-    return F.when(_is_card(value), _let(body, check))
+    return F.when(_is_card(value), _let(_let(body, check), lambda digits: _woven(value, digits)))
 
 
 def _run(groups: Column, first: Column, last: Column) -> Column:
@@ -209,9 +230,15 @@ def _taken(cuts: Column) -> Column:
 
 
 def _phone(value: Column, key: str) -> Column:
-    """All but the country code, or a national number's trunk 0."""
+    """All digits but the country code, or a national number's trunk 0."""
     code = F.regexp_extract(value, r"^(?:\+(?:\d{1,3}(?=[ .(-])|\d)|0)", 0)
-    return _let(code, lambda c: F.concat(c, _permute_text(F.substring(value, F.length(c) + 1, F.length(value)), key, "phone")))
+
+    def moved(c: Column) -> Column:
+        rest = F.substring(value, F.length(c) + 1, F.length(value))
+        digits = _permute_text(F.regexp_replace(rest, "[^0-9]", ""), key, "phone")
+        return F.concat(c, _let(digits, lambda d: _woven(rest, d)))
+
+    return _let(code, moved)
 
 
 def _ipv4(value: Column, key: str) -> Column:
@@ -235,17 +262,32 @@ def _date(value: Column, style: str, key: str) -> Column:
 
 
 def _ssn(value: Column, key: str) -> Column:
-    """Area 000, 666 and 9xx, group 00 and serial 0000 were never issued."""
-    return F.when(~value.rlike(r"^(?:000|666|9)|-00-|-0000$"), _permute_text(value, key, "ssn"))
+    """Area 000, 666 and 9xx, group 00 and serial 0000 were never issued; the
+    numbers that were are permuted among themselves."""
+    part = lambda first, n: F.substring(value, F.lit(first), F.lit(n)).cast("int")
+    area = part(1, 3)
+    symbols = F.array(area - F.when(area > SSN_GAP, 2).otherwise(1), part(5, 2) - 1, part(8, 4) - 1)
+
+    def made(s: Column) -> Column:
+        known = s[0] + F.when(s[0] + 1 >= SSN_GAP, 2).otherwise(1)
+        return F.concat_ws(
+            "-", F.lpad(known.cast("string"), 3, "0"), F.lpad((s[1] + 1).cast("string"), 2, "0"), F.lpad((s[2] + 1).cast("string"), 4, "0")
+        )
+
+    moved = feistel(symbols, F.array(*map(F.lit, SSN_RADICES)), key, "ssn")
+    return F.when(~value.rlike(r"^(?:000|666|9)|-00-|-0000$"), _let(moved, made))
 
 
 def _email(value: Column, key: str) -> Column:
-    """All but the last two labels of the host."""
+    """All but signs before the address and the last two labels of the host."""
+    lead = F.length(F.regexp_extract(value, "^[._%+-]*", 0))
     host = F.regexp_extract(value, r"(?:(?<=@)|\.)[^@.]+\.[^@.]+$", 0)
-    return _let(
-        host,
-        lambda h: F.concat(_permute_text(F.substring(value, F.lit(1), F.length(value) - F.length(h)), key, "email"), h),
-    )
+
+    def made(h: Column) -> Column:
+        own = F.substring(value, lead + 1, F.length(value) - F.length(h) - lead)
+        return F.concat(F.substring(value, F.lit(1), lead), _permute_text(own, key, "email"), h)
+
+    return _let(host, made)
 
 
 def pseudonym(value: Column, key: str) -> Column:

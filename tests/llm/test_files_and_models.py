@@ -1,10 +1,12 @@
 """Resharding, token files, pseudonyms and the classifier."""
 
 import datetime as dt
+import hashlib
 import itertools
 import os
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -259,3 +261,96 @@ def test_classifier_on_held_out_labels(spark):
     scored = score(docs, train(rows)).join(labels.where(held), "doc_id").collect()
     right = sum((r["score"] >= 0.3) == (r["quality"] == 1) for r in scored)
     assert right / len(scored) > 0.95
+
+
+def _plain_feistel(symbols, radices, kind, key="k"):
+    """The permutation in plain Python."""
+    now, half = list(symbols), len(symbols) / 2
+    for round_ in range(pseudonyms.ROUNDS):
+        left = round_ % 2 == 0
+        other = ",".join(str(x) for i, x in enumerate(now) if (i < half) != left)
+        digest = hashlib.sha256(f"{key}|{kind}|{round_}|{other}".encode()).hexdigest()
+        shift = [int(digest[i * 4 % 64 :][:4], 16) for i in range(len(now))]
+        now = [(x + shift[i]) % radices[i] if (i < half) == left else x for i, x in enumerate(now)]
+    return now
+
+
+def _plain_digits(digits, kind):
+    return "".join(map(str, _plain_feistel([int(d) for d in digits], [10] * len(digits), kind)))
+
+
+def _relaid(layout, digits):
+    rest = iter(digits)
+    return "".join(next(rest) if c.isdigit() else c for c in layout)
+
+
+def _plain_pseudonym(value):
+    digits = re.sub(r"\D", "", value)
+    if "@" in value:
+        local, host = re.fullmatch(r"(.*?)((?:(?<=@)|\.)[^@.]+\.[^@.]+)", value).groups()
+        base = [48 if c.isdigit() else 97 if c.islower() else 65 if c.isupper() else None for c in local]
+        symbols = [ord(c) - b if b else 0 for c, b in zip(local, base, strict=True)]
+        moved = _plain_feistel(symbols, [{48: 10, None: 1}.get(b, 26) for b in base], "email")
+        return "".join(chr(b + m) if b else c for c, b, m in zip(local, base, moved, strict=True)) + host
+    if re.fullmatch(r"[\d.]+", value) and value.count(".") == 3:
+        return ".".join(map(str, _plain_feistel([int(x) for x in value.split(".")], [256] * 4, "ipv4")))
+    if re.fullmatch(r"\d{3}-\d{2}-\d{4}", value):
+        areas = [a for a in range(1, 900) if a != 666]
+        a, g, n = (int(x) for x in value.split("-"))
+        a, g, n = _plain_feistel([areas.index(a), g - 1, n - 1], [898, 99, 9999], "ssn")
+        return f"{areas[a]:03}-{g + 1:02}-{n + 1:04}"
+    if re.fullmatch(r"\d{4}-\d{2}-\d{2}", value):
+        day = (dt.date.fromisoformat(value) - dt.date(1700, 1, 1)).days
+        low, high = _plain_feistel([day % 189, day // 189], [189, 773], "date")
+        return str(dt.date(1700, 1, 1) + dt.timedelta(days=low + 189 * high))
+    if len(digits) >= 13:
+        body = _plain_digits(digits[:-1], "card")
+        check = next(str(c) for c in range(10) if _luhn(f"{body}{c}"))
+        return _relaid(value, body + check)
+    code = "+1" if value.startswith("+1") else ""
+    return code + _relaid(value[len(code) :], _plain_digits(digits[len(code) and 1 :], "phone"))
+
+
+def test_pseudonyms_equal_plain_python(spark):
+    rng = random.Random(4)
+    card = lambda: next(c for c in (f"4{rng.randrange(10**15):015}" for _ in itertools.count()) if _luhn(c))
+    values = []
+    for _ in range(25):
+        c, p = card(), f"{rng.randrange(2, 10)}{rng.randrange(10**9):09}"
+        values += [c, "-".join(re.findall("....", c)), f"{p[:3]}-{p[3:6]}-{p[6:]}", f"({p[:3]}) {p[3:6]}-{p[6:]}"]
+        values += [f"+1 {p[:3]} {p[3:6]} {p[6:]}", ".".join(str(rng.randrange(256)) for _ in range(4))]
+        values += [f"{rng.choice([1, 665, 667, 899, 123]):03}-{rng.randrange(1, 100):02}-{rng.randrange(1, 10000):04}"]
+        values += [str(dt.date(1700, 1, 1) + dt.timedelta(days=rng.randrange(146097)))]
+        values += [f"{rng.choice('abXY')}.{rng.randrange(99)}_b%c@mail.ex{rng.randrange(9)}.org"]
+    docs = [(k, f"see {v} and {w}; end") for k, (v, w) in enumerate(zip(values, values[::-1], strict=True))]
+    got = pseudonymize(awkward(spark, docs), "k").collect()
+    for r in got:
+        v, w = values[r["doc_id"]], values[::-1][r["doc_id"]]
+        assert r["text"] == f"see {_plain_pseudonym(v)} and {_plain_pseudonym(w)}; end"
+
+
+def test_values_stay_linked_in_every_layout(spark):
+    cards = ["4845168114407329", "4845 1681 1440 7329", "4845-1681-1440-7329"]
+    phones = ["555-123-4567", "(555) 123-4567", "555.123.4567"]
+    texts = cards + phones + ["ann.b@x.org", "..ann.b@x.org"]
+    got = [r["text"] for r in pseudonymize(awkward(spark, list(enumerate(texts))), "k").orderBy("doc_id").collect()]
+    assert len({re.sub(r"\D", "", t) for t in got[:3]}) == 1 and len({re.sub(r"\D", "", t) for t in got[3:6]}) == 1
+    assert got[7] == ".." + got[6] != texts[7]
+
+
+def test_social_security_numbers_stay_valid_and_apart(spark):
+    rng = random.Random(5)
+    values = {f"{a:03}-{rng.randrange(1, 100):02}-{rng.randrange(1, 10000):04}" for a in range(1, 900) if a != 666}
+    made = [r["text"] for r in pseudonymize(awkward(spark, list(enumerate(sorted(values)))), "k").collect()]
+    assert len(set(made)) == len(values)
+    assert not any(re.search(r"^(?:000|666|9)|-00-|-0000$", m) for m in made)
+
+
+def test_a_megabyte_word_is_read_once(spark):
+    long = "aZ" * 500_000
+    texts = [f"{long}7 a@b.co", f"{long}7@", "a." * 500_000 + "7", "a@" + "b." * 200_000 + "7", "x@b.com."]
+    start = time.monotonic()
+    got = {r["doc_id"]: r for r in pseudonymize(awkward(spark, list(enumerate(texts))), "k").collect()}
+    assert time.monotonic() - start < 60
+    assert got[0]["n_replaced"] == got[4]["n_replaced"] == 1 and got[4]["text"].endswith("@b.com.")
+    assert got[1]["text"] == texts[1] and got[2]["text"] == texts[2]
