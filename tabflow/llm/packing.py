@@ -2,8 +2,9 @@
 
 Documents become pieces of at most ``capacity`` tokens; only longer ones are
 cut, and all their pieces but the first are full. Pieces are dealt at random
-(by hash) to groups of about ``GROUP_PIECES``, and each group is packed by one
-streaming task, longest piece first: a piece goes where the sum of the squared
+(by hash) to groups of about ``GROUP_PIECES``, full pieces apart from the others
+as each is a sequence of its own, and each group is packed by one streaming
+task, longest piece first: a piece goes where the sum of the squared
 counts of open sequences per residual gap becomes smallest, among the open
 sequences it fits in; a new one is opened only if it fits in none, as the aim
 is few sequences. A group leaves a few sequences part-filled, so groups cost
@@ -11,8 +12,10 @@ at most a few sequences in every GROUP_PIECES pieces.
 
 Edge cases: a null text is an empty one, whose only token is the end id; a
 document longer than the capacity fills whole sequences; repeated rows are
-packed one by one; a null doc_id is kept as it is; an empty table gives an
-empty result. The order within a group is total up to equal rows, so a task
+packed one by one; a null doc_id is kept as it is, and such rows are dealt by
+their place in the input, so equal ones spread (a table that holds them has to
+be read from files, as its place must not change when a task runs again); an
+empty table gives an empty result. The order within a group is total up to equal rows, so a task
 that runs again repeats its result.
 """
 
@@ -32,6 +35,7 @@ from tabflow.llm.common import documents, unsigned_hash
 from tabflow.llm.tokens import encoder
 
 GROUP_PIECES = 1 << 16
+FULL_GROUPS = 1 << 12  # over which full pieces are dealt
 _SEQUENCES = 1 << 40  # room for the sequence numbers of one group
 _BYTES = 4  # of a packed id
 
@@ -127,10 +131,16 @@ def pack(parts: DataFrame, capacity: int, expected_pieces: int) -> DataFrame:
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
             )
 
-    deal = F.pmod(unsigned_hash("doc_id", "start", "length", "ids_crc32"), F.lit(groups))
+    # Rows without an id may be equal in all columns, so their place in the input spreads them.
+    place_of_unnamed = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    mixed = unsigned_hash("doc_id", "start", "length", "ids_crc32", place_of_unnamed)
+    # A full piece is a sequence of its own, so it needs no group; all of one document go to any task.
+    full = F.col("length") >= capacity
+    deal = F.when(full, groups + F.pmod(mixed, F.lit(FULL_GROUPS))).otherwise(F.pmod(mixed, F.lit(groups)))
+    tasks = max(groups, int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return (
         parts.select("doc_id", "piece", "start", "length", "ids_crc32", deal.alias("group"))
-        .repartition(groups, "group")
+        .repartition(tasks, "group")
         .sortWithinPartitions("group", F.desc("length"), "doc_id", "piece", "ids_crc32")
         .mapInArrow(place, PIECE + ", sequence_id long, offset long")
     )

@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 from tabflow.llm.common import scratch_path
 from tabflow.llm.cuckoo import CuckooFilter, FilterFull, build
 from tabflow.llm.line_dedup import build_index, dedup_lines
-from tabflow.llm.packing import SumOfSquares, cut, pack, pack_documents, pieces, sequences
+from tabflow.llm.packing import GROUP_PIECES, SumOfSquares, cut, pack, pack_documents, pieces, sequences
 from tabflow.llm.quality_rules import RULES, Rule, keep_good, quality_rules
 from tabflow.llm.token_counts import at_limits, length_histogram, quantile, token_lengths
 from tabflow.llm.token_files import read_tokens, write_tokens
@@ -299,6 +299,17 @@ def test_packing_is_whole_and_gapless(spark):
     assert pack_documents(empty(spark), TOKENIZER, 2).count() == 0
 
 
+def test_full_pieces_and_equal_rows_without_id_are_spread(spark):
+    full = spark.range(20000).selectExpr("1L doc_id", "int(id) piece", "id * 8 start", "8L length", "5L ids_crc32")
+    same = spark.range(20000).selectExpr("CAST(NULL AS LONG) doc_id", "0 piece", "0L start", "3L length", "7L ids_crc32")
+    for parts, groups in ((full, 1), (same, 8)):
+        packed = pack(parts, 8, groups * GROUP_PIECES).withColumn("task", F.spark_partition_id())
+        counts = [r["count"] for r in packed.groupBy("task").count().collect()]
+        assert sum(counts) == 20000 and max(counts) < 10000
+    alone = pack(full, 8, 1)
+    assert alone.select("sequence_id").distinct().count() == 20000 and alone.where("offset > 0").isEmpty()
+
+
 def test_packed_sequences_hold_the_ids(spark):
     docs = awkward(spark, [(i, "word " * (7 * i)) for i in range(1, 9)])
     parts = pieces(docs, TOKENIZER, 2, 32, with_ids=True)
