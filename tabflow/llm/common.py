@@ -19,13 +19,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole_row: bool = False) -> DataFrame:
+def documents(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole_row: bool = False, **more: Column
+) -> DataFrame:
     """The two columns every text operator works on, under fixed names;
     ``whole_row`` adds the input row as one struct, so that a filter can give
-    the rows back without a join."""
+    the rows back without a join; ``more`` adds columns computed from it."""
     row = [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if whole_row else []
     return df.select(
-        F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), *row
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+        F.col(f"`{text_col}`").cast("string").alias("text"),
+        *row,
+        *[c.alias(name) for name, c in more.items()],
     )
 
 

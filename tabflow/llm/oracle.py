@@ -10,9 +10,10 @@ from tabflow.llm.spelling import MIN_COUNT as LEAST_COUNT
 from tabflow.llm.quality_rules import (
     BASE_MIN_WORDS,
     BASE_REPEAT_PERCENT,
+    LANGUAGES,
     RULES,
+    STOP_FORMS,
     STOP_WORD_MIN_WORDS,
-    STOP_WORDS,
     SYMBOLS,
     WINDOW,
 )
@@ -23,12 +24,14 @@ _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
 def _quality() -> str:
-    stop = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
+    stop = ", ".join(f"'{w}'" for w in STOP_FORMS)
+    known = ", ".join(f"'{code}'" for code in LANGUAGES)
     fails = [f"coalesce({r.metric} < {r.low}, false)" for r in RULES if r.low is not None]
     fails += [f"coalesce({r.metric} > {r.high}, false)" for r in RULES if r.high is not None]
     return rf"""
 with d as (
     select doc_id, {_WORDS} as words, coalesce(text, '') as body,
+        coalesce(lower(split_part(lang, '-', 1)) in ({known}), false) as known,
         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x09-\x0D\x20]')) as lines
     from documents
 ), grams as (
@@ -40,7 +43,7 @@ with d as (
     select doc_id, count(distinct i + k) as n
     from (select doc_id, i, unnest(range({WINDOW})) as k from repeated) group by doc_id
 ), counts as (
-    select d.doc_id, len(words) as n_words,
+    select d.doc_id, d.known, len(words) as n_words,
         length(regexp_replace(body, '[\x09-\x0D\x20]', '', 'g')) as word_chars,
         length(body) - length(regexp_replace(body, '[{SYMBOLS}]', '', 'g')) as n_symbols,
         len(lines) - len(list_distinct(lines)) as n_dup_lines,
@@ -54,7 +57,7 @@ with d as (
         case when n_words > 0 then word_chars / n_words else 0 end as mean_word_chars,
         case when n_words > 0 then n_symbols / n_words else 0 end as symbol_ratio,
         case when n_words > 0 then n_exclamations / n_words else 0 end as exclamation_ratio,
-        case when n_words >= {STOP_WORD_MIN_WORDS} then n_stop_words / n_words end as stop_word_ratio,
+        case when known and n_words >= {STOP_WORD_MIN_WORDS} then n_stop_words / n_words end as stop_word_ratio,
         case when n_lines > 0 then n_dup_lines / n_lines else 0 end as dup_line_ratio,
         n_words < {BASE_MIN_WORDS} or 100 * n_repeat_words > {BASE_REPEAT_PERCENT} * n_words as base_failed
     from counts

@@ -4,7 +4,9 @@ length, symbol, stop-word and line ratios. Built-in functions only.
 Edge cases: a null text has no words and no lines, so it fails the base rules;
 an empty text likewise; an empty table gives an empty result; repeated rows
 are judged one by one; a null or repeated doc_id changes nothing, as no step
-joins or groups. Whole texts are measured, whatever their length.
+joins or groups. Whole texts are measured, whatever their length. The stop-word
+rule knows four languages: it has no say on rows of any other ``lang``, of none,
+or of a table without that column.
 """
 
 from __future__ import annotations
@@ -25,13 +27,15 @@ BASE_REPEAT_PERCENT = 20
 
 STOP_WORD_MIN_WORDS = 40
 
-# Frequent function words of the corpus languages (en, de, fr, es), matched as written.
+# Frequent function words of LANGUAGES, matched as written here, capitalised and in capitals.
+LANGUAGES = ("en", "de", "fr", "es")
 STOP_WORDS = (
     "the and of to in a is that for it as was with be by on not he his are this at from or have an they which one you "
     "der die und den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass "
     "de la le et les des en un du une que est pour qui dans par plus pas au sur ne se ce il sont avec "
     "el los del las por con no su para al lo como más pero sus este ya entre"
 ).split()
+STOP_FORMS = list(dict.fromkeys(form for w in STOP_WORDS for form in (w, w.capitalize(), w.upper())))
 
 
 @dataclass(frozen=True)
@@ -98,23 +102,34 @@ def _repeat_words(words: Column, hashes: Column) -> Column:
     return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("long")).otherwise(exact)
 
 
-def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole_row: bool = False) -> DataFrame:
+def _known_language(docs: DataFrame, lang_col: str) -> Column:
+    """Whether STOP_WORDS covers a row's language ("en", "EN" or "en-US")."""
+    if lang_col not in docs.columns:
+        return F.lit(False)
+    code = F.lower(F.substring_index(F.col(f"`{lang_col}`").cast("string"), "-", 1))
+    return F.coalesce(code.isin(*LANGUAGES), F.lit(False))
+
+
+def measure(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole_row: bool = False, lang_col: str = "lang"
+) -> DataFrame:
     """doc_id, text and every metric a rule can name (and the input ``row``)."""
-    df = documents(docs, id_col, text_col, whole_row).withColumn("body", F.coalesce("text", F.lit("")))
+    df = documents(docs, id_col, text_col, whole_row, known=_known_language(docs, lang_col))
+    df = df.withColumn("body", F.coalesce("text", F.lit("")))
     trimmed = F.trim(F.col("body"), F.lit(WHITE_SPACE))
     df = df.withColumn(
         "words", F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WORD_BREAK))
     ).withColumn("lines", F.filter(F.split("body", "\n"), lambda line: line.rlike(NOT_SPACE)))
     n_words, n_lines = F.size("words"), F.size("lines")
     hashes = F.when(n_words < WINDOW, F.array().cast("array<long>")).otherwise(_windows(F.col("words"), F.xxhash64))
-    kept = ["row"] if whole_row else ["text"]
+    kept = ["known", "row"] if whole_row else ["known", "text"]
     counts = {
         "n_words": n_words.cast("long"),
         "word_chars": F.length(F.translate("body", WHITE_SPACE, "")).cast("long"),
         "n_symbols": _count_chars(F.col("body"), SYMBOLS),
         "n_dup_lines": (n_lines - F.size(F.array_distinct("lines"))).cast("long"),
         "n_lines": n_lines.cast("long"),
-        "n_stop_words": F.size(F.filter("words", lambda w: w.isin(*dict.fromkeys(STOP_WORDS)))).cast("long"),
+        "n_stop_words": F.size(F.filter("words", lambda w: w.isin(*STOP_FORMS))).cast("long"),
         "n_exclamations": _count_chars(F.col("body"), "!"),
     }
     df = df.select("doc_id", *kept, "words", hashes.alias("hashes"), *[c.alias(k) for k, c in counts.items()])
@@ -124,12 +139,14 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", who
             "mean_word_chars": _ratio(F.col("word_chars"), F.col("n_words")),
             "symbol_ratio": _ratio(F.col("n_symbols"), F.col("n_words")),
             "exclamation_ratio": _ratio(F.col("n_exclamations"), F.col("n_words")),
-            # Null, which no rule rejects, for texts too short to be sure of a stop word.
-            "stop_word_ratio": F.when(F.col("n_words") >= STOP_WORD_MIN_WORDS, F.col("n_stop_words") / F.col("n_words")),
+            # Null, which no rule rejects, for texts too short to be sure of a stop word and for other languages.
+            "stop_word_ratio": F.when(
+                F.col("known") & (F.col("n_words") >= STOP_WORD_MIN_WORDS), F.col("n_stop_words") / F.col("n_words")
+            ),
             "dup_line_ratio": _ratio(F.col("n_dup_lines"), F.col("n_lines")),
             "repeat_ratio": _ratio(F.col("n_repeat_words"), F.col("n_words")),
         }
-    )
+    ).drop("known")
 
 
 def _fails(rule: Rule) -> Column:

@@ -70,6 +70,20 @@ def test_quality_filter_keeps_rows_and_columns(spark):
     assert {r.metric for r in RULES} <= set(quality_rules(docs).columns)
 
 
+def test_stop_words_count_in_known_languages_only(spark):
+    english = " ".join(["the house of my friend is in a small town"] * 4 + ["end"])
+    strange = " ".join(f"slowo{i}" for i in range(60))
+    rule = [Rule("stop_word_ratio", low=0.02)]
+    texts = [english, english.upper(), english.title(), strange]
+    langs = ["en", "EN", "de-AT", "it", "pl", None]
+    docs = spark.createDataFrame(
+        [(i, text, lang) for i, (text, lang) in enumerate((t, g) for t in texts for g in langs)], "doc_id long, text string, lang string"
+    )
+    failed = {(r["text"], r["lang"]) for r in quality_rules(docs, rule).join(docs.select("doc_id", "lang"), "doc_id").collect() if r["failed"]}
+    assert failed == {(strange, lang) for lang in ("en", "EN", "de-AT")}
+    assert all(not r["failed"] for r in quality_rules(docs.drop("lang"), rule).collect())
+
+
 def _line_dedup(docs, min_chars=20, min_docs=3):
     key = lambda line: line.strip(SPACE).translate(LOWER)
     holders = defaultdict(set)
