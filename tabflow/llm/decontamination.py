@@ -11,7 +11,9 @@ space; spans are positions of the text as it is. The scan shuffles nothing.
 Items come in blocks of bounded size, one scan a block.
 
 Edge cases: null and empty texts hold nothing; null and blank items match
-nothing; items shorter than 1 / error_rate must match exactly; repeated rows
+nothing; items shorter than 1 / error_rate must match exactly and not begin or
+end inside a word (of a script that parts words), so "the" is not found in
+"theatre"; repeated rows
 and items are matched one by one; null ids are kept as they are; an empty
 table on either side gives an empty result.
 """
@@ -23,16 +25,19 @@ from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import reduce
+from hashlib import sha256
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import documents
+from tabflow.llm.common import documents, materialize
 
 ERROR_RATE = 0.1
 BLOCK_CHARS = 1 << 20
 GRAM = 4
+# Scripts that set words without spaces (Chinese, Japanese, Korean) begin here.
+UNPARTED = "\u2e80"
 _RUN = re.compile(" {2,}")
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
 
@@ -179,6 +184,8 @@ class Matcher:
                 starts[k].add(last + 1 - size - offset)
         for k, found in starts.items():
             pattern = self._patterns[k]
+            if not pattern.errors:
+                found = {start for start in found if _bordered(text, start, start + pattern.size)}
             for low, high in _windows(sorted(found), pattern.size, pattern.errors, len(text)):
                 window = text[low:high]
                 if pattern.possible(window):
@@ -187,6 +194,15 @@ class Matcher:
                         yield self._ids[k], places.of(low + start), places.of(low + end - 1) + 1, distance
 
 
+def _bordered(text: str, start: int, end: int) -> bool:
+    """No word goes on over an end of ``text[start:end]``."""
+    return not (_joined(text[start - 1 : start], text[start : start + 1]) or _joined(text[end - 1 : end], text[end : end + 1]))
+
+
+def _joined(before: str, after: str) -> bool:
+    return before.isalnum() and after.isalnum() and max(before, after) < UNPARTED
+
+
 def _windows(starts: list[int], size: int, errors: int, limit: int) -> Iterator[tuple[int, int]]:
     """Where an item may lie whose start, without edits, is one of ``starts``;
     overlapping windows become one."""
@@ -218,14 +234,18 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
         yield block
 
 
+def _items(benchmark: DataFrame, item_col: str = "item_id") -> DataFrame:
+    text = F.col("text").cast("string").alias("text")
+    return benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item_id"), text).where("text is not null")
+
+
 def benchmark_matches(
     docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, item_col: str = "item_id"
 ) -> DataFrame:
     """MATCHES: each passage of a document that is within the error budget of
     a benchmark item (``benchmark``: ``item_col`` and text)."""
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     named = documents(docs)
-    parts = [_scan(named, block, error_rate) for block in _blocks(items.where("text is not null"))]
+    parts = [_scan(named, block, error_rate) for block in _blocks(_items(benchmark, item_col))]
     return reduce(DataFrame.unionByName, parts) if parts else named.limit(0).mapInArrow(lambda _: iter(()), MATCHES)
 
 
@@ -247,7 +267,33 @@ def _scan(named: DataFrame, block: list[tuple[int | None, str]], error_rate: flo
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE) -> DataFrame:
-    """The rows of ``docs`` without those whose doc_id holds a benchmark item.
-    A null doc_id cannot be told apart and stays."""
-    found = benchmark_matches(docs, benchmark, error_rate).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti")
+    """The rows of ``docs`` without those whose text holds a benchmark item. A
+    row is found again by its doc_id and the SHA-256 of its text, as the text
+    alone decides: a null or repeated doc_id spares or condemns no other row."""
+    parts = [_holders(documents(docs), block, error_rate) for block in _blocks(_items(benchmark))]
+    if not parts:
+        return docs
+    # Written first, so its measured size decides between a broadcast and a shuffle of the texts.
+    found = materialize(reduce(DataFrame.unionByName, parts).distinct(), "contaminated").alias("_found")
+    same = F.col("_docs.doc_id").cast("long").eqNullSafe(F.col("_found.doc_id")) & (
+        F.sha2(F.col("_docs.text").cast("string"), 256) == F.col("_found.digest")
+    )
+    return docs.alias("_docs").join(found, same, "left_anti")
+
+
+def _holders(named: DataFrame, block: list[tuple[int | None, str]], error_rate: float) -> DataFrame:
+    """doc_id and digest of the texts that hold an item of the block; a text's
+    scan ends with its first one."""
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(block, error_rate)
+        for batch in batches:
+            held = [
+                (doc_id, sha256(text.as_buffer()).hexdigest())
+                for doc_id, text in zip(batch[0].to_pylist(), batch[1], strict=True)
+                if next(matcher.find(text.as_py() or ""), None)
+            ]
+            ids, digests = zip(*held, strict=True) if held else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(digests, pa.string())], names=["doc_id", "digest"])
+
+    return named.mapInArrow(scan, "doc_id long, digest string")

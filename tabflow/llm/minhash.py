@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from tabflow.llm.common import documents, materialize
 from tabflow.llm.components import components
+from tabflow.llm.order import ordered
 
 BLOCK_MEMBERS = 512  # of a bucket; one task compares two blocks at most at a time
 HUB_TEXTS = 256  # compared with one copy of a hub's set
@@ -394,15 +395,25 @@ def near_duplicates(docs: DataFrame, similarity: Similarity = Similarity()) -> D
 
 
 def keep_one(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
-    """The rows of ``docs`` less all of a component but its smallest doc_id. Of
-    rows that share a doc_id the least one (by its columns in order) stays;
-    rows with a null doc_id all stay."""
-    verdicts = near_duplicates(docs, similarity).where("doc_id is not null").groupBy("doc_id")
-    verdicts = materialize(verdicts.agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "near")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    repeated = verdicts.where("kept AND n > 1").select("doc_id")
-    if repeated.isEmpty():  # the usual case: one pass over the texts
-        return docs.join(verdicts.where("NOT kept").select("doc_id"), "doc_id", "left_anti").select(*columns)
-    once = docs.join(verdicts.where("NOT kept OR n > 1").select("doc_id"), "doc_id", "left_anti").select(*columns)
-    least = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("row"))
-    return once.unionByName(least.select("row.*"))
+    """The rows of ``docs`` less all of a component but one, that of its
+    smallest doc_id. It decides row by row: rows that share a doc_id are judged
+    by their own texts, and rows without one count as the largest. Of equal rows
+    of a component one stays; rows without text or words all stay."""
+    unnamed = docs.groupBy(F.col("doc_id").cast("long").alias("id")).count().where("id IS NULL OR count > 1")
+    if unnamed.isEmpty():  # the usual case: the doc_id names the row
+        drop = materialize(near_duplicates(docs, similarity).where("NOT kept").select("doc_id"), "near")
+        return docs.join(drop, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = _numbered(docs)
+    texts = rows.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text"))
+    drop = near_duplicates(texts, similarity).where("NOT kept").select(F.col("doc_id").alias("number"))
+    return rows.join(materialize(drop, "near"), "number", "left_anti").select("row.*")
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Each row of ``docs`` as ``row`` with its ``number`` in the order of
+    doc_id, null last; written, so that later readers see the same numbers."""
+    doc_id = F.col("doc_id").cast("long")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keys = [F.lit(0).alias("_all"), doc_id.isNull().alias("_unnamed"), doc_id.alias("_id"), F.sha2("text", 256).alias("_digest")]
+    placed = ordered(materialize(docs.select(whole, *keys), "unnumbered"), ["_all"], ["_unnamed", "_id", "_digest"])
+    return materialize(placed.rows().select(F.col("_position").alias("number"), "row"), "numbered")
