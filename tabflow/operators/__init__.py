@@ -24,6 +24,7 @@ from tabflow.operators.incremental import (  # noqa: F401
     refresh,
     source_files,
 )
+from tabflow.operators.copartition import CoPartitioned, read_copartitioned, stage_copartitioned  # noqa: F401
 from tabflow.operators.quantiles import (  # noqa: F401
     exact_median,
     exact_quantiles,
@@ -44,6 +45,7 @@ from tabflow.operators.relational import (  # noqa: F401
     salted_enrich,
     top_n,
 )
+from tabflow.operators.sketches import quantile_sketches, rank_error, sketch_state, sketched_quantiles  # noqa: F401
 from tabflow.operators.sql_names import table_references  # noqa: F401
 from tabflow.operators.staging import (  # noqa: F401
     AuditResult,

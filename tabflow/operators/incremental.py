@@ -31,7 +31,12 @@ from tabflow.operators.versions import Version, find_version, read_version, vers
 from tabflow.sources import read_source
 
 FILES = "files"
-MERGES: dict[str, Callable[[str], Column]] = {"sum": F.sum, "max": F.max, "min": F.min}
+MERGES: dict[str, Callable[[str], Column]] = {
+    "sum": F.sum,
+    "max": F.max,
+    "min": F.min,
+    "kll": lambda c: F.when(F.count(c) > 0, F.kll_merge_agg_double(c)),
+}
 
 
 class ChangedFile(ValueError):
@@ -42,7 +47,8 @@ class ChangedFile(ValueError):
 class MergeableState:
     """``partial`` turns source rows into one row per key (``keys`` and the
     columns of ``merge``); ``merge`` names how each column's values of one key
-    combine: ``sum``, ``max`` or ``min``, all skipping nulls."""
+    combine: ``sum``, ``max``, ``min`` or ``kll`` (quantile sketches), all
+    skipping nulls."""
 
     keys: Sequence[str]
     partial: Callable[[DataFrame], DataFrame]

@@ -56,6 +56,21 @@ def salted_enrich(
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_enrich supports inner and left joins")
+    f, d = salted_sides(fact, dim, fact_key, dim_key, hot_fraction, rows_per_task)
+    fa, da = f.alias("_f"), d.alias("_d")
+    cond = (F.col(f"_f.`{fact_key}`") == F.col(f"_d.`{dim_key}`")) & (F.col("_f._salt") == F.col("_d._salt"))
+    joined = fa.join(da, cond, how)
+    return joined.select(
+        *[F.col(f"_f.`{c}`") for c in fact.columns],
+        *[F.col(f"_d.`{c}`") for c in dim.columns if c != dim_key],
+    )
+
+
+def salted_sides(
+    fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, hot_fraction: float, rows_per_task: int
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of ``salted_enrich`` with their ``_salt``: equal keys and
+    equal salts join each fact row to all its dimension rows once."""
     if not 0 < hot_fraction <= 1 or rows_per_task < 1:
         raise ValueError("hot_fraction must lie in (0, 1] and rows_per_task be positive")
     shared_dir(fact.sparkSession)
@@ -80,13 +95,7 @@ def salted_enrich(
         .join(hot_b, F.col(f"_dim.`{dim_key}`") == F.col("_hot_key"), "left")
         .select(*[F.col(f"_dim.`{c}`") for c in dim.columns], F.explode(every).alias("_salt"))
     )
-    fa, da = f.alias("_f"), d.alias("_d")
-    cond = (F.col(f"_f.`{fact_key}`") == F.col(f"_d.`{dim_key}`")) & (F.col("_f._salt") == F.col("_d._salt"))
-    joined = fa.join(da, cond, how)
-    return joined.select(
-        *[F.col(f"_f.`{c}`") for c in fact.columns],
-        *[F.col(f"_d.`{c}`") for c in dim.columns if c != dim_key],
-    )
+    return f, d
 
 
 def filter_in(df: DataFrame, column: str, values: Sequence | None) -> DataFrame:

@@ -117,7 +117,7 @@ def read_metadata(spark: SparkSession, path: str) -> dict:
         stream.close()
 
 
-def _write_metadata(spark: SparkSession, path: str, values: dict) -> None:
+def write_metadata(spark: SparkSession, path: str, values: dict) -> None:
     fs, folder = _file_system(spark, path)
     stream = fs.create(spark._jvm.org.apache.hadoop.fs.Path(folder, METADATA), True)
     try:
@@ -240,7 +240,7 @@ def write_table(
             "partition_by": keys,
             "cluster_by": list(cluster_by or []),
         }
-        _write_metadata(spark, fresh, own | {"audit": None})
+        write_metadata(spark, fresh, own | {"audit": None})
     if mode == "overwrite":
         _swap(spark, fs, fresh, target)
     elif mode == "append":
@@ -378,7 +378,7 @@ def write_audit(
     )
     results = checked(read_table(spark, path), checks, counted)
     passed = all(r["passed"] or r["severity"] != FAIL for r in results)
-    _write_metadata(spark, path, read_metadata(spark, path) | {"audit": {"passed": passed, "checks": results}})
+    write_metadata(spark, path, read_metadata(spark, path) | {"audit": {"passed": passed, "checks": results}})
     result = AuditResult(table, ref, path, rows, results, passed)
     if raise_on_failure and not passed:
         raise CheckFailed([r for r in results if not r["passed"] and r["severity"] == FAIL])
@@ -402,7 +402,7 @@ def publish(
     rows = write_table(
         read_table(spark, source), target, "overwrite", meta.get("partition_by"), cluster_by=meta.get("cluster_by")
     )
-    _write_metadata(spark, target, read_metadata(spark, target) | {"audit": audit})
+    write_metadata(spark, target, read_metadata(spark, target) | {"audit": audit})
     return rows
 
 

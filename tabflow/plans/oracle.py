@@ -396,6 +396,11 @@ FROM lineitem""",
     "incremental_conversion": _with(_SESSIONS) + "\nSELECT * FROM cbs",
     "incremental_locations": _with(_ALL_ZONES) + f"\nSELECT * FROM loc {_ORDER}",
     "clustered_trips": _with(_ZONES) + "\nSELECT * FROM tz",
+    "copartitioned_trips": _with(_ZONES) + "\nSELECT * FROM tz",
+    "sketched_price_quantiles": """
+SELECT l_returnflag, p, COUNT(l_extendedprice) AS n, TRUE AS within
+FROM lineitem, (SELECT UNNEST([0.1::DOUBLE, 0.5::DOUBLE, 0.9::DOUBLE]) AS p)
+GROUP BY l_returnflag, p""",
     "ordered_export": _with(_ALL_ZONES)
     + f"""
 SELECT PULocationID, Borough, Zone, number_of_trips, avg_trip_distance,

@@ -16,9 +16,11 @@ from pyspark.sql import types as T
 
 from tabflow.functions import round_half
 from tabflow.operators.checks import field_is, is_floating, run_checks, unique
+from tabflow.operators.copartition import read_copartitioned, stage_copartitioned
 from tabflow.operators.incremental import refresh
 from tabflow.operators.quantiles import exact_quantiles
 from tabflow.operators.relational import describe_column, row_count
+from tabflow.operators.sketches import DEFAULT_K, rank_error, sketch_state, sketched_quantiles
 from tabflow.operators.staging import (
     export_csv,
     export_csv_ordered,
@@ -431,6 +433,50 @@ def q_clustered_trips(spark: SparkSession, sf: str) -> DataFrame:
     return trips.trips_and_zones(window, B.zones(spark, sf), B.TRIP_START, B.TRIP_END)
 
 
+BUCKETS = 16
+
+
+def q_copartitioned_trips(spark: SparkSession, sf: str) -> DataFrame:
+    """All trips and their zones staged in the same buckets, hot locations
+    salted, then joined in the window without a shuffle."""
+    ref = new_ref("copartitioned")
+    fact = B.trips(spark, sf).select(*trips.TRIP_COLUMNS)
+    path = stage_copartitioned(
+        fact, B.zones(spark, sf), "PULocationID", "LocationID", "trips_zones", ref, BUCKETS, hot_fraction=HOT_FRACTION
+    )
+    pair = read_copartitioned(spark, path)
+    return pair.enriched(trips.time_window("pickup_datetime", B.TRIP_START, B.TRIP_END))
+
+
+SKETCH_PROBABILITIES = (0.1, 0.5, 0.9)
+
+
+def q_sketched_price_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantiles of l_extendedprice per return flag from sketches refreshed
+    over three imports. Each row tells whether the value's exact rank, counted
+    over all rows, is within four times the stated rank error."""
+    base = staged_path(spark, "sketches", new_ref("prices"))
+    li = B.table(spark, sf, "lineitem").select("l_returnflag", "l_linenumber", "l_extendedprice")
+    for _ in _imports(li, F.pmod(F.col("l_linenumber"), F.lit(IMPORTS)), f"{base}/lineitem"):
+        state = sketch_state(["l_returnflag"], "l_extendedprice")
+        refresh(spark, f"{base}/state", f"{base}/lineitem", state)
+    found = sketched_quantiles(read_version(spark, f"{base}/state"), SKETCH_PROBABILITIES)
+    cuts = found.groupBy("l_returnflag").pivot("p", list(SKETCH_PROBABILITIES)).agg(F.first("value"))
+    price, columns = F.col("l_extendedprice").cast("double"), [F.col(f"`{p}`") for p in SKETCH_PROBABILITIES]
+    ranks = [
+        F.struct(F.lit(p).alias("p"), F.count_if(price < c).alias("below"), F.count_if(price <= c).alias("upto"))
+        for p, c in zip(SKETCH_PROBABILITIES, columns, strict=True)
+    ]
+    counted = li.join(cuts, "l_returnflag").groupBy("l_returnflag").agg(F.array(*ranks).alias("ranks"), F.count(price).alias("exact_n"))
+    slack = F.lit(4 * rank_error(DEFAULT_K)) * F.col("exact_n")
+    rank = F.col("p") * F.col("exact_n")
+    return (
+        counted.select("l_returnflag", "exact_n", F.inline("ranks"))
+        .join(found, ["l_returnflag", "p"])
+        .select("l_returnflag", "p", "n", ((F.col("below") <= rank + slack) & (F.col("upto") >= rank - slack)).alias("within"))
+    )
+
+
 def q_ordered_export(spark: SparkSession, sf: str) -> DataFrame:
     """All locations exported in report order by several tasks and read back
     with their position."""
@@ -523,5 +569,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_conversion": q_incremental_conversion,
     "incremental_locations": q_incremental_locations,
     "clustered_trips": q_clustered_trips,
+    "copartitioned_trips": q_copartitioned_trips,
+    "sketched_price_quantiles": q_sketched_price_quantiles,
     "ordered_export": q_ordered_export,
 }
