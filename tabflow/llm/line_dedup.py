@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import documents, scratch_path
+from tabflow.llm.common import documents, scratch_path, small_batches
 from tabflow.llm.cuckoo import CuckooFilter, FilterFull, build
 
 MIN_CHARS = 20
@@ -306,6 +306,7 @@ def _shards(common: DataFrame) -> int:
 def build_index(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> LineIndex:
     """Index all documents."""
     spark = docs.sparkSession
+    small_batches(spark)
     refs, counts, filters = (scratch_path(spark, f"line-{n}") for n in ("refs", "counts", "filters"))
     line_keys(docs, min_chars).distinct().write.parquet(refs)
     index = LineIndex(spark, (refs,), counts, filters, 1, min_chars, min_docs)
@@ -319,6 +320,7 @@ def dedup_lines(docs: DataFrame, index: LineIndex) -> DataFrame:
     """The rows of ``docs`` with ``text`` less its dropped lines (a null text
     becomes empty), and _n_lines (before) and _n_dropped, which replace input
     columns of these names."""
+    small_batches(docs.sparkSession)
     own = {"text", "_n_lines", "_n_dropped", "_drops"}
     carried = [c for c in docs.columns if c not in own]
     gone = index.drops(docs).groupBy("doc_id").agg(F.collect_set("key_high").alias("_drops"))

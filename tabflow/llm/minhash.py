@@ -35,13 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import documents, materialize
+from tabflow.llm.common import documents, materialize, small_batches
 from tabflow.llm.components import components
 from tabflow.llm.order import ordered
 
 BLOCK_MEMBERS = 512  # of a bucket; one task compares two blocks at most at a time
 HUB_TEXTS = 256  # compared with one copy of a hub's set
-_WORDS_CACHED = 400_000
+_WORDS_CACHED = 100_000  # by a Python worker, which lives on after its task
+_CACHED_BYTES = 64  # of a word; longer ones are hashed each time
 _STEP = 512  # shingles hashed at a time, to stay in the processor's cache
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # the golden ratio as a 64-bit fraction
 
@@ -71,7 +72,11 @@ class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         from xxhash import xxh3_64_intdigest
 
-        value = self[word] = xxh3_64_intdigest(word)
+        value = xxh3_64_intdigest(word)
+        if len(word) <= _CACHED_BYTES:
+            if len(self) >= _WORDS_CACHED:
+                self.clear()
+            self[word] = value
         return value
 
 
@@ -90,8 +95,6 @@ def shingles(text: str | None, size: int) -> np.ndarray:
     words = (text or "").encode().lower().split()
     if not words:
         return np.empty(0, dtype=np.uint64)
-    if len(_word_hashes) > _WORDS_CACHED:
-        _word_hashes.clear()
     hashed = np.fromiter(map(_word_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
     width = min(size, len(words))
     n = len(words) - width + 1
@@ -374,6 +377,7 @@ def near_links(sets: DataFrame, docs: DataFrame, similarity: Similarity) -> Data
 def near_duplicates(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (the smallest
     doc_id reachable by links, itself included) and kept."""
+    small_batches(docs.sparkSession)
     signed = materialize(signatures(docs, similarity), "signatures")
     group = ["set_high", "set_low"]
     nodes = signed.where("n_shingles > 0 and doc_id is not null")

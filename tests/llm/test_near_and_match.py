@@ -3,9 +3,13 @@
 import random
 import re
 
+import pyarrow as pa
+
+from tabflow.llm import minhash
 from tabflow.llm.components import components
 from tabflow.llm.decontamination import Matcher, benchmark_matches, drop_contaminated, normalized
 from tabflow.llm.minhash import Similarity, keep_one, near_duplicates, shingles
+from tabflow.llm.line_dedup import build_index, dedup_lines
 from tests.llm.fixtures import awkward, empty, rows
 
 
@@ -186,3 +190,30 @@ def test_benchmark_matches_and_filter(spark):
     assert left.columns == docs.columns
     assert sorted((r["doc_id"] for r in left.collect()), key=repr) == [2, 3, 5]
     assert benchmark_matches(docs, bench.limit(0)).count() == 0 and benchmark_matches(empty(spark), bench).count() == 0
+
+
+def test_python_gets_batches_of_bounded_bytes(spark):
+    setting, docs = "spark.sql.execution.arrow.maxBytesPerBatch", awkward(spark)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "bytes"])
+
+    texts = spark.range(0, 3000, 1, 1).selectExpr("id", "repeat('x', 4000) AS text")
+    for operator in (keep_one, lambda d: dedup_lines(d, build_index(d))):
+        spark.conf.unset(setting)
+        operator(docs)
+        got = texts.mapInArrow(sizes, "n long, bytes long").collect()
+        assert sum(r["n"] for r in got) == 3000 and max(r["bytes"] for r in got) < 2_000_000
+    spark.conf.set(setting, "5m")  # a bound of the session's own stays
+    keep_one(docs)
+    assert spark.conf.get(setting) == "5m"
+    spark.conf.unset(setting)
+
+
+def test_the_word_cache_stays_small():
+    before = shingles(" ".join(f"w{i}" for i in range(50)), 5)
+    shingles(" ".join(f"word{i}" for i in range(250_000)), 5)
+    shingles("z" * 1_000_000, 5)
+    assert len(minhash._word_hashes) <= 100_000 and max(map(len, minhash._word_hashes)) <= 64
+    assert shingles(" ".join(f"W{i}" for i in range(50)), 5).tolist() == before.tolist()
